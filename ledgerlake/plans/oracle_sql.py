@@ -59,3 +59,28 @@ WS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+FIRST_LOAD_END = "TIMESTAMP '2000-01-01 00:00:00'"
+SECOND_LOAD_START = "TIMESTAMP '1999-01-01 00:00:00'"
+
+INVOICE_LOADS = INVOICES + f""",
+first_load AS (SELECT * FROM invoices WHERE "Invoice Date" < {FIRST_LOAD_END}),
+second_load AS (
+  SELECT "Invoice ID", "Matter Ref", "Invoice Date",
+         CASE WHEN "Invoice Date" < {FIRST_LOAD_END} AND "Invoice Status" = 'O' THEN 'F' ELSE "Invoice Status" END AS "Invoice Status",
+         "Gross Total",
+         CASE WHEN "Invoice Date" < {FIRST_LOAD_END} AND "Priority" = '5-LOW' THEN NULL ELSE "Priority" END AS "Priority"
+  FROM invoices WHERE "Invoice Date" >= {SECOND_LOAD_START})"""
+
+LINE_POSITIONS = """line_positions AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS "Invoice ID",
+         CASE WHEN l_quantity = 50 THEN NULL ELSE l_linenumber END AS "Line No",
+         CAST(l_partkey AS VARCHAR) AS "Part", l_quantity AS "Quantity",
+         CAST(l_extendedprice AS DECIMAL(15,2)) AS "Amount", l_linestatus AS "Line Status", l_shipdate AS "Line Date"
+  FROM lineitem)"""
+
+LINE_POSITION_LOADS = LINE_POSITIONS + f""",
+first_lines AS (SELECT * FROM line_positions WHERE "Line Date" < {FIRST_LOAD_END}),
+second_lines AS (
+  SELECT * REPLACE (CASE WHEN "Line Date" < {FIRST_LOAD_END} AND "Line Status" = 'O' THEN 'F' ELSE "Line Status" END AS "Line Status")
+  FROM line_positions WHERE "Line Date" >= {SECOND_LOAD_START})"""

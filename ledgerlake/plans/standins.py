@@ -120,3 +120,55 @@ def timekeepers(spark: SparkSession, sf_dir: str) -> DataFrame:
         money("s_acctbal").alias("Rate"),
         text("s_suppkey").alias("Timekeeper ID"),
     )
+
+
+# Two loads of a report, cut by business date: the first load holds
+# everything before FIRST_LOAD_END, the second everything from
+# SECOND_LOAD_START on. Rows of the overlap year come again: open ones are
+# re-sent as fulfilled and low-priority ones lost their priority (changed),
+# the rest unchanged. Older keys are absent from the second load; newer ones
+# are new.
+FIRST_LOAD_END = "2000-01-01 00:00:00"
+SECOND_LOAD_START = "1999-01-01 00:00:00"
+
+
+def _before(c: str, ts: str) -> Column:
+    return F.col(c) < F.lit(ts).cast("timestamp_ntz")
+
+
+def invoice_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    inv = invoices(spark, sf_dir)
+    first = inv.filter(_before("Invoice Date", FIRST_LOAD_END))
+    overlap = _before("Invoice Date", FIRST_LOAD_END)
+    second = inv.filter(~_before("Invoice Date", SECOND_LOAD_START)).select(
+        "Invoice ID", "Matter Ref", "Invoice Date",
+        F.when(overlap & (F.col("Invoice Status") == "O"), F.lit("F")).otherwise(F.col("Invoice Status")).alias("Invoice Status"),
+        "Gross Total",
+        F.when(overlap & (F.col("Priority") == "5-LOW"), F.lit(None)).otherwise(F.col("Priority")).alias("Priority"),
+    )
+    return first, second
+
+
+def line_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line positions keyed by ("Invoice ID", "Line No"); the pair is not
+    unique in the data, and "Line No" is null for quantity 50."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        text("l_orderkey").alias("Invoice ID"),
+        F.when(F.col("l_quantity") == 50, F.lit(None)).otherwise(F.col("l_linenumber")).alias("Line No"),
+        text("l_partkey").alias("Part"),
+        F.col("l_quantity").alias("Quantity"),
+        money("l_extendedprice").alias("Amount"),
+        F.col("l_linestatus").alias("Line Status"),
+        F.col("l_shipdate").alias("Line Date"),
+    )
+
+
+def line_position_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lp = line_positions(spark, sf_dir)
+    first = lp.filter(_before("Line Date", FIRST_LOAD_END))
+    overlap = _before("Line Date", FIRST_LOAD_END)
+    second = lp.filter(~_before("Line Date", SECOND_LOAD_START)).withColumn(
+        "Line Status", F.when(overlap & (F.col("Line Status") == "O"), F.lit("F")).otherwise(F.col("Line Status"))
+    )
+    return first, second
