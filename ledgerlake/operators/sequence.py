@@ -2,22 +2,22 @@
 
 ``row_number()`` / ``lead()`` over ``Window.partitionBy(key)`` put every row
 of a key into one task. One key may hold a third of all rows, so that
-task would run alone for most of the job. Here the rows are instead
-range-partitioned on (key, order): a hot key is cut into many slices, each
-slice is numbered locally, and a small table of per-slice counts (at most one
-row per slice and key) turns local numbers into global ones.
-
-Steps (two balanced shuffles plus one of the small count table):
-
-1. ``repartitionByRange(key, order)``. Slices of one key are contiguous and
-   ordered by partition id.
-2. ``row_number`` / ``lead`` over (partition id, key): groups are bounded by
-   the partition size.
-3. Per (partition id, key): row count and the first row's values.
-4. Over key ordered by partition id (≤ number of partitions rows per key):
-   running sum of counts = offset, the next slice's first values.
-5. Join back on (partition id, key): global position = offset + local
-   position; the last row of a slice takes the next slice's first values.
+task would run alone for most of the job. Here each key is cut into
+*slices* along the order column instead: slice boundaries are approximate
+quantiles of the order column over all rows (one cheap column scan,
+``approxQuantile``), so a key that holds many rows is spread over many
+slices, and the slice of a row is a fixed function of its data (safe to
+recompute after a lost executor).
+
+1. slice = position of the row's first order value among the bounds (a
+   balanced ``CASE`` tree, inside code generation).
+2. ``row_number`` / ``lead`` over (key, slice): groups are bounded by the
+   slice size.
+3. Per (key, slice): row count and the first row's values.
+4. Over key ordered by slice (at most one row per slice and key): running
+   sum of counts = offset, the next slice's first values.
+5. Join back on (key, slice): global position = offset + local position;
+   the last row of a slice takes the next slice's first values.
 """
 
 from __future__ import annotations
@@ -26,12 +26,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(x: str | Column) -> Column:
     return F.col(f"`{x}`") if isinstance(x, str) else x
 
 
+def _numeric(c: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, T.NumericType):
+        return c.cast("double")
+    return None
+
+
+def _bucket(x: Column, bounds: list[float], lo: int, hi: int) -> Column:
+    """Index i in [lo, hi] with bounds[i-1] <= x < bounds[i] (binary search)."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(x < F.lit(bounds[mid]), _bucket(x, bounds, lo, mid)).otherwise(_bucket(x, bounds, mid + 1, hi))
+
+
+def slice_of(df: DataFrame, column: str, slices: int) -> Column:
+    """Slice number of each row along ``column`` (nulls first: -1)."""
+    x = _numeric(_c(column), df.schema[column].dataType)
+    if x is None or slices <= 1:
+        return F.lit(0)
+    probs = [i / slices for i in range(1, slices)]
+    bounds = df.select(x.alias("__o")).approxQuantile("__o", probs, 1.0 / (4 * slices))
+    bounds = sorted({b for b in bounds if b is not None})
+    if not bounds:
+        return F.lit(0)
+    return F.when(x.isNull(), F.lit(-1)).otherwise(_bucket(x, bounds, 0, len(bounds)))
+
+
 def sequence_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,25 +77,21 @@ def sequence_by_key(
     """Add ``seq_col`` (1-based position among rows of the same key, by
     ``order``) and ``next_<c>`` for each ``c`` in ``carry`` (value on the next
     row of the key, null on the last). ``order`` must make rows of a key
-    unique (add a tie-breaker column)."""
+    unique (add a tie-breaker column); ascending, nulls first."""
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[_c(k) for k in keys])  # null-safe: struct(null) equals struct(null)
     ordered = [_c(o) for o in order]
 
-    ranged = (
-        df.withColumn("__key", key)
-        .repartitionByRange(n, F.col("__key"), *ordered)
-        .withColumn("__pid", F.spark_partition_id())
-    )
-    w_local = Window.partitionBy("__pid", "__key").orderBy(*ordered)
-    local = ranged.withColumn("__lseq", F.row_number().over(w_local))
+    sliced = df.withColumn("__key", key).withColumn("__slice", slice_of(df, order[0], n))
+    w_local = Window.partitionBy("__key", "__slice").orderBy(*ordered)
+    local = sliced.withColumn("__lseq", F.row_number().over(w_local))
     for c in carry:
         local = local.withColumn(f"__lnext_{c}", F.lead(_c(c)).over(w_local))
 
     first = F.min_by(F.struct(*[_c(c).alias(c) for c in carry]), F.struct(*ordered)) if carry else F.lit(None)
-    stats = local.groupBy("__pid", "__key").agg(F.count(F.lit(1)).alias("__cnt"), first.alias("__first"))
-    w_key = Window.partitionBy("__key").orderBy("__pid")
+    stats = local.groupBy("__key", "__slice").agg(F.count(F.lit(1)).alias("__cnt"), first.alias("__first"))
+    w_key = Window.partitionBy("__key").orderBy("__slice")
     stats = stats.withColumn(
         "__off", F.coalesce(F.sum("__cnt").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
@@ -71,7 +99,7 @@ def sequence_by_key(
         stats = stats.withColumn(f"__snext_{c}", F.lead(F.col("__first")[c]).over(w_key))
     stats = stats.drop("__first")
 
-    out = local.join(stats, ["__pid", "__key"], "inner")
+    out = local.join(stats, ["__key", "__slice"], "inner")
     last_in_slice = F.col("__lseq") == F.col("__cnt")
     out = out.withColumn(seq_col, (F.col("__off") + F.col("__lseq")).cast("long"))
     for c in carry:

@@ -84,3 +84,24 @@ first_lines AS (SELECT * FROM line_positions WHERE "Line Date" < {FIRST_LOAD_END
 second_lines AS (
   SELECT * REPLACE (CASE WHEN "Line Date" < {FIRST_LOAD_END} AND "Line Status" = 'O' THEN 'F' ELSE "Line Status" END AS "Line Status")
   FROM line_positions WHERE "Line Date" >= {SECOND_LOAD_START})"""
+
+INVOICE_PAYLOAD = ["Invoice ID", "Matter Ref", "Invoice Date", "Invoice Status", "Gross Total", "Priority"]
+
+
+def enc(expr: str) -> str:
+    """Field encoding of the change hash: <length>:<text>, null as ~."""
+    t = f"CAST({expr} AS VARCHAR)"
+    return f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '~')"
+
+
+def hash_of(exprs: list[str]) -> str:
+    return "sha256(" + " || '|' || ".join(enc(e) for e in exprs) + ")"
+
+
+def row_id_of(record_type: str, keys: list[str]) -> str:
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return f"CASE WHEN {present} THEN {hash_of([repr(record_type)] + keys)} END"
+
+
+def q(c: str, alias: str | None = None) -> str:
+    return (f'{alias}."{c}"' if alias else f'"{c}"')
