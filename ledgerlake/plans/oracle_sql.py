@@ -105,3 +105,7 @@ def row_id_of(record_type: str, keys: list[str]) -> str:
 
 def q(c: str, alias: str | None = None) -> str:
     return (f'{alias}."{c}"' if alias else f'"{c}"')
+
+NA_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+            "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+NA_LIST = ", ".join("'" + w + "'" for w in NA_WORDS)

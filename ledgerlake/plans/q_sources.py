@@ -1 +1,157 @@
-"""Registered queries."""
+"""Queries: landed pages, page-chain audit, look-up files, report windows."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlake.functions.text import iso_millis
+from ledgerlake.plans import oracle_sql as o
+from ledgerlake.plans import standins as s
+from ledgerlake.plans.catalog import register
+from ledgerlake.schemas import PAGE_SIZE
+from ledgerlake.session import scratch_path
+from ledgerlake.sources import lookups as lk
+from ledgerlake.sources import pages as pg
+from ledgerlake.sources import windows as win
+
+LINE_REPORT = "Reporting API - test report"
+WINDOW_END = "2001-06-01 00:00:00"
+FIXED_START = "1999-11-01 00:00:01.005284"
+
+LINE_ORDER = ["Invoice ID", "Line ID"]
+
+
+def _line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = s.line_items(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long"))
+    return pg.paginate(li, LINE_REPORT, ["__ord", "Line ID"]).withColumn(
+        "resultSet", F.transform("resultSet", lambda r: r.dropFields("__ord")))
+
+
+@register("page_ingest", o.with_(o.LINES) + f"""
+SELECT '{LINE_REPORT}' AS report, *, 'USD' AS currency, 'FLATTENED' AS report_layout FROM lines""")
+def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the line-item report as JSON pages, read them back, flatten."""
+    pages = _line_pages(spark, sf_dir)
+    record_schema = pages.schema["resultSet"].dataType.elementType
+    path = scratch_path(spark, "pages")
+    pages.write.partitionBy("report").json(path)
+    landed = pg.read_pages(spark, path, record_schema)
+    return pg.page_rows(landed, "USD").select("report", *record_schema.names, "currency", "report_layout")
+
+
+@register("page_union", o.with_(o.INVOICES) + """
+SELECT "Invoice ID", "Matter Ref", "Gross Total", NULL::TIMESTAMP AS "Invoice Date", NULL::VARCHAR AS "Priority"
+FROM invoices WHERE "Invoice Status" = 'F'
+UNION ALL
+SELECT "Invoice ID", NULL::VARCHAR AS "Matter Ref", NULL::DECIMAL(15,2) AS "Gross Total", "Invoice Date", "Priority"
+FROM invoices WHERE "Invoice Status" <> 'F'""")
+def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of one report that carry different columns stack by name."""
+    inv = s.invoices(spark, sf_dir)
+    a = inv.filter(F.col("Invoice Status") == "F").select("Invoice ID", "Matter Ref", "Gross Total")
+    b = inv.filter(F.col("Invoice Status") != "F").select("Invoice ID", "Invoice Date", "Priority")
+    return pg.union_pages([a, b])
+
+
+def _audit_sql_report(name: str, cte: str, order: str) -> str:
+    return f"""
+  SELECT '{name}' AS report, (row_number() OVER (ORDER BY {order}) - 1) // {PAGE_SIZE} AS page FROM {cte}"""
+
+
+AUDIT_SQL = o.with_(o.LINES, o.INVOICES, o.MATTERS, o.TIMEKEEPERS) + f"""
+, numbered AS ({_audit_sql_report(LINE_REPORT, 'lines', 'CAST("Invoice ID" AS BIGINT), "Line ID"')}
+  UNION ALL {_audit_sql_report('Reporting API - Invoice Level', 'invoices', 'CAST("Invoice ID" AS BIGINT)')}
+  UNION ALL {_audit_sql_report('Reporting API - matter report', 'matters', 'CAST("Matter Ref" AS BIGINT)')}
+  UNION ALL {_audit_sql_report('Timekeeper Report - full data pull down', 'timekeepers', 'CAST("Timekeeper ID" AS BIGINT)')}),
+counts AS (
+  SELECT report, CAST(page AS BIGINT) AS page, CAST(count(*) AS INTEGER) AS n_rows FROM numbered GROUP BY report, page
+  UNION ALL
+  SELECT report, CAST(count(*) // {PAGE_SIZE} AS BIGINT), 0 FROM numbered GROUP BY report HAVING count(*) % {PAGE_SIZE} = 0)
+SELECT c.report, c.page, c.n_rows, n.page IS NOT NULL AS has_next,
+       CASE WHEN c.n_rows = {PAGE_SIZE} AND n.page IS NOT NULL THEN 'more'
+            WHEN c.n_rows = {PAGE_SIZE} THEN 'truncated'
+            WHEN n.page IS NOT NULL THEN 'broken' ELSE 'complete' END AS status
+FROM counts c LEFT JOIN counts n ON n.report = c.report AND n.page = c.page + 1"""
+
+
+@register("page_chain_audit", AUDIT_SQL)
+def page_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page the four reports like the service and audit every chain."""
+    reports = [
+        _line_pages(spark, sf_dir),
+        pg.paginate(s.invoices(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long")),
+                    "Reporting API - Invoice Level", ["__ord"]),
+        pg.paginate(s.matters(spark, sf_dir).withColumn("__ord", F.col("Matter Ref").cast("long")),
+                    "Reporting API - matter report", ["__ord"]),
+        pg.paginate(s.timekeepers(spark, sf_dir).withColumn("__ord", F.col("Timekeeper ID").cast("long")),
+                    "Timekeeper Report - full data pull down", ["__ord"]),
+    ]
+    counts = reduce(DataFrame.unionByName, [pg.page_counts(p) for p in reports])
+    return pg.audit_chain(counts)
+
+
+EXPENSE_FILE_COLUMNS = ["Expense Code", "Expense Type", "Expense Name"]
+
+
+def _expense_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expense-code file content: some types are NA words, empty or blank."""
+    size = F.col("p_size")
+    part = s.table(spark, sf_dir, "part")
+    code = F.when((size == 1) & (F.col("p_type") == "ECONOMY"), F.lit(None)).otherwise(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string"), F.lit("\t")))
+    etype = (F.when(size == 2, "NA").when(size == 3, "None").when(size == 4, "null").when(size == 5, "")
+             .when(size == 6, "  ").otherwise(F.col("p_type")))
+    return part.select(code.alias("Expense Code"), etype.alias("Expense Type"), F.col("p_name").alias("Expense Name"))
+
+
+EXPENSE_FILE_SQL = """expense_file AS (
+  SELECT CASE WHEN p_size = 1 AND p_type = 'ECONOMY' THEN NULL ELSE 'P' || CAST(p_partkey AS VARCHAR) || chr(9) END AS "Expense Code",
+         CASE WHEN p_size IN (2, 3, 4, 5) THEN NULL WHEN p_size = 6 THEN '  ' ELSE p_type END AS "Expense Type",
+         p_name AS "Expense Name"
+  FROM part)"""
+
+
+def _scan_expense_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "expense_codes_csv")
+    lk.write_lookup_csv(_expense_file_rows(spark, sf_dir), path)
+    return lk.read_lookup_csv(spark, path, EXPENSE_FILE_COLUMNS)
+
+
+@register("lookup_csv_scan", o.with_(EXPENSE_FILE_SQL) + "SELECT * FROM expense_file")
+def lookup_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scan_expense_file(spark, sf_dir)
+
+
+@register("lookup_publish", o.with_(EXPENSE_FILE_SQL) + f"""
+SELECT DISTINCT trim("Expense Code", {o.WS}) AS "Expense Code", trim("Expense Type", {o.WS}) AS "Expense Type",
+       trim("Expense Name", {o.WS}) AS "Expense Name"
+FROM expense_file WHERE "Expense Code" IS NOT NULL""")
+def lookup_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    published = lk.publish_lookup(_scan_expense_file(spark, sf_dir), "Expense Code")
+    path = scratch_path(spark, "expense_codes_parquet")
+    published.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("rolling_window", o.with_(o.LINES) + f"""
+SELECT * FROM lines WHERE "Line Date" >= TIMESTAMP '{WINDOW_END}' - INTERVAL 84 DAY AND "Line Date" < TIMESTAMP '{WINDOW_END}'""")
+def rolling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return win.rolling_window(s.line_items(spark, sf_dir), "Line Date", WINDOW_END)
+
+
+@register("fixed_start_window", o.with_(o.INVOICES) + f"""
+SELECT * FROM invoices WHERE "Invoice Date" >= TIMESTAMP '{FIXED_START}' AND "Invoice Date" < TIMESTAMP '{WINDOW_END}'""")
+def fixed_start_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return win.fixed_start_window(s.invoices(spark, sf_dir), "Invoice Date", FIXED_START, WINDOW_END)
+
+
+@register("iso_millis", f"""
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS ts_iso,
+       strftime(ts - INTERVAL 84 DAY, '%Y-%m-%dT%H:%M:%S.%gZ') AS window_start_iso FROM events""")
+def iso_millis_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = s.table(spark, sf_dir, "events")
+    return ev.select("event_id", iso_millis("ts").alias("ts_iso"),
+                     iso_millis(F.col("ts") - F.expr("INTERVAL 12 WEEKS")).alias("window_start_iso"))

@@ -112,3 +112,32 @@ def audit_chain(counts: DataFrame, chain: Iterable[str] = ("report",), page: str
         .otherwise("complete")
     )
     return joined.select(*chain, page, rows, has_next.alias("has_next"), status.alias("status"))
+
+
+def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int = PAGE_SIZE) -> DataFrame:
+    """Cut a report into service-style pages (the inverse of :func:`page_rows`).
+
+    Rows are numbered along ``order`` (unique), page = (number - 1) div
+    ``page_size``; when the last page is full an empty page follows, as the
+    service answers the request for the next page. Numbering uses
+    :func:`ledgerlake.operators.sequence.sequence_by_key` with the report as
+    the only key, so it is spread over all tasks; each page collects at most
+    ``page_size`` rows by construction.
+    """
+    from ledgerlake.operators.sequence import sequence_by_key
+
+    cols = df.columns
+    tagged = df.withColumn("report", F.lit(report))
+    numbered = sequence_by_key(tagged, ["report"], list(order), seq_col="__seq")
+    page = F.floor((F.col("__seq") - 1) / F.lit(page_size)).cast("long")
+    pages = numbered.groupBy("report", page.alias("page")).agg(
+        F.collect_list(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("resultSet")
+    )
+    totals = numbered.groupBy("report").agg(F.count(F.lit(1)).alias("__n"))
+    empty_tail = totals.filter(F.col("__n") % page_size == 0).select(
+        "report",
+        (F.col("__n") / page_size).cast("long").alias("page"),
+        F.array().cast(pages.schema["resultSet"].dataType).alias("resultSet"),
+    )
+    paging = F.struct(F.sha2(F.col("report"), 256).alias("sessionId"), F.col("page").cast("string").alias("identifier"))
+    return pages.unionByName(empty_tail).select("resultSet", paging.alias("paging"), "report", "page")
