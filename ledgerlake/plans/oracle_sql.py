@@ -109,3 +109,58 @@ def q(c: str, alias: str | None = None) -> str:
 NA_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
             "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 NA_LIST = ", ".join("'" + w + "'" for w in NA_WORDS)
+
+SOURCE_SYSTEM = "REPORT_API"
+
+FACT_LINES = """fl AS (
+  SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                   CAST(l_suppkey AS VARCHAR), CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR)) AS line_id,
+         CAST(l_orderkey AS VARCHAR) AS invoice_id, CAST(l_suppkey AS VARCHAR) AS timekeeper_id,
+         l_linestatus AS line_type, l_shipdate AS line_date,
+         {quantity} AS adjusted_line_quantity,
+         CAST(l_extendedprice AS DECIMAL(15,2)) AS adjusted_line_amount, l_returnflag AS role,
+         'P' || CAST(l_partkey AS VARCHAR) AS expense_code
+  FROM lineitem)"""
+
+FACT_SOURCES = FACT_LINES.format(quantity="CAST(l_quantity AS DECIMAL(5,2))") + """,
+fi AS (SELECT CAST(o_orderkey AS VARCHAR) AS invoice_id, CAST(o_custkey AS VARCHAR) AS matter_ref, o_orderdate AS invoice_date,
+              o_orderstatus AS invoice_status, CAST(o_totalprice AS DECIMAL(15,2)) AS gross_total,
+              o_orderpriority AS invoice_payment_status FROM orders),
+fm AS (SELECT CAST(c_custkey AS VARCHAR) AS matter_ref, c_name AS matter, CAST(c_nationkey AS VARCHAR) AS country,
+              c_mktsegment AS department, CAST(c_acctbal AS DECIMAL(15,2)) AS budget_in_customer_currency FROM customer),
+ft AS (SELECT CAST(s_suppkey AS VARCHAR) AS timekeeper_id, s_name AS timekeeper,
+              CAST(s_nationkey AS VARCHAR) AS customer_matter_id FROM supplier)"""
+
+
+def duck_type(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper()
+    return {"varchar": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+            "int": "INTEGER"}[t]
+
+
+def fact_select(exprs: dict[str, str]) -> str:
+    """All 71 fact columns: mapped ones TRY_CAST to the column type, others NULL."""
+    from ledgerlake.schemas import FACT_COLUMNS
+
+    out = []
+    for name, t, _ in FACT_COLUMNS:
+        if name in exprs:
+            out.append(f"TRY_CAST({exprs[name]} AS {duck_type(t)}) AS {name}")
+        else:
+            out.append(f"CAST(NULL AS {duck_type(t)}) AS {name}")
+    return ",\n       ".join(out)
+
+
+def ids(record_type: str, have: set[str]) -> dict[str, str]:
+    def rid(rt: str, key: str) -> str:
+        return row_id_of(rt, [key]) if key in have else "NULL"
+    keys = {"LINE": "line_id", "INVOICE": "invoice_id", "MATTER": "matter_ref", "TIMEKEEPER": "timekeeper_id"}
+    return {
+        "fact_guid": rid(record_type, keys[record_type]),
+        "fact_matter_guid": rid("MATTER", "matter_ref"),
+        "fact_matter_invoice_guid": rid("INVOICE", "invoice_id"),
+        "fact_invoice_lineitem_guid": rid("LINE", "line_id"),
+        "record_type": f"'{record_type}'",
+        "source_system_cde": f"'{SOURCE_SYSTEM}'",
+    }

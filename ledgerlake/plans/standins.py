@@ -172,3 +172,64 @@ def line_position_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         "Line Status", F.when(overlap & (F.col("Line Status") == "O"), F.lit("F")).otherwise(F.col("Line Status"))
     )
     return first, second
+
+
+# Fact-named stand-ins: the four sources with warehouse column names.
+SOURCE_SYSTEM = "REPORT_API"
+
+
+def fact_lines(spark: SparkSession, sf_dir: str, quantity: Column | None = None) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    if quantity is None:
+        quantity = F.col("l_quantity").cast("decimal(5,2)")
+    return li.select(
+        line_id().alias("line_id"),
+        text("l_orderkey").alias("invoice_id"),
+        text("l_suppkey").alias("timekeeper_id"),
+        F.col("l_linestatus").alias("line_type"),
+        F.col("l_shipdate").alias("line_date"),
+        quantity.alias("adjusted_line_quantity"),
+        money("l_extendedprice").alias("adjusted_line_amount"),
+        F.col("l_returnflag").alias("role"),
+        F.concat(F.lit("P"), text("l_partkey")).alias("expense_code"),
+    )
+
+
+def fact_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        text("o_orderkey").alias("invoice_id"),
+        text("o_custkey").alias("matter_ref"),
+        F.col("o_orderdate").alias("invoice_date"),
+        F.col("o_orderstatus").alias("invoice_status"),
+        money("o_totalprice").alias("gross_total"),
+        F.col("o_orderpriority").alias("invoice_payment_status"),
+    )
+
+
+def fact_matters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        text("c_custkey").alias("matter_ref"),
+        F.col("c_name").alias("matter"),
+        text("c_nationkey").alias("country"),
+        F.col("c_mktsegment").alias("department"),
+        money("c_acctbal").alias("budget_in_customer_currency"),
+    )
+
+
+def fact_timekeepers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        text("s_suppkey").alias("timekeeper_id"),
+        F.col("s_name").alias("timekeeper"),
+        text("s_nationkey").alias("customer_matter_id"),
+    )
+
+
+def raw_time_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line rows as landed text-ish values: returned lines (flag R) are
+    time entries whose quantity arrives in minutes instead of hours, which
+    overflows the table's decimal(5,2) from 16.67 hours on."""
+    qty = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") * 60).otherwise(F.col("l_quantity"))
+    return fact_lines(spark, sf_dir, qty)
