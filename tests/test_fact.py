@@ -1,0 +1,42 @@
+from decimal import Decimal
+
+from pyspark.sql import types as T
+
+from ledgerlake.operators import evolve as ev
+from ledgerlake.operators import fact as fx
+from ledgerlake.schemas import FACT_NAMES, FACT_PAYLOAD, FACT_SCHEMA
+
+
+def test_schema_counts():
+    assert len(FACT_NAMES) == 71 and len(FACT_PAYLOAD) == 56
+
+
+def test_rejects_too_long_and_too_large(spark):
+    raw = spark.createDataFrame(
+        [("x" * 51, 1.0), ("é" * 26, 2.0), ("ok", 1234.56), ("fine", 999.99)],
+        "line_id string, adjusted_line_quantity double")
+    good, bad = fx.split_rejects(raw)
+    reasons = {r["line_id"]: r["reject_reason"] for r in bad.collect()}
+    assert reasons["x" * 51] == "line_id: more than 50 bytes"
+    assert reasons["é" * 26] == "line_id: more than 50 bytes"
+    assert reasons["ok"] == "adjusted_line_quantity: does not fit decimal(5,2)"
+    g = good.collect()
+    assert len(g) == 1 and g[0]["adjusted_line_quantity"] == Decimal("999.99")
+    assert good.schema == FACT_SCHEMA
+
+
+def test_evolve_keeps_old_values(spark):
+    df = spark.createDataFrame([("1", "12", "x")], "a string, b string, c string")
+    out = ev.evolve(df, T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType()),
+                                      T.StructField("d", T.IntegerType())]))
+    assert out.columns == ["a", "b", "d", "b_legacy", "c_legacy"]
+    assert tuple(out.first()) == ("1", 12, None, "12", "x")
+
+
+def test_stacked_ids(spark):
+    lines = spark.createDataFrame([("L1", "I1")], "line_id string, invoice_id string")
+    inv = spark.createDataFrame([("I1", "M1")], "invoice_id string, matter_ref string")
+    out = {r["record_type"]: r for r in fx.stack_sources({fx.LINE: lines, fx.INVOICE: inv}, "SRC").collect()}
+    assert out["LINE"]["fact_guid"] == out["LINE"]["fact_invoice_lineitem_guid"]
+    assert out["LINE"]["fact_matter_invoice_guid"] == out["INVOICE"]["fact_guid"]
+    assert out["LINE"]["fact_matter_guid"] is None and out["INVOICE"]["fact_matter_guid"] is not None

@@ -1,0 +1,58 @@
+from ledgerlake.operators import upsert as u
+
+
+def _sorted(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_repeated_key_in_batch_keeps_both(spark):
+    target = spark.createDataFrame([(1, "old"), (2, "keep")], "k int, v string")
+    batch = spark.createDataFrame([(1, "n1"), (1, "n2")], "k int, v string")
+    assert _sorted(u.upsert(target, batch, ["k"])) == [(1, "n1"), (1, "n2"), (2, "keep")]
+
+
+def test_empty_batch_leaves_target(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    batch = spark.createDataFrame([], "k int, v string")
+    assert _sorted(u.upsert(target, batch, ["k"])) == _sorted(target)
+
+
+def test_null_key_replaces_null_key_rows(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "k int, v string")
+    batch = spark.createDataFrame([(None, "z")], "k int, v string")
+    assert _sorted(u.upsert(target, batch, ["k"])) == _sorted(spark.createDataFrame([(1, "a"), (None, "z")], "k int, v string"))
+
+
+def test_composite_key_delete(spark):
+    target = spark.createDataFrame([("t1", "m1", 1), ("t1", "m2", 2), ("t2", None, 3)], "t string, m string, v int")
+    batch = spark.createDataFrame([("t1", "m1", 9), ("t2", None, 8)], "t string, m string, v int")
+    assert _sorted(u.delete_by_key(target, batch, ["t", "m"])) == [("t1", "m2", 2)]
+
+
+def test_upsert_twice_equals_once(spark):
+    target = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "k int, v string")
+    batch = spark.createDataFrame([(3, "x"), (3, "y"), (12, "z")], "k int, v string")
+    once = u.upsert(target, batch, ["k"])
+    assert _sorted(u.upsert(once, batch, ["k"])) == _sorted(once)
+
+
+def test_batch_column_unknown_to_target_is_an_error(spark):
+    import pytest
+
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(1, "a", "x")], "k int, v string, extra string")
+    with pytest.raises(ValueError):
+        u.append(target, batch)
+
+
+def test_duplicate_keys_and_payload(spark):
+    df = spark.createDataFrame([(1, "a", "g"), (1, "b", "g"), (2, "c", "g")], "k int, mio_x string, row_guid string")
+    assert _sorted(u.duplicate_keys(df, ["k"])) == [(1, 2)]
+    assert u.payload_columns(df) == ["k"]
+
+
+def test_insert_and_update_from_batch(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, w string")
+    batch = spark.createDataFrame([(2, "B", None), (3, "C", "z")], "k int, v string, w string")
+    assert _sorted(u.insert_from_batch(target, batch, ["k"])) == [(3, "C", "z")]
+    assert _sorted(u.update_from_batch(target, batch, ["k"])) == [(1, "a", "x"), (2, "B", None)]
