@@ -132,16 +132,23 @@ def prepare_batch(batch: DataFrame, spec: VersionSpec) -> DataFrame:
 
 
 def empty_table(spark: SparkSession, batch: DataFrame, spec: VersionSpec) -> DataFrame:
-    fields = []
+    """An empty versioned table shaped for ``batch``.
+
+    Built as a projection of the batch under ``WHERE false``: Catalyst folds
+    it into an empty relation and prunes every join against it, so a first
+    load is planned as a plain projection of the batch.
+    """
+    cols = []
     if spec.id_column:
-        fields.append(T.StructField(spec.id_column, T.StringType()))
-    fields += [T.StructField(c, batch.schema[c].dataType) for c in spec.payload]
-    fields += [T.StructField(n, t) for n, t in BOOKKEEPING]
-    return spark.createDataFrame([], T.StructType(fields))
+        cols.append(F.lit(None).cast("string").alias(spec.id_column))
+    cols += [_c(c) for c in spec.payload]
+    cols += [F.lit(None).cast(t.simpleString()).alias(n) for n, t in BOOKKEEPING]
+    return batch.select(*cols).where(F.lit(False))
 
 
-def _row(spec: VersionSpec, values: dict[str, Column], types: dict[str, T.DataType]) -> Column:
-    return F.struct(*[values[c].cast(types[c]).alias(c) for c in spec.columns])
+def _row(spec: VersionSpec, values: dict[str, Column], types: dict[str, str], exact: set[str] = frozenset()) -> Column:
+    """One output row as a struct; columns in ``exact`` already have their type."""
+    return F.struct(*[(values[c] if c in exact else values[c].cast(types[c])).alias(c) for c in spec.columns])
 
 
 def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp,
@@ -158,7 +165,7 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     if mode not in ("delta", "full"):
         raise ValueError(f"unknown load mode {mode!r}; expected 'delta' or 'full'")
     keys = list(spec.keys)
-    types = {f.name: f.dataType for f in fact.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in fact.schema.fields}
 
     cur = fact.filter(_c(CURRENT) == F.lit(True))
     hist = fact.filter(~F.coalesce(_c(CURRENT), F.lit(False)))
@@ -197,9 +204,9 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
         VALID_FROM: stamp.date(),
         VALID_TO: F.lit(None),
     })
-    rows = F.when(closing, F.array(_row(spec, closed, types), _row(spec, reopened, types))).otherwise(
-        F.array(_row(spec, kept, types))
-    )
+    same = set(spec.columns)
+    rows = F.when(closing, F.array(_row(spec, closed, types, same - {VALID_TO, UPDATED_AT}),
+                                   _row(spec, reopened, types))).otherwise(F.array(_row(spec, kept, types, same)))
     from_current = j.select(F.inline(rows))
 
     matched_keys = j.filter(in_batch).select(*[F.col(f"__k{i}").alias(f"__m{i}") for i in range(len(keys))])

@@ -80,16 +80,17 @@ FROM counts c LEFT JOIN counts n ON n.report = c.report AND n.page = c.page + 1"
 @register("page_chain_audit", AUDIT_SQL)
 def page_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page the four reports like the service and audit every chain."""
+    li = s.line_items(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long"))
     reports = [
-        _line_pages(spark, sf_dir),
-        pg.paginate(s.invoices(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long")),
-                    "Reporting API - Invoice Level", ["__ord"]),
-        pg.paginate(s.matters(spark, sf_dir).withColumn("__ord", F.col("Matter Ref").cast("long")),
-                    "Reporting API - matter report", ["__ord"]),
-        pg.paginate(s.timekeepers(spark, sf_dir).withColumn("__ord", F.col("Timekeeper ID").cast("long")),
-                    "Timekeeper Report - full data pull down", ["__ord"]),
+        pg.page_sizes(li, LINE_REPORT, ["__ord", "Line ID"]),
+        pg.page_sizes(s.invoices(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long")),
+                      "Reporting API - Invoice Level", ["__ord"]),
+        pg.page_sizes(s.matters(spark, sf_dir).withColumn("__ord", F.col("Matter Ref").cast("long")),
+                      "Reporting API - matter report", ["__ord"]),
+        pg.page_sizes(s.timekeepers(spark, sf_dir).withColumn("__ord", F.col("Timekeeper ID").cast("long")),
+                      "Timekeeper Report - full data pull down", ["__ord"]),
     ]
-    counts = reduce(DataFrame.unionByName, [pg.page_counts(p) for p in reports])
+    counts = reduce(DataFrame.unionByName, reports)
     return pg.audit_chain(counts)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import ROLE_GROUPS_SCHEMA
+from ledgerlake.sources.scan import read_parquet
 
 # Reference rows of the role-group look-up: "R" is listed twice on purpose
 # (a repeated look-up key multiplies rows), "Z" matches no line, and one
@@ -34,8 +35,19 @@ ROLE_GROUP_ROWS = [
 ]
 
 
+# Row keys of the benchmark tables (spread key when a scan is too coarse).
+TABLE_KEYS = {
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "orders": ["o_orderkey"],
+    "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
+    "part": ["p_partkey"],
+    "events": ["event_id"],
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", TABLE_KEYS.get(name))
 
 
 def money(c: str) -> Column:

@@ -124,20 +124,34 @@ def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int =
     the only key, so it is spread over all tasks; each page collects at most
     ``page_size`` rows by construction.
     """
-    from ledgerlake.operators.sequence import sequence_by_key
-
     cols = df.columns
-    tagged = df.withColumn("report", F.lit(report))
-    numbered = sequence_by_key(tagged, ["report"], list(order), seq_col="__seq")
-    page = F.floor((F.col("__seq") - 1) / F.lit(page_size)).cast("long")
-    pages = numbered.groupBy("report", page.alias("page")).agg(
+    numbered = _numbered(df, report, order, page_size)
+    pages = numbered.groupBy("report", "page").agg(
         F.collect_list(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("resultSet")
     )
-    totals = numbered.groupBy("report").agg(F.count(F.lit(1)).alias("__n"))
-    empty_tail = totals.filter(F.col("__n") % page_size == 0).select(
-        "report",
-        (F.col("__n") / page_size).cast("long").alias("page"),
-        F.array().cast(pages.schema["resultSet"].dataType).alias("resultSet"),
-    )
+    empty_tail = _empty_tail(numbered, page_size).select(
+        "report", "page", F.array().cast(pages.schema["resultSet"].dataType).alias("resultSet"))
     paging = F.struct(F.sha2(F.col("report"), 256).alias("sessionId"), F.col("page").cast("string").alias("identifier"))
     return pages.unionByName(empty_tail).select("resultSet", paging.alias("paging"), "report", "page")
+
+
+def _numbered(df: DataFrame, report: str, order: Iterable[str], page_size: int) -> DataFrame:
+    from ledgerlake.operators.sequence import sequence_by_key
+
+    tagged = df.withColumn("report", F.lit(report))
+    numbered = sequence_by_key(tagged, ["report"], list(order), seq_col="__seq")
+    return numbered.withColumn("page", F.floor((F.col("__seq") - 1) / F.lit(page_size)).cast("long"))
+
+
+def _empty_tail(numbered: DataFrame, page_size: int) -> DataFrame:
+    totals = numbered.groupBy("report").agg(F.count(F.lit(1)).alias("__n"))
+    return totals.filter(F.col("__n") % page_size == 0).select(
+        "report", (F.col("__n") / page_size).cast("long").alias("page"))
+
+
+def page_sizes(df: DataFrame, report: str, order: Iterable[str], page_size: int = PAGE_SIZE) -> DataFrame:
+    """Rows per page of :func:`paginate` without building the pages (counts
+    are aggregated map-side; the empty tail page counts 0)."""
+    numbered = _numbered(df, report, order, page_size)
+    counts = numbered.groupBy("report", "page").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
+    return counts.unionByName(_empty_tail(numbered, page_size).withColumn("n_rows", F.lit(0)))
