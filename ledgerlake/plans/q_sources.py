@@ -80,17 +80,17 @@ FROM counts c LEFT JOIN counts n ON n.report = c.report AND n.page = c.page + 1"
 @register("page_chain_audit", AUDIT_SQL)
 def page_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page the four reports like the service and audit every chain."""
-    li = s.line_items(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long"))
-    reports = [
-        pg.page_sizes(li, LINE_REPORT, ["__ord", "Line ID"]),
-        pg.page_sizes(s.invoices(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long")),
-                      "Reporting API - Invoice Level", ["__ord"]),
-        pg.page_sizes(s.matters(spark, sf_dir).withColumn("__ord", F.col("Matter Ref").cast("long")),
-                      "Reporting API - matter report", ["__ord"]),
-        pg.page_sizes(s.timekeepers(spark, sf_dir).withColumn("__ord", F.col("Timekeeper ID").cast("long")),
-                      "Timekeeper Report - full data pull down", ["__ord"]),
-    ]
-    counts = reduce(DataFrame.unionByName, reports)
+    def keyed(df: DataFrame, report: str, key: str, tie: str | None = None) -> DataFrame:
+        return df.select(F.lit(report).alias("report"), F.col(key).cast("long").alias("__ord"),
+                         (F.col(tie) if tie else F.lit("")).alias("__tie"))
+
+    rows = reduce(DataFrame.unionByName, [
+        keyed(s.line_items(spark, sf_dir), LINE_REPORT, "Invoice ID", "Line ID"),
+        keyed(s.invoices(spark, sf_dir), "Reporting API - Invoice Level", "Invoice ID"),
+        keyed(s.matters(spark, sf_dir), "Reporting API - matter report", "Matter Ref"),
+        keyed(s.timekeepers(spark, sf_dir), "Timekeeper Report - full data pull down", "Timekeeper ID"),
+    ])
+    counts = pg.page_sizes(rows, ["__ord", "__tie"])
     return pg.audit_chain(counts)
 
 

@@ -125,7 +125,7 @@ def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int =
     ``page_size`` rows by construction.
     """
     cols = df.columns
-    numbered = _numbered(df, report, order, page_size)
+    numbered = _numbered(df.withColumn("report", F.lit(report)), order, page_size)
     pages = numbered.groupBy("report", "page").agg(
         F.collect_list(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("resultSet")
     )
@@ -135,11 +135,10 @@ def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int =
     return pages.unionByName(empty_tail).select("resultSet", paging.alias("paging"), "report", "page")
 
 
-def _numbered(df: DataFrame, report: str, order: Iterable[str], page_size: int) -> DataFrame:
+def _numbered(df: DataFrame, order: Iterable[str], page_size: int) -> DataFrame:
     from ledgerlake.operators.sequence import sequence_by_key
 
-    tagged = df.withColumn("report", F.lit(report))
-    numbered = sequence_by_key(tagged, ["report"], list(order), seq_col="__seq")
+    numbered = sequence_by_key(df, ["report"], list(order), seq_col="__seq")
     return numbered.withColumn("page", F.floor((F.col("__seq") - 1) / F.lit(page_size)).cast("long"))
 
 
@@ -149,9 +148,10 @@ def _empty_tail(numbered: DataFrame, page_size: int) -> DataFrame:
         "report", (F.col("__n") / page_size).cast("long").alias("page"))
 
 
-def page_sizes(df: DataFrame, report: str, order: Iterable[str], page_size: int = PAGE_SIZE) -> DataFrame:
-    """Rows per page of :func:`paginate` without building the pages (counts
-    are aggregated map-side; the empty tail page counts 0)."""
-    numbered = _numbered(df, report, order, page_size)
+def page_sizes(df: DataFrame, order: Iterable[str], page_size: int = PAGE_SIZE) -> DataFrame:
+    """Rows per page of :func:`paginate` for every report in ``df`` (a
+    ``report`` column), without building the pages: one numbering pass over
+    all reports, counts aggregated map-side; the empty tail page counts 0."""
+    numbered = _numbered(df, order, page_size)
     counts = numbered.groupBy("report", "page").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
     return counts.unionByName(_empty_tail(numbered, page_size).withColumn("n_rows", F.lit(0)))

@@ -32,16 +32,37 @@ def input_bytes(spark: SparkSession, df: DataFrame) -> int:
     return total
 
 
-def spread(df: DataFrame, keys: Sequence[str], min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
+# (path, file modification times) -> (input splits, input bytes). Only a
+# performance hint: a stale entry can change the plan, never the result.
+_SCAN_SHAPE: dict[tuple, tuple[int, int]] = {}
+
+
+def _scan_shape(spark: SparkSession, df: DataFrame, path: str | None) -> tuple[int, int]:
+    key = None
+    if path is not None:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+        key = (path, int(st.getModificationTime()), int(st.getLen()))
+        if key in _SCAN_SHAPE:
+            return _SCAN_SHAPE[key]
+    shape = (df.rdd.getNumPartitions(), input_bytes(spark, df))
+    if key is not None:
+        _SCAN_SHAPE[key] = shape
+    return shape
+
+
+def spread(df: DataFrame, keys: Sequence[str], min_bytes: int = MIN_SPREAD_BYTES, path: str | None = None) -> DataFrame:
     """``df`` unchanged when its scan already has enough splits, else hash-
     distributed over ``keys`` to the cluster's default parallelism."""
     spark = df.sparkSession
     want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 >= want or input_bytes(spark, df) < min_bytes:
+    splits, size = _scan_shape(spark, df, path)
+    if splits * 2 >= want or size < min_bytes:
         return df
     return df.repartition(want, *[F.col(k) for k in keys])
 
 
 def read_parquet(spark: SparkSession, path: str, keys: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
-    return spread(df, keys) if keys else df
+    return spread(df, keys, path=path) if keys else df
