@@ -64,6 +64,31 @@ def slice_of(df: DataFrame, column: str, slices: int) -> Column:
     return F.when(x.isNull(), F.lit(-1)).otherwise(_bucket(x, bounds, 0, len(bounds)))
 
 
+def slice_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = (),
+                slices: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``__key`` and ``__slice``, per-slice table).
+
+    The per-slice table has one row per (key, slice): ``__cnt`` rows,
+    ``__off`` rows of the key in earlier slices, and for each ``c`` in
+    ``carry`` the first value of the next slice (``__snext_<c>``).
+    """
+    spark = df.sparkSession
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[_c(k) for k in keys])  # null-safe: struct(null) equals struct(null)
+    ordered = [_c(o) for o in order]
+    sliced = df.withColumn("__key", key).withColumn("__slice", slice_of(df, order[0], n))
+
+    first = F.min_by(F.struct(*[_c(c).alias(c) for c in carry]), F.struct(*ordered)) if carry else F.lit(None)
+    stats = sliced.groupBy("__key", "__slice").agg(F.count(F.lit(1)).alias("__cnt"), first.alias("__first"))
+    w_key = Window.partitionBy("__key").orderBy("__slice")
+    stats = stats.withColumn(
+        "__off", F.coalesce(F.sum("__cnt").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
+    for c in carry:
+        stats = stats.withColumn(f"__snext_{c}", F.lead(F.col("__first")[c]).over(w_key))
+    return sliced, stats.drop("__first")
+
+
 def sequence_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,27 +103,13 @@ def sequence_by_key(
     ``order``) and ``next_<c>`` for each ``c`` in ``carry`` (value on the next
     row of the key, null on the last). ``order`` must make rows of a key
     unique (add a tie-breaker column); ascending, nulls first."""
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*[_c(k) for k in keys])  # null-safe: struct(null) equals struct(null)
     ordered = [_c(o) for o in order]
-
-    sliced = df.withColumn("__key", key).withColumn("__slice", slice_of(df, order[0], n))
+    sliced, stats = slice_stats(df, keys, order, carry, slices)
     w_local = Window.partitionBy("__key", "__slice").orderBy(*ordered)
     local = sliced.withColumn("__lseq", F.row_number().over(w_local))
     for c in carry:
         local = local.withColumn(f"__lnext_{c}", F.lead(_c(c)).over(w_local))
 
-    first = F.min_by(F.struct(*[_c(c).alias(c) for c in carry]), F.struct(*ordered)) if carry else F.lit(None)
-    stats = local.groupBy("__key", "__slice").agg(F.count(F.lit(1)).alias("__cnt"), first.alias("__first"))
-    w_key = Window.partitionBy("__key").orderBy("__slice")
-    stats = stats.withColumn(
-        "__off", F.coalesce(F.sum("__cnt").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    for c in carry:
-        stats = stats.withColumn(f"__snext_{c}", F.lead(F.col("__first")[c]).over(w_key))
-    stats = stats.drop("__first")
-
     out = local.join(stats, ["__key", "__slice"], "inner")
     last_in_slice = F.col("__lseq") == F.col("__cnt")
     out = out.withColumn(seq_col, (F.col("__off") + F.col("__lseq")).cast("long"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import iso_millis
 from ledgerlake.plans import oracle_sql as o
+from ledgerlake.plans.q_clean import REPORT_LINE_SQL
 from ledgerlake.plans import standins as s
 from ledgerlake.plans.catalog import register
 from ledgerlake.schemas import PAGE_SIZE
@@ -156,3 +157,24 @@ def iso_millis_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = s.table(spark, sf_dir, "events")
     return ev.select("event_id", iso_millis("ts").alias("ts_iso"),
                      iso_millis(F.col("ts") - F.expr("INTERVAL 12 WEEKS")).alias("window_start_iso"))
+
+
+@register("report_load", REPORT_LINE_SQL.replace(
+    'SELECT m1."Line ID"', "SELECT 'Reporting API - test report' AS report, 'USD' AS currency, 'FLATTENED' AS report_layout, m1.\"Line ID\""))
+def report_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line-item report end to end: pages landed as JSON, look-ups landed
+    as CSV (size-checked before broadcast), chain audit, cleaning, upsert."""
+    from ledgerlake.operators.report_load import load_lookups, load_report
+
+    root = scratch_path(spark, "report_load")
+    pages = _line_pages(spark, sf_dir)
+    record_schema = pages.schema["resultSet"].dataType.elementType
+    pages.write.partitionBy("report").json(f"{root}/pages")
+    lk.write_lookup_csv(s.role_groups(spark), f"{root}/role_groups")
+    lk.write_lookup_csv(s.expense_codes(spark, sf_dir), f"{root}/expense_codes")
+    lookups = load_lookups(spark, f"{root}/role_groups", f"{root}/expense_codes",
+                           ["Expense Code", "Expense Type", "Expense Name"])
+    load_report(spark, LINE_REPORT, f"{root}/pages", record_schema, lookups, f"{root}/table", ("pages", 0))
+    from ledgerlake.sinks.versioned_dir import ReportTable
+
+    return ReportTable(spark, f"{root}/table", ["Line ID"]).read()

@@ -150,8 +150,28 @@ def _empty_tail(numbered: DataFrame, page_size: int) -> DataFrame:
 
 def page_sizes(df: DataFrame, order: Iterable[str], page_size: int = PAGE_SIZE) -> DataFrame:
     """Rows per page of :func:`paginate` for every report in ``df`` (a
-    ``report`` column), without building the pages: one numbering pass over
-    all reports, counts aggregated map-side; the empty tail page counts 0."""
-    numbered = _numbered(df, order, page_size)
-    counts = numbered.groupBy("report", "page").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
-    return counts.unionByName(_empty_tail(numbered, page_size).withColumn("n_rows", F.lit(0)))
+    ``report`` column), without numbering single rows.
+
+    Rows of a report are cut into slices along ``order`` (see
+    :func:`ledgerlake.operators.sequence.slice_stats`); a slice with offset
+    ``o`` and ``c`` rows covers positions o+1 .. o+c, so it adds
+    ``min(o+c, (p+1)*size) - max(o, p*size)`` rows to each page ``p`` it
+    overlaps. Summing those per page gives the exact page sizes from one row
+    per slice; the empty tail page (when the last page is full) counts 0.
+    """
+    from ledgerlake.operators.sequence import slice_stats
+
+    _, stats = slice_stats(df, ["report"], list(order))
+    size = F.lit(page_size).cast("long")
+    off, cnt = F.col("__off"), F.col("__cnt")
+    pages = stats.select(
+        F.col("__key.report").alias("report"), off, cnt,
+        F.explode(F.sequence(F.floor(off / size), F.floor((off + cnt - 1) / size))).alias("page"),
+    )
+    rows = F.least(off + cnt, (F.col("page") + 1) * size) - F.greatest(off, F.col("page") * size)
+    counts = pages.groupBy("report", F.col("page").cast("long").alias("page")).agg(
+        F.sum(rows).cast("int").alias("n_rows"))
+    totals = stats.groupBy(F.col("__key.report").alias("report")).agg(F.sum("__cnt").alias("__n"))
+    tail = totals.filter(F.col("__n") % page_size == 0).select(
+        "report", (F.col("__n") / page_size).cast("long").alias("page"), F.lit(0).alias("n_rows"))
+    return counts.unionByName(tail)

@@ -48,3 +48,29 @@ def test_paginate_round_trip(spark):
     assert [tuple(r) for r in back] == [(i, 2 * i) for i in range(23)]
     full = pg.paginate(spark.range(0, 10), "r", ["id"], page_size=5)
     assert [r["n"] for r in full.select("page", F.size("resultSet").alias("n")).orderBy("page").collect()] == [5, 5, 0]
+
+
+def test_page_sizes_equal_paginated_counts(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [("r1", rnd.randint(0, 999), i) for i in range(137)] + [("r2", rnd.randint(0, 50), i) for i in range(40)]
+    df = spark.createDataFrame(rows, "report string, o int, t int")
+    for size in (7, 10, 40):
+        got = sorted(tuple(r) for r in pg.page_sizes(df, ["o", "t"], page_size=size).collect())
+        expected = []
+        for rep, n in (("r1", 137), ("r2", 40)):
+            full, rest = divmod(n, size)
+            expected += [(rep, p, size) for p in range(full)] + [(rep, full, rest)]
+        assert got == sorted(expected), size
+
+
+def test_incomplete_chain_raises(spark):
+    import pytest
+
+    from ledgerlake.operators.report_load import IncompletePages, check_chains
+
+    pages = spark.createDataFrame(
+        [("r", 0, [1] * 5000), ("r", 1, [1] * 5000)], "report string, page long, resultSet array<int>")
+    with pytest.raises(IncompletePages):
+        check_chains(pages)
