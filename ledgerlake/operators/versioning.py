@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions.hashing import delta_hash, row_id
+from ledgerlake.functions.hashing import delta_hash, ident, row_id, sql_text
 from ledgerlake.operators.joins import key_match
 from ledgerlake.operators.sequence import sequence_by_key
 from ledgerlake.schemas import DELETE_MARK
@@ -100,8 +100,14 @@ class LoadStamp:
         return F.lit(self.run_by)
 
     def ts(self) -> Column:
-        v = self.run_ts.isoformat(sep=" ") if isinstance(self.run_ts, dt.datetime) else self.run_ts
-        return F.lit(v).cast("timestamp_ntz")
+        return F.lit(self.ts_text()).cast("timestamp_ntz")
+
+    def ts_text(self) -> str:
+        return self.run_ts.isoformat(sep=" ") if isinstance(self.run_ts, dt.datetime) else str(self.run_ts)
+
+    def sql(self) -> tuple[str, str, str]:
+        """(load date, run by, run time) as SQL literals."""
+        return f"DATE'{self.load_date}'", sql_text(self.run_by), f"TIMESTAMP_NTZ'{self.ts_text()}'"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -146,11 +152,6 @@ def empty_table(spark: SparkSession, batch: DataFrame, spec: VersionSpec) -> Dat
     return batch.select(*cols).where(F.lit(False))
 
 
-def _row(spec: VersionSpec, values: dict[str, Column], types: dict[str, str], exact: set[str] = frozenset()) -> Column:
-    """One output row as a struct; columns in ``exact`` already have their type."""
-    return F.struct(*[(values[c] if c in exact else values[c].cast(types[c])).alias(c) for c in spec.columns])
-
-
 def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp,
                     mode: str = "delta") -> DataFrame:
     """Next state of a versioned table after loading ``batch``.
@@ -178,57 +179,54 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     )
     j = cur.join(nb, key_match(cur, nb, [(k, f"__k{i}") for i, k in enumerate(keys)], True), "left")
 
-    in_batch = F.col("__in_batch").isNotNull()
-    marked = F.coalesce(_c(DELETE) == F.lit(DELETE_MARK), F.lit(False))
-    changed = in_batch & ((_c(HASH) != F.col(f"`__n_{HASH}`")) | marked)
-    vanished = (~in_batch & ~marked) if mode == "full" else F.lit(False)
-    closing = changed | vanished
+    # The per-row output is one SQL expression (parsed once on the JVM): an
+    # array of the rows a current row turns into.
+    day, by, ts = stamp.sql()
+    in_batch = "(`__in_batch` IS NOT NULL)"
+    marked = f"coalesce({ident(DELETE)} = '{DELETE_MARK}', false)"
+    changed = f"({in_batch} AND ({ident(HASH)} <> {ident('__n_' + HASH)} OR {marked}))"
+    vanished = f"(NOT {in_batch} AND NOT {marked})" if mode == "full" else "false"
+    closing = f"({changed} OR {vanished})"
+
+    def row(values: dict[str, str]) -> str:
+        return "named_struct(" + ", ".join(
+            f"{sql_text(c)}, CAST({values[c]} AS {types[c]})" for c in spec.columns) + ")"
 
-    kept = {c: _c(c) for c in spec.columns}
+    kept = {c: ident(c) for c in spec.columns}
     closed = dict(kept)
-    closed.update({CURRENT: F.lit(False), VALID_TO: stamp.date(), UPDATED_BY: stamp.by(), UPDATED_AT: stamp.ts()})
-    reopened = {
-        c: F.when(changed, F.col(f"`__n_{c}`")).otherwise(_c(c))
-        for c in list(spec.payload) + [SOURCE_FILE, HASH]
-    }
+    closed.update({CURRENT: "false", VALID_TO: day, UPDATED_BY: by, UPDATED_AT: ts})
+    reopened = {c: f"CASE WHEN {changed} THEN {ident('__n_' + c)} ELSE {ident(c)} END"
+                for c in list(spec.payload) + [SOURCE_FILE, HASH]}
     if spec.id_column:
-        reopened[spec.id_column] = _c(spec.id_column)
+        reopened[spec.id_column] = ident(spec.id_column)
     reopened.update({
-        DELETE: F.when(changed, F.lit(None).cast("string")).otherwise(F.lit(DELETE_MARK)),
-        CURRENT: F.lit(True),
-        VERSION: _c(VERSION) + 1,
-        CREATED_BY: _c(CREATED_BY),
-        CREATED_AT: _c(CREATED_AT),
-        UPDATED_BY: stamp.by(),
-        UPDATED_AT: stamp.ts(),
-        VALID_FROM: stamp.date(),
-        VALID_TO: F.lit(None),
+        DELETE: f"CASE WHEN {changed} THEN NULL ELSE '{DELETE_MARK}' END",
+        CURRENT: "true",
+        VERSION: f"{ident(VERSION)} + 1",
+        CREATED_BY: ident(CREATED_BY),
+        CREATED_AT: ident(CREATED_AT),
+        UPDATED_BY: by,
+        UPDATED_AT: ts,
+        VALID_FROM: day,
+        VALID_TO: "NULL",
     })
-    same = set(spec.columns)
-    rows = F.when(closing, F.array(_row(spec, closed, types, same - {VALID_TO, UPDATED_AT}),
-                                   _row(spec, reopened, types))).otherwise(F.array(_row(spec, kept, types, same)))
-    from_current = j.select(F.inline(rows))
+    rows = f"CASE WHEN {closing} THEN array({row(closed)}, {row(reopened)}) ELSE array({row(kept)}) END"
+    from_current = j.select(F.inline(F.expr(rows)))
 
-    matched_keys = j.filter(in_batch).select(*[F.col(f"__k{i}").alias(f"__m{i}") for i in range(len(keys))])
+    matched_keys = j.filter(F.col("__in_batch").isNotNull()).select(
+        *[F.col(f"__k{i}").alias(f"__m{i}") for i in range(len(keys))])
     fresh = nb.join(
         matched_keys, key_match(nb, matched_keys, [(f"__k{i}", f"__m{i}") for i in range(len(keys))], True),
         "left_anti",
     )
-    opened = {c: F.col(f"`__n_{c}`") for c in list(spec.payload) + [SOURCE_FILE, HASH]}
+    opened = {c: ident("__n_" + c) for c in list(spec.payload) + [SOURCE_FILE, HASH]}
     if spec.id_column:
-        opened[spec.id_column] = F.col(f"`__n_{spec.id_column}`")
+        opened[spec.id_column] = ident("__n_" + spec.id_column)
     opened.update({
-        DELETE: F.lit(None).cast("string"),
-        CURRENT: F.lit(True),
-        VERSION: F.lit(1),
-        CREATED_BY: stamp.by(),
-        CREATED_AT: stamp.ts(),
-        UPDATED_BY: stamp.by(),
-        UPDATED_AT: stamp.ts(),
-        VALID_FROM: stamp.date(),
-        VALID_TO: F.lit(None),
+        DELETE: "NULL", CURRENT: "true", VERSION: "1", CREATED_BY: by, CREATED_AT: ts,
+        UPDATED_BY: by, UPDATED_AT: ts, VALID_FROM: day, VALID_TO: "NULL",
     })
-    new_rows = fresh.select(*[opened[c].cast(types[c]).alias(c) for c in spec.columns])
+    new_rows = fresh.selectExpr(*[f"CAST({opened[c]} AS {types[c]}) AS {ident(c)}" for c in spec.columns])
 
     return hist.select(*spec.columns).unionByName(from_current).unionByName(new_rows)
 
