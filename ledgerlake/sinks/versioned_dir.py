@@ -186,3 +186,15 @@ class FactTable:
             "batches": _batches(entry, batch_id),
         })
         return version
+
+
+def publish_current_view(table: FactTable, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Register the current rows of a versioned table as a view (the
+    reporting view over the table: current flag, fixed column order). Only
+    the current part is listed, so readers never touch the history."""
+    cur = table.current()
+    if cur is None:
+        raise ValueError(f"table at {table.log.root} has no committed version")
+    view = v.current_rows(cur, columns)
+    view.createOrReplaceTempView(name)
+    return table.spark.table(name)

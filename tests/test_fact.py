@@ -40,3 +40,17 @@ def test_stacked_ids(spark):
     assert out["LINE"]["fact_guid"] == out["LINE"]["fact_invoice_lineitem_guid"]
     assert out["LINE"]["fact_matter_invoice_guid"] == out["INVOICE"]["fact_guid"]
     assert out["LINE"]["fact_matter_guid"] is None and out["INVOICE"]["fact_matter_guid"] is not None
+
+
+def test_bucketed_join_needs_no_exchange(spark, tmp_dir):
+    df = spark.range(0, 2000).selectExpr("sha2(CAST(id AS STRING), 256) AS fact_guid", "id")
+    fx.write_bucketed(df, "bucketed_a", tmp_dir + "/a", buckets=4)
+    fx.write_bucketed(df.selectExpr("fact_guid", "id * 2 AS v"), "bucketed_b", tmp_dir + "/b", buckets=4)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("bucketed_a").join(spark.table("bucketed_b"), "fact_guid")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and j.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

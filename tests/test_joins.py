@@ -48,3 +48,20 @@ def test_full_merge_matches_pandas_outer_merge(spark):
     ls = spark.createDataFrame(left, "id int, k string")
     rs = spark.createDataFrame(right, "k string, g string")
     assert _rows(merge(ls, rs, ["k"], "full"), ["id", "k", "g"]) == sorted(expected, key=repr)
+
+
+def test_hot_key_full_merge_and_upsert(spark):
+    from ledgerlake.operators import upsert as u
+
+    # one key holds a third of all rows, plus a hot null key
+    rows = [(i, "hot" if i % 3 == 0 else (None if i % 7 == 0 else f"k{i % 50}")) for i in range(3000)]
+    left = spark.createDataFrame(rows, "id int, k string")
+    look = spark.createDataFrame([("hot", "H"), (None, "N"), ("k1", "K"), ("zz", "Z")], "k string, g string")
+    out = merge(left, look, ["k"], "full")
+    expected_rows = len(rows) + 1  # every left row once, plus the unused "zz"
+    assert out.count() == expected_rows
+    assert out.filter("k = 'hot'").count() == 1000 and out.filter("k IS NULL").select("g").distinct().collect()[0][0] == "N"
+    batch = spark.createDataFrame([(-1, "hot"), (-2, None)], "id int, k string")
+    kept = u.upsert(left, batch, ["k"])
+    assert kept.filter("k = 'hot'").count() == 1 and kept.filter("k IS NULL").count() == 1
+    assert kept.count() == len(rows) - 1000 - sum(1 for _, k in rows if k is None) + 2

@@ -23,3 +23,14 @@ def test_report_table_upsert(spark, tmp_dir):
     t.upsert(spark.createDataFrame([("2", "Y"), ("2", "Y2")], "k string, a string"), batch_id=("s", 1))
     t.upsert(spark.createDataFrame([("9", "no")], "k string, a string"), batch_id=("s", 1))
     assert sorted(tuple(r) for r in t.read().collect()) == [("1", "x"), ("2", "Y"), ("2", "Y2")]
+
+
+def test_publish_current_view(spark, tmp_dir):
+    from ledgerlake.sinks.versioned_dir import publish_current_view
+
+    t = FactTable(spark, tmp_dir + "/fact", SPEC)
+    t.load(spark.createDataFrame([("1", "x"), ("2", "y")], "k string, a string"), S1)
+    t.load(spark.createDataFrame([("2", "Y")], "k string, a string"), S2)
+    view = publish_current_view(t, "fact_current", SPEC.columns)
+    assert sorted((r["k"], r["a"]) for r in view.collect()) == [("1", "x"), ("2", "Y")]
+    assert view.columns == SPEC.columns
