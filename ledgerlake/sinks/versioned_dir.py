@@ -13,8 +13,8 @@ Layouts:
 * report tables (:class:`ReportTable`): one part per version, the whole
   table (delete-by-key + append written as one new part);
 * versioned facts (:class:`FactTable`): closed history is append-only (one
-  ``history`` part per load, never rewritten) and the current rows are one
-  part per load. A load reads only the current part.
+  ``history`` part per load, never rewritten); current rows sit in partition
+  folders, and a load reads and rewrites only the partitions it touches.
 
 All paths go through the Hadoop file system of the root, so the same code
 runs on HDFS or an object store.
@@ -23,13 +23,15 @@ runs on HDFS or an object store.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators import upsert as u
+from ledgerlake.operators.joins import key_match
 from ledgerlake.operators import versioning as v
 
 
@@ -82,6 +84,14 @@ class TableLog:
     def exists(self, name: str) -> bool:
         return bool(self._fs.exists(self._Path(self.part_path(name))))
 
+    def list_dirs(self, name: str) -> list[str]:
+        path = self._Path(self.part_path(name))
+        if not self._fs.exists(path):
+            return []
+        names = [st.getPath().getName() for st in self._fs.listStatus(path) if st.isDirectory()]
+        # Spark's rule: hidden unless it is a partition folder (has "=").
+        return sorted(n for n in names if not n.startswith(".") and (not n.startswith("_") or "=" in n))
+
 
 def _already_done(entry: dict | None, batch: tuple[str, int] | None) -> bool:
     if entry is None or batch is None:
@@ -125,11 +135,36 @@ class ReportTable:
         return version
 
 
-class FactTable:
-    """A versioned fact: append-only history, rewritten current rows."""
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+PART = "__part"
+_SAFE = re.compile(r"^[A-Za-z0-9_.\-]+$")
+
 
-    def __init__(self, spark: SparkSession, root: str, spec: v.VersionSpec):
+def _folder(value) -> str:
+    if value is None:
+        return f"{PART}={NULL_PARTITION}"
+    text = str(value)
+    if not _SAFE.match(text):
+        raise ValueError(f"partition value {text!r} is not path-safe; use digits, letters, '.', '_' or '-'")
+    return f"{PART}={text}"
+
+
+class FactTable:
+    """A versioned fact: append-only history, rewritten current rows.
+
+    ``partition_expr`` (optional, SQL over payload columns, path-safe values,
+    e.g. ``date_format(`invoice_date`, 'yyyyMM')``) splits the current rows
+    into partitions. A delta load then rewrites only the partitions the batch
+    touches - those of the batch rows and those holding current rows of the
+    batch keys - and carries every other partition over by reference, so the
+    cost of a load follows the batch, not the table. A full refresh rewrites
+    all partitions (every key may close). Only the distinct partition values
+    (one per month, say) reach the driver.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, spec: v.VersionSpec, partition_expr: str | None = None):
         self.spark, self.spec, self.log = spark, spec, TableLog(spark, root)
+        self.partition_expr = partition_expr
 
     def _read(self, parts: list[str], schema: T.StructType, current: bool) -> DataFrame:
         """Rows of ``parts``; the current flag is the folder they sit in."""
@@ -139,11 +174,13 @@ class FactTable:
         df = self.spark.read.schema(stored).parquet(*[self.log.part_path(p) for p in parts])
         return df.withColumn(v.CURRENT, F.lit(current)).select(*[F.col(f"`{n}`") for n in schema.names])
 
-    def current(self) -> DataFrame | None:
+    def current(self, partitions: set[str] | None = None) -> DataFrame | None:
+        """Current rows (of the given partition folders only, if given)."""
         entry = self.log.latest()
         if entry is None:
             return None
-        return self._read([entry["current"]] if entry["current"] else [], T.StructType.fromJson(entry["schema"]), True)
+        parts = [p for name, p in entry["current"].items() if partitions is None or name in partitions]
+        return self._read(parts, T.StructType.fromJson(entry["schema"]), True)
 
     def read(self) -> DataFrame | None:
         """All versions (history and current rows)."""
@@ -151,13 +188,29 @@ class FactTable:
         if entry is None:
             return None
         schema = T.StructType.fromJson(entry["schema"])
-        current = [entry["current"]] if entry["current"] else []
-        return self._read(entry["history"], schema, False).unionByName(self._read(current, schema, True))
+        return self._read(entry["history"], schema, False).unionByName(
+            self._read(list(entry["current"].values()), schema, True))
 
     def as_of(self, day) -> DataFrame | None:
         full = self.read()
         return None if full is None else v.as_of(full, day)
 
+    def _partition(self) -> Column:
+        if self.partition_expr is None:
+            return F.lit(None).cast("string")
+        return F.expr(self.partition_expr).cast("string")
+
+    def _touched(self, batch: DataFrame) -> set[str]:
+        """Partition folders a delta load must rewrite."""
+        part = self._partition()
+        keys = list(self.spec.keys)
+        values = {r[0] for r in batch.select(part).distinct().collect()}
+        cur = self.current()
+        bk = batch.select(*[F.col(f"`{k}`").alias(f"__bk{i}") for i, k in enumerate(keys)]).distinct()
+        cond = key_match(cur, bk, [(k, f"__bk{i}") for i, k in enumerate(keys)], True)
+        values |= {r[0] for r in cur.join(bk, cond, "left_semi").select(part).distinct().collect()}
+        return {_folder(x) for x in values}
+
     def load(self, batch: DataFrame, stamp: v.LoadStamp, mode: str = "delta",
              batch_id: tuple[str, int] | None = None, order: Sequence[str] | None = None) -> int | None:
         """Merge ``batch`` (reduced to its last row per key by ``order`` when
@@ -167,22 +220,31 @@ class FactTable:
             return None
         if order:
             batch = v.latest_per_key(batch, self.spec.keys, order)
-        cur = self.current()
-        if cur is None:
-            cur = v.empty_table(self.spark, batch, self.spec)
+        previous = entry["current"] if entry else {}
+        if entry is None:
+            touched, cur = set(), v.empty_table(self.spark, batch, self.spec)
+        elif mode == "full" or self.partition_expr is None:
+            touched, cur = set(previous), self.current()
+        else:
+            touched = self._touched(batch)
+            cur = self.current(touched)
         nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode)
         version = (entry["version"] + 1) if entry else 0
         stage = f"load={version}"
-        # One job writes both halves: the current flag is the folder split.
-        nxt.write.mode("overwrite").partitionBy(v.CURRENT).parquet(self.log.part_path(stage))
-        schema = nxt.schema
-        closed, current = f"{stage}/{v.CURRENT}=false", f"{stage}/{v.CURRENT}=true"
-        history = (entry["history"] if entry else []) + ([closed] if self.log.exists(closed) else [])
+        # One job writes everything: closed rows under the current flag
+        # false, current rows under true, split into partition folders.
+        part = F.when(F.col(v.CURRENT), self._partition()).otherwise(F.lit(None).cast("string"))
+        (nxt.withColumn(PART, part).write.mode("overwrite")
+            .partitionBy(v.CURRENT, PART).parquet(self.log.part_path(stage)))
+        closed = f"{stage}/{v.CURRENT}=false/{PART}={NULL_PARTITION}"
+        current = {name: p for name, p in previous.items() if name not in touched}
+        for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true"):
+            current[name] = f"{stage}/{v.CURRENT}=true/{name}"
         self.log.commit({
             "version": version,
-            "history": history,
-            "current": current if self.log.exists(current) else None,
-            "schema": schema.jsonValue(),
+            "history": (entry["history"] if entry else []) + ([closed] if self.log.exists(closed) else []),
+            "current": current,
+            "schema": nxt.schema.jsonValue(),
             "batches": _batches(entry, batch_id),
         })
         return version
