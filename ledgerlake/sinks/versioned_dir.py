@@ -233,8 +233,10 @@ class FactTable:
         stage = f"load={version}"
         # One job writes everything: closed rows under the current flag
         # false, current rows under true, split into partition folders.
+        # The rebalance hint lets AQE merge small partitions and split big
+        # ones, so each folder gets files near the advisory size.
         part = F.when(F.col(v.CURRENT), self._partition()).otherwise(F.lit(None).cast("string"))
-        (nxt.withColumn(PART, part).write.mode("overwrite")
+        (nxt.withColumn(PART, part).hint("rebalance", v.CURRENT, PART).write.mode("overwrite")
             .partitionBy(v.CURRENT, PART).parquet(self.log.part_path(stage)))
         closed = f"{stage}/{v.CURRENT}=false/{PART}={NULL_PARTITION}"
         current = {name: p for name, p in previous.items() if name not in touched}
