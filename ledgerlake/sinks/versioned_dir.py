@@ -107,48 +107,85 @@ def _batches(entry: dict | None, batch: tuple[str, int] | None) -> dict:
     return done
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+PART = "__part"
+_SAFE = re.compile(r"^[A-Za-z0-9_.\-]+$")
+
+
+def _folder(value) -> str:
+    if value is None:
+        return f"{PART}={NULL_PARTITION}"
+    text = str(value)
+    if not _SAFE.match(text):
+        raise ValueError(f"partition value {text!r} is not path-safe; use digits, letters, '.', '_' or '-'")
+    return f"{PART}={text}"
+
+
+def partition_column(expr: str | None) -> Column:
+    return F.lit(None).cast("string") if expr is None else F.expr(expr).cast("string")
+
+
+def touched_partitions(current: DataFrame, batch: DataFrame, keys: Sequence[str], expr: str) -> set[str]:
+    """Partition folders holding batch rows or current rows of batch keys.
+    Only distinct partition values (bounded by the partition count) are
+    collected."""
+    part = partition_column(expr)
+    values = {r[0] for r in batch.select(part).distinct().collect()}
+    bk = batch.select(*[F.col(f"`{k}`").alias(f"__bk{i}") for i, k in enumerate(keys)]).distinct()
+    cond = key_match(current, bk, [(k, f"__bk{i}") for i, k in enumerate(keys)], True)
+    values |= {r[0] for r in current.join(bk, cond, "left_semi").select(part).distinct().collect()}
+    return {_folder(x) for x in values}
+
+
 class ReportTable:
-    """A report table replaced by key (delete the batch keys, append the batch)."""
+    """A report table replaced by key (delete the batch keys, append the batch).
+
+    With ``partition_expr`` (path-safe values, e.g. a month of the invoice
+    date) an upsert rewrites only the partitions holding batch rows or
+    target rows of batch keys; the others carry over by reference.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_expr: str | None = None):
         self.spark, self.keys, self.log = spark, list(keys), TableLog(spark, root)
+        self.partition_expr = partition_expr
 
-    def read(self) -> DataFrame | None:
+    def read(self, partitions: set[str] | None = None) -> DataFrame | None:
         entry = self.log.latest()
         if entry is None:
             return None
         schema = T.StructType.fromJson(entry["schema"])
-        return self.spark.read.schema(schema).parquet(*[self.log.part_path(p) for p in entry["parts"]])
+        parts = [p for name, p in entry["current"].items() if partitions is None or name in partitions]
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[self.log.part_path(p) for p in parts]).select(
+            *[F.col(f"`{n}`") for n in schema.names])
 
     def upsert(self, batch: DataFrame, batch_id: tuple[str, int] | None = None) -> int | None:
         """Write the next version; returns it (None when the batch was done)."""
         entry = self.log.latest()
         if _already_done(entry, batch_id):
             return None
+        previous = entry["current"] if entry else {}
+        if entry is None:
+            touched, nxt = set(), batch
+        else:
+            if self.partition_expr is None:
+                touched = set(previous)
+            else:
+                touched = touched_partitions(self.read(), batch, self.keys, self.partition_expr)
+            nxt = u.upsert(self.read(touched), batch, self.keys)
         version = (entry["version"] + 1) if entry else 0
-        current = self.read()
-        nxt = batch if current is None else u.upsert(current, batch, self.keys)
-        part = f"v={version}"
-        nxt.write.mode("overwrite").parquet(self.log.part_path(part))
-        self.log.commit({"version": version, "parts": [part], "schema": nxt.schema.jsonValue(),
+        stage = f"v={version}"
+        (nxt.withColumn(PART, partition_column(self.partition_expr)).hint("rebalance", PART)
+            .write.mode("overwrite").partitionBy(PART).parquet(self.log.part_path(stage)))
+        current = {name: p for name, p in previous.items() if name not in touched}
+        for name in self.log.list_dirs(stage):
+            current[name] = f"{stage}/{name}"
+        self.log.commit({"version": version, "current": current, "schema": nxt.schema.jsonValue(),
                          "batches": _batches(entry, batch_id)})
         return version
 
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-PART = "__part"
-_SAFE = re.compile(r"^[A-Za-z0-9_.\-]+$")
-
-
-def _folder(value) -> str:
-    if value is None:
-        return f"{PART}={NULL_PARTITION}"
-    text = str(value)
-    if not _SAFE.match(text):
-        raise ValueError(f"partition value {text!r} is not path-safe; use digits, letters, '.', '_' or '-'")
-    return f"{PART}={text}"
-
-
 class FactTable:
     """A versioned fact: append-only history, rewritten current rows.
 
@@ -196,20 +233,7 @@ class FactTable:
         return None if full is None else v.as_of(full, day)
 
     def _partition(self) -> Column:
-        if self.partition_expr is None:
-            return F.lit(None).cast("string")
-        return F.expr(self.partition_expr).cast("string")
-
-    def _touched(self, batch: DataFrame) -> set[str]:
-        """Partition folders a delta load must rewrite."""
-        part = self._partition()
-        keys = list(self.spec.keys)
-        values = {r[0] for r in batch.select(part).distinct().collect()}
-        cur = self.current()
-        bk = batch.select(*[F.col(f"`{k}`").alias(f"__bk{i}") for i, k in enumerate(keys)]).distinct()
-        cond = key_match(cur, bk, [(k, f"__bk{i}") for i, k in enumerate(keys)], True)
-        values |= {r[0] for r in cur.join(bk, cond, "left_semi").select(part).distinct().collect()}
-        return {_folder(x) for x in values}
+        return partition_column(self.partition_expr)
 
     def load(self, batch: DataFrame, stamp: v.LoadStamp, mode: str = "delta",
              batch_id: tuple[str, int] | None = None, order: Sequence[str] | None = None) -> int | None:
@@ -226,7 +250,7 @@ class FactTable:
         elif mode == "full" or self.partition_expr is None:
             touched, cur = set(previous), self.current()
         else:
-            touched = self._touched(batch)
+            touched = touched_partitions(self.current(), batch, self.spec.keys, self.partition_expr)
             cur = self.current(touched)
         nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode)
         version = (entry["version"] + 1) if entry else 0

@@ -58,3 +58,13 @@ def test_partitioned_fact_rewrites_only_touched_partitions(spark, tmp_dir):
     u_.load(b1, S1)
     u_.load(b2, S2)
     assert sorted(map(tuple, u_.read().collect()), key=repr) == sorted(map(tuple, t.read().collect()), key=repr)
+
+
+def test_partitioned_report_table(spark, tmp_dir):
+    t = ReportTable(spark, tmp_dir + "/prep", ["k"], partition_expr="`m`")
+    t.upsert(spark.createDataFrame([("1", "a", "x"), ("2", "b", "y"), ("2", "b", "y2")], "k string, m string, v string"))
+    before = dict(t.log.latest()["current"])
+    t.upsert(spark.createDataFrame([("2", "c", "Y")], "k string, m string, v string"))
+    after = t.log.latest()["current"]
+    assert after["__part=a"] == before["__part=a"] and "__part=b" not in after
+    assert sorted(tuple(r) for r in t.read().collect()) == [("1", "a", "x"), ("2", "c", "Y")]
