@@ -108,6 +108,7 @@ def _batches(entry: dict | None, batch: tuple[str, int] | None) -> dict:
 
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+WHOLE = "*"  # the single part of an unpartitioned table
 PART = "__part"
 _SAFE = re.compile(r"^[A-Za-z0-9_.\-]+$")
 
@@ -176,11 +177,17 @@ class ReportTable:
             nxt = u.upsert(self.read(touched), batch, self.keys)
         version = (entry["version"] + 1) if entry else 0
         stage = f"v={version}"
-        (nxt.withColumn(PART, partition_column(self.partition_expr)).hint("rebalance", PART)
-            .write.mode("overwrite").partitionBy(PART).parquet(self.log.part_path(stage)))
         current = {name: p for name, p in previous.items() if name not in touched}
-        for name in self.log.list_dirs(stage):
-            current[name] = f"{stage}/{name}"
+        if self.partition_expr is None:
+            nxt.write.mode("overwrite").parquet(self.log.part_path(stage))
+            current[WHOLE] = stage
+        else:
+            # The rebalance hint lets AQE merge small partitions and split big
+            # ones, so each folder gets files near the advisory size.
+            (nxt.withColumn(PART, partition_column(self.partition_expr)).hint("rebalance", PART)
+                .write.mode("overwrite").partitionBy(PART).parquet(self.log.part_path(stage)))
+            for name in self.log.list_dirs(stage):
+                current[name] = f"{stage}/{name}"
         self.log.commit({"version": version, "current": current, "schema": nxt.schema.jsonValue(),
                          "batches": _batches(entry, batch_id)})
         return version
@@ -257,15 +264,21 @@ class FactTable:
         stage = f"load={version}"
         # One job writes everything: closed rows under the current flag
         # false, current rows under true, split into partition folders.
-        # The rebalance hint lets AQE merge small partitions and split big
-        # ones, so each folder gets files near the advisory size.
-        part = F.when(F.col(v.CURRENT), self._partition()).otherwise(F.lit(None).cast("string"))
-        (nxt.withColumn(PART, part).hint("rebalance", v.CURRENT, PART).write.mode("overwrite")
-            .partitionBy(v.CURRENT, PART).parquet(self.log.part_path(stage)))
-        closed = f"{stage}/{v.CURRENT}=false/{PART}={NULL_PARTITION}"
         current = {name: p for name, p in previous.items() if name not in touched}
-        for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true"):
-            current[name] = f"{stage}/{v.CURRENT}=true/{name}"
+        if self.partition_expr is None:
+            nxt.write.mode("overwrite").partitionBy(v.CURRENT).parquet(self.log.part_path(stage))
+            closed = f"{stage}/{v.CURRENT}=false"
+            if self.log.exists(f"{stage}/{v.CURRENT}=true"):
+                current[WHOLE] = f"{stage}/{v.CURRENT}=true"
+        else:
+            # The rebalance hint lets AQE merge small partitions and split big
+            # ones, so each folder gets files near the advisory size.
+            part = F.when(F.col(v.CURRENT), self._partition()).otherwise(F.lit(None).cast("string"))
+            (nxt.withColumn(PART, part).hint("rebalance", v.CURRENT, PART).write.mode("overwrite")
+                .partitionBy(v.CURRENT, PART).parquet(self.log.part_path(stage)))
+            closed = f"{stage}/{v.CURRENT}=false/{PART}={NULL_PARTITION}"
+            for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true"):
+                current[name] = f"{stage}/{v.CURRENT}=true/{name}"
         self.log.commit({
             "version": version,
             "history": (entry["history"] if entry else []) + ([closed] if self.log.exists(closed) else []),

@@ -14,12 +14,13 @@ thousands of splits and this is a no-op.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MIN_SPREAD_BYTES = 8 << 20
+MIN_SPREAD_BYTES = int(os.environ.get("LEDGERLAKE_SPREAD_MIN_BYTES", 8 << 20))
 
 
 def input_bytes(spark: SparkSession, df: DataFrame) -> int:
