@@ -37,16 +37,21 @@ def _cols(alias: str) -> str:
 
 
 def _fact_sql(mode: str) -> str:
-    vanished = "b.h IS NULL AND NOT coalesce(c.mio_delete_ind = 'Y', false)" if mode == "full" else "false"
-    changed = "b.h IS NOT NULL AND (c.mio_delta_hash <> b.h OR coalesce(c.mio_delete_ind = 'Y', false))"
-    book_kept = ("c.mio_delete_ind, c.mio_current_status, c.mio_version_number, c.mio_created_by, c.mio_create_date_time, "
-                 "c.mio_updated_by, c.mio_update_date_time, c.mio_source_filename, c.mio_delta_hash, "
-                 "c.mio_version_valid_from, c.mio_version_valid_to")
-    reopen_payload = ", ".join(
-        f"CASE WHEN {changed} THEN {o.q(c, 'b')} ELSE {o.q(c, 'c')} END AS {o.q(c)}" for c in o.INVOICE_PAYLOAD)
+    """The invoice fact after both loads, as DuckDB SQL: first load = every
+    row version 1; second load = current rows joined to the batch (``j``),
+    split into kept / closed / reopened rows, plus batch keys never seen."""
+    marked = "coalesce(mio_delete_ind = 'Y', false)"
+    changed = f"(h IS NOT NULL AND (mio_delta_hash <> h OR {marked}))"
+    vanished = f"(h IS NULL AND NOT {marked})" if mode == "full" else "false"
+    closing = f"({changed} OR {vanished})"
+    payload = ", ".join(_P)
+    book = ("mio_delete_ind, mio_current_status, mio_version_number, mio_created_by, mio_create_date_time, "
+            "mio_updated_by, mio_update_date_time, mio_source_filename, mio_delta_hash, "
+            "mio_version_valid_from, mio_version_valid_to")
+    run2 = f"'{RUN_BY}' AS mio_updated_by, TIMESTAMP '2000-02-01 06:00:00' AS mio_update_date_time"
     return o.with_(o.INVOICE_LOADS) + f"""
 , v1 AS (
-  SELECT {_ID} AS fact_guid, {', '.join(_P)}, CAST(NULL AS VARCHAR) AS mio_delete_ind, true AS mio_current_status,
+  SELECT {_ID} AS fact_guid, {payload}, CAST(NULL AS VARCHAR) AS mio_delete_ind, true AS mio_current_status,
          1 AS mio_version_number, '{RUN_BY}' AS mio_created_by, TIMESTAMP '2000-01-01 06:00:00' AS mio_create_date_time,
          '{RUN_BY}' AS mio_updated_by, TIMESTAMP '2000-01-01 06:00:00' AS mio_update_date_time,
          CAST(NULL AS VARCHAR) AS mio_source_filename, {_H} AS mio_delta_hash,
@@ -55,29 +60,24 @@ def _fact_sql(mode: str) -> str:
 b AS (SELECT *, {_H} AS h, {_ID} AS id FROM second_load),
 j AS (SELECT c.*, b.h, b.id, {', '.join(f'{o.q(x, "b")} AS "b_{x}"' for x in o.INVOICE_PAYLOAD)}
       FROM v1 c LEFT JOIN b ON c."Invoice ID" IS NOT DISTINCT FROM b."Invoice ID"),
-kept AS (SELECT fact_guid, {', '.join(_P)}, mio_delete_ind, mio_current_status, mio_version_number, mio_created_by,
-                mio_create_date_time, mio_updated_by, mio_update_date_time, mio_source_filename, mio_delta_hash,
-                mio_version_valid_from, mio_version_valid_to
-         FROM j c WHERE NOT ({changed.replace('b.h', 'c.h')} OR {vanished.replace('b.h', 'c.h')})),
-closed AS (SELECT fact_guid, {', '.join(_P)}, mio_delete_ind, false AS mio_current_status, mio_version_number, mio_created_by,
-                  mio_create_date_time, '{RUN_BY}' AS mio_updated_by, TIMESTAMP '2000-02-01 06:00:00' AS mio_update_date_time,
-                  mio_source_filename, mio_delta_hash, mio_version_valid_from, DATE '2000-02-01' AS mio_version_valid_to
-           FROM j c WHERE {changed.replace('b.h', 'c.h')} OR {vanished.replace('b.h', 'c.h')}),
+kept AS (SELECT fact_guid, {payload}, {book} FROM j WHERE NOT {closing}),
+closed AS (
+  SELECT fact_guid, {payload}, mio_delete_ind, false AS mio_current_status, mio_version_number, mio_created_by,
+         mio_create_date_time, {run2}, mio_source_filename, mio_delta_hash, mio_version_valid_from,
+         DATE '2000-02-01' AS mio_version_valid_to
+  FROM j WHERE {closing}),
 reopened AS (
   SELECT fact_guid,
-         {', '.join(f'CASE WHEN {changed.replace("b.h", "c.h")} THEN "b_{x}" ELSE {o.q(x)} END AS {o.q(x)}' for x in o.INVOICE_PAYLOAD)},
-         CASE WHEN {changed.replace('b.h', 'c.h')} THEN CAST(NULL AS VARCHAR) ELSE 'Y' END AS mio_delete_ind,
+         {', '.join(f'CASE WHEN {changed} THEN "b_{x}" ELSE {o.q(x)} END AS {o.q(x)}' for x in o.INVOICE_PAYLOAD)},
+         CASE WHEN {changed} THEN CAST(NULL AS VARCHAR) ELSE 'Y' END AS mio_delete_ind,
          true AS mio_current_status, mio_version_number + 1 AS mio_version_number, mio_created_by, mio_create_date_time,
-         '{RUN_BY}' AS mio_updated_by, TIMESTAMP '2000-02-01 06:00:00' AS mio_update_date_time,
-         mio_source_filename,
-         CASE WHEN {changed.replace('b.h', 'c.h')} THEN h ELSE mio_delta_hash END AS mio_delta_hash,
+         {run2}, mio_source_filename, CASE WHEN {changed} THEN h ELSE mio_delta_hash END AS mio_delta_hash,
          DATE '2000-02-01' AS mio_version_valid_from, CAST(NULL AS DATE) AS mio_version_valid_to
-  FROM j c WHERE {changed.replace('b.h', 'c.h')} OR {vanished.replace('b.h', 'c.h')}),
+  FROM j WHERE {closing}),
 fresh AS (
-  SELECT id AS fact_guid, {', '.join(_P)}, CAST(NULL AS VARCHAR) AS mio_delete_ind, true AS mio_current_status,
+  SELECT id AS fact_guid, {payload}, CAST(NULL AS VARCHAR) AS mio_delete_ind, true AS mio_current_status,
          1 AS mio_version_number, '{RUN_BY}' AS mio_created_by, TIMESTAMP '2000-02-01 06:00:00' AS mio_create_date_time,
-         '{RUN_BY}' AS mio_updated_by, TIMESTAMP '2000-02-01 06:00:00' AS mio_update_date_time,
-         CAST(NULL AS VARCHAR) AS mio_source_filename, h AS mio_delta_hash,
+         {run2}, CAST(NULL AS VARCHAR) AS mio_source_filename, h AS mio_delta_hash,
          DATE '2000-02-01' AS mio_version_valid_from, CAST(NULL AS DATE) AS mio_version_valid_to
   FROM b WHERE NOT EXISTS (SELECT 1 FROM v1 c WHERE c."Invoice ID" IS NOT DISTINCT FROM b."Invoice ID")),
 fact AS (SELECT * FROM kept UNION ALL SELECT * FROM closed UNION ALL SELECT * FROM reopened UNION ALL SELECT * FROM fresh)
