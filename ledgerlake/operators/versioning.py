@@ -72,17 +72,40 @@ def _c(name: str) -> Column:
 
 @dataclass(frozen=True)
 class VersionSpec:
-    """Shape of a versioned table: business key, hashed payload (includes
-    the key columns), record type for the row id, optional id column."""
+    """Shape of a versioned table.
+
+    ``keys`` match batch rows to stored rows; ``payload`` is hashed for change
+    detection; ``carry`` columns come with the batch row but are not hashed
+    (parent ids); ``id_column`` is the row id (computed from the record type
+    and keys unless the batch brings it); ``layout`` fixes the stored column
+    order (default: id, data columns, bookkeeping).
+    """
 
     keys: tuple[str, ...]
     payload: tuple[str, ...]
     record_type: str = "ROW"
     id_column: str | None = "fact_guid"
+    carry: tuple[str, ...] = ()
+    layout: tuple[str, ...] | None = None
+
+    def __post_init__(self):
+        if self.layout is not None:
+            needed = set(([self.id_column] if self.id_column else []) + self.data_columns + BOOK_NAMES)
+            missing = needed - set(self.layout)
+            if missing:
+                raise ValueError(f"layout lacks columns {sorted(missing)}")
+
+    @property
+    def data_columns(self) -> list[str]:
+        """Columns taken from the batch: keys (unless hashed or the id), payload, carry."""
+        extra = [k for k in self.keys if k not in self.payload and k not in self.carry and k != self.id_column]
+        return extra + list(self.payload) + list(self.carry)
 
     @property
     def columns(self) -> list[str]:
-        return ([self.id_column] if self.id_column else []) + list(self.payload) + BOOK_NAMES
+        if self.layout is not None:
+            return list(self.layout)
+        return ([self.id_column] if self.id_column else []) + self.data_columns + BOOK_NAMES
 
 
 @dataclass(frozen=True)
@@ -128,13 +151,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def prepare_batch(batch: DataFrame, spec: VersionSpec) -> DataFrame:
-    """Payload columns, source file (if any), change hash and row id."""
+    """Data columns, source file (if any), change hash and row id."""
     src = _c(SOURCE_FILE) if SOURCE_FILE in batch.columns else F.lit(None).cast("string")
-    cols = [_c(c) for c in spec.payload]
-    out = batch.select(*cols, src.alias(SOURCE_FILE), delta_hash(list(spec.payload)).alias(HASH))
+    cols = [_c(c) for c in spec.data_columns] + [src.alias(SOURCE_FILE), delta_hash(list(spec.payload)).alias(HASH)]
     if spec.id_column:
-        out = out.withColumn(spec.id_column, row_id(spec.record_type, list(spec.keys)))
-    return out
+        rid = _c(spec.id_column) if spec.id_column in batch.columns else row_id(spec.record_type, list(spec.keys))
+        cols.append(rid.alias(spec.id_column))
+    return batch.select(*cols)
 
 
 def empty_table(spark: SparkSession, batch: DataFrame, spec: VersionSpec) -> DataFrame:
@@ -144,12 +167,11 @@ def empty_table(spark: SparkSession, batch: DataFrame, spec: VersionSpec) -> Dat
     it into an empty relation and prunes every join against it, so a first
     load is planned as a plain projection of the batch.
     """
-    cols = []
+    cols = {c: _c(c) for c in spec.data_columns}
     if spec.id_column:
-        cols.append(F.lit(None).cast("string").alias(spec.id_column))
-    cols += [_c(c) for c in spec.payload]
-    cols += [F.lit(None).cast(t.simpleString()).alias(n) for n, t in BOOKKEEPING]
-    return batch.select(*cols).where(F.lit(False))
+        cols[spec.id_column] = F.lit(None).cast("string").alias(spec.id_column)
+    cols.update({n: F.lit(None).cast(t.simpleString()).alias(n) for n, t in BOOKKEEPING})
+    return batch.select(*[cols[c] for c in spec.columns]).where(F.lit(False))
 
 
 def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp,
@@ -196,7 +218,7 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     closed = dict(kept)
     closed.update({CURRENT: "false", VALID_TO: day, UPDATED_BY: by, UPDATED_AT: ts})
     reopened = {c: f"CASE WHEN {changed} THEN {ident('__n_' + c)} ELSE {ident(c)} END"
-                for c in list(spec.payload) + [SOURCE_FILE, HASH]}
+                for c in spec.data_columns + [SOURCE_FILE, HASH]}
     if spec.id_column:
         reopened[spec.id_column] = ident(spec.id_column)
     reopened.update({
@@ -219,7 +241,7 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
         matched_keys, key_match(nb, matched_keys, [(f"__k{i}", f"__m{i}") for i in range(len(keys))], True),
         "left_anti",
     )
-    opened = {c: ident("__n_" + c) for c in list(spec.payload) + [SOURCE_FILE, HASH]}
+    opened = {c: ident("__n_" + c) for c in spec.data_columns + [SOURCE_FILE, HASH]}
     if spec.id_column:
         opened[spec.id_column] = ident("__n_" + spec.id_column)
     opened.update({

@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "16g"))
+        # One machine: smaller target partitions keep all local cores busy.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
     )
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
