@@ -10,8 +10,9 @@ previous versions stay readable as the back-up.
 
 Layouts:
 
-* report tables (:class:`ReportTable`): one part per version, the whole
-  table (delete-by-key + append written as one new part);
+* report tables (:class:`ReportTable`): delete-by-key + append; the whole
+  table per version, or with a partition expression only the partitions
+  the batch touches;
 * versioned facts (:class:`FactTable`): closed history is append-only (one
   ``history`` part per load, never rewritten); current rows sit in partition
   folders, and a load reads and rewrites only the partitions it touches.
