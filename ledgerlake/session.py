@@ -26,6 +26,9 @@ BASE_CONF = {
 }
 
 
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlake") -> SparkSession:
     """Local session for tests and benchmarks (never used on a cluster)."""
     builder = (
@@ -36,6 +39,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "16g"))
         # One machine: smaller target partitions keep all local cores busy.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+        # Whole-stage codegen inlines wide expressions (the 56-field change
+        # hash, 71-field version rows) into one method; HotSpot does not JIT
+        # methods over 8000 bytecodes unless told to. On a cluster set the
+        # same flag in spark.executor.extraJavaOptions.
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
