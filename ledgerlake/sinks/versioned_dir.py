@@ -127,12 +127,17 @@ def partition_column(expr: str | None) -> Column:
     return F.lit(None).cast("string") if expr is None else F.expr(expr).cast("string")
 
 
-def touched_partitions(current: DataFrame, batch: DataFrame, keys: Sequence[str], expr: str) -> set[str]:
+def touched_partitions(current: DataFrame | None, batch: DataFrame, keys: Sequence[str], expr: str,
+                       stable: bool = False) -> set[str]:
     """Partition folders holding batch rows or current rows of batch keys.
     Only distinct partition values (bounded by the partition count) are
-    collected."""
+    collected. ``stable`` promises that a key never changes partition (the
+    value is fixed at creation, e.g. the month an invoice was issued); then
+    the batch's own values suffice and the current keys are not scanned."""
     part = partition_column(expr)
     values = {r[0] for r in batch.select(part).distinct().collect()}
+    if stable or current is None:
+        return {_folder(x) for x in values}
     bk = batch.select(*[F.col(f"`{k}`").alias(f"__bk{i}") for i, k in enumerate(keys)]).distinct()
     cond = key_match(current, bk, [(k, f"__bk{i}") for i, k in enumerate(keys)], True)
     values |= {r[0] for r in current.join(bk, cond, "left_semi").select(part).distinct().collect()}
@@ -147,9 +152,10 @@ class ReportTable:
     target rows of batch keys; the others carry over by reference.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_expr: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_expr: str | None = None,
+                 partition_stable: bool = False):
         self.spark, self.keys, self.log = spark, list(keys), TableLog(spark, root)
-        self.partition_expr = partition_expr
+        self.partition_expr, self.partition_stable = partition_expr, partition_stable
 
     def read(self, partitions: set[str] | None = None) -> DataFrame | None:
         entry = self.log.latest()
@@ -174,7 +180,8 @@ class ReportTable:
             if self.partition_expr is None:
                 touched = set(previous)
             else:
-                touched = touched_partitions(self.read(), batch, self.keys, self.partition_expr)
+                touched = touched_partitions(self.read(), batch, self.keys, self.partition_expr,
+                                             self.partition_stable)
             nxt = u.upsert(self.read(touched), batch, self.keys)
         version = (entry["version"] + 1) if entry else 0
         stage = f"v={version}"
@@ -207,9 +214,10 @@ class FactTable:
     (one per month, say) reach the driver.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spec: v.VersionSpec, partition_expr: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, spec: v.VersionSpec, partition_expr: str | None = None,
+                 partition_stable: bool = False):
         self.spark, self.spec, self.log = spark, spec, TableLog(spark, root)
-        self.partition_expr = partition_expr
+        self.partition_expr, self.partition_stable = partition_expr, partition_stable
 
     def _read(self, parts: list[str], schema: T.StructType, current: bool) -> DataFrame:
         """Rows of ``parts``; the current flag is the folder they sit in."""
@@ -258,7 +266,8 @@ class FactTable:
         elif mode == "full" or self.partition_expr is None:
             touched, cur = set(previous), self.current()
         else:
-            touched = touched_partitions(self.current(), batch, self.spec.keys, self.partition_expr)
+            touched = touched_partitions(self.current(), batch, self.spec.keys, self.partition_expr,
+                                         self.partition_stable)
             cur = self.current(touched)
         nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode)
         version = (entry["version"] + 1) if entry else 0

@@ -68,3 +68,14 @@ def test_partitioned_report_table(spark, tmp_dir):
     after = t.log.latest()["current"]
     assert after["__part=a"] == before["__part=a"] and "__part=b" not in after
     assert sorted(tuple(r) for r in t.read().collect()) == [("1", "a", "x"), ("2", "c", "Y")]
+
+
+def test_stable_partitions_skip_the_key_scan(spark, tmp_dir):
+    spec = v.VersionSpec(keys=("k",), payload=("k", "m", "a"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/sfact", spec, partition_expr="`m`", partition_stable=True)
+    t.load(spark.createDataFrame([("1", "202401", "x"), ("2", "202402", "y")], "k string, m string, a string"), S1)
+    first = dict(t.log.latest()["current"])
+    t.load(spark.createDataFrame([("2", "202402", "Y")], "k string, m string, a string"), S2)
+    cur = t.log.latest()["current"]
+    assert cur["__part=202401"] == first["__part=202401"] and cur["__part=202402"] != first["__part=202402"]
+    assert {r["k"]: r["a"] for r in t.current().collect()} == {"1": "x", "2": "Y"}
