@@ -1,7 +1,6 @@
 import datetime as dt
 import hashlib
 
-from pyspark.sql import functions as F
 
 from ledgerlake.functions import delta_hash, iso_millis, na_to_null, row_id, strip_ws
 

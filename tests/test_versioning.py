@@ -2,7 +2,6 @@ import random
 from decimal import Decimal as D
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from ledgerlake.operators import versioning as v
 from ledgerlake.operators.sequence import sequence_by_key
