@@ -184,11 +184,14 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     full mode: additionally every current key absent from the batch is closed
     and reopened as a new version marked deleted; a marked key that returns
     counts as changed. Loading the same batch again changes nothing.
+    Stored columns the spec does not name (``*_legacy`` columns after a
+    schema change) are carried from the current version; new keys get null.
     """
     if mode not in ("delta", "full"):
         raise ValueError(f"unknown load mode {mode!r}; expected 'delta' or 'full'")
     keys = list(spec.keys)
     types = {f.name: f.dataType.simpleString() for f in fact.schema.fields}
+    out_cols = spec.columns + [c for c in fact.columns if c not in spec.columns]
 
     cur = fact.filter(_c(CURRENT) == F.lit(True))
     hist = fact.filter(~F.coalesce(_c(CURRENT), F.lit(False)))
@@ -212,13 +215,14 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
 
     def row(values: dict[str, str]) -> str:
         return "named_struct(" + ", ".join(
-            f"{sql_text(c)}, CAST({values[c]} AS {types[c]})" for c in spec.columns) + ")"
+            f"{sql_text(c)}, CAST({values[c]} AS {types[c]})" for c in out_cols) + ")"
 
-    kept = {c: ident(c) for c in spec.columns}
+    kept = {c: ident(c) for c in out_cols}
     closed = dict(kept)
     closed.update({CURRENT: "false", VALID_TO: day, UPDATED_BY: by, UPDATED_AT: ts})
-    reopened = {c: f"CASE WHEN {changed} THEN {ident('__n_' + c)} ELSE {ident(c)} END"
-                for c in spec.data_columns + [SOURCE_FILE, HASH]}
+    reopened = dict(kept)
+    reopened.update({c: f"CASE WHEN {changed} THEN {ident('__n_' + c)} ELSE {ident(c)} END"
+                     for c in spec.data_columns + [SOURCE_FILE, HASH]})
     if spec.id_column:
         reopened[spec.id_column] = ident(spec.id_column)
     reopened.update({
@@ -241,16 +245,17 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
         matched_keys, key_match(nb, matched_keys, [(f"__k{i}", f"__m{i}") for i in range(len(keys))], True),
         "left_anti",
     )
-    opened = {c: ident("__n_" + c) for c in spec.data_columns + [SOURCE_FILE, HASH]}
+    opened = {c: "NULL" for c in out_cols}
+    opened.update({c: ident("__n_" + c) for c in spec.data_columns + [SOURCE_FILE, HASH]})
     if spec.id_column:
         opened[spec.id_column] = ident("__n_" + spec.id_column)
     opened.update({
         DELETE: "NULL", CURRENT: "true", VERSION: "1", CREATED_BY: by, CREATED_AT: ts,
         UPDATED_BY: by, UPDATED_AT: ts, VALID_FROM: day, VALID_TO: "NULL",
     })
-    new_rows = fresh.selectExpr(*[f"CAST({opened[c]} AS {types[c]}) AS {ident(c)}" for c in spec.columns])
+    new_rows = fresh.selectExpr(*[f"CAST({opened[c]} AS {types[c]}) AS {ident(c)}" for c in out_cols])
 
-    return hist.select(*spec.columns).unionByName(from_current).unionByName(new_rows)
+    return hist.select(*out_cols).unionByName(from_current).unionByName(new_rows)
 
 
 def initial_load(spark: SparkSession, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp) -> DataFrame:

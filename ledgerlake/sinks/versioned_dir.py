@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators import upsert as u
+from ledgerlake.operators.evolve import evolve
+from ledgerlake.functions.hashing import delta_hash
 from ledgerlake.operators.joins import key_match
 from ledgerlake.operators import versioning as v
 
@@ -184,22 +186,37 @@ class ReportTable:
                                              self.partition_stable)
             nxt = u.upsert(self.read(touched), batch, self.keys)
         version = (entry["version"] + 1) if entry else 0
-        stage = f"v={version}"
         current = {name: p for name, p in previous.items() if name not in touched}
-        if self.partition_expr is None:
-            nxt.write.mode("overwrite").parquet(self.log.part_path(stage))
-            current[WHOLE] = stage
-        else:
-            # The rebalance hint lets AQE merge small partitions and split big
-            # ones, so each folder gets files near the advisory size.
-            (nxt.withColumn(PART, partition_column(self.partition_expr)).hint("rebalance", PART)
-                .write.mode("overwrite").partitionBy(PART).parquet(self.log.part_path(stage)))
-            for name in self.log.list_dirs(stage):
-                current[name] = f"{stage}/{name}"
+        current.update(self._write(nxt, f"v={version}"))
         self.log.commit({"version": version, "current": current, "schema": nxt.schema.jsonValue(),
                          "batches": _batches(entry, batch_id)})
         return version
 
+    def _write(self, df: DataFrame, stage: str) -> dict[str, str]:
+        """Write ``df`` as the parts of ``stage``; returns folder -> path."""
+        if self.partition_expr is None:
+            df.write.mode("overwrite").parquet(self.log.part_path(stage))
+            return {WHOLE: stage}
+        # The rebalance hint lets AQE merge small partitions and split big
+        # ones, so each folder gets files near the advisory size.
+        (df.withColumn(PART, partition_column(self.partition_expr)).hint("rebalance", PART)
+            .write.mode("overwrite").partitionBy(PART).parquet(self.log.part_path(stage)))
+        return {name: f"{stage}/{name}" for name in self.log.list_dirs(stage)}
+
+    def evolve(self, target: T.StructType) -> int:
+        """Change the schema keeping old values (dropped or retyped columns
+        live on as ``<c>_legacy``, see :mod:`ledgerlake.operators.evolve`).
+        The table is rewritten once as a new version; the previous version
+        stays readable as the back-up."""
+        entry = self.log.latest()
+        if entry is None:
+            raise ValueError("no committed version to evolve")
+        nxt = evolve(self.read(), target)
+        version = entry["version"] + 1
+        self.log.commit({"version": version, "current": self._write(nxt, f"v={version}"),
+                         "schema": nxt.schema.jsonValue(), "batches": _batches(entry, None)})
+        return version
+
 
 class FactTable:
     """A versioned fact: append-only history, rewritten current rows.
@@ -271,31 +288,53 @@ class FactTable:
             cur = self.current(touched)
         nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode)
         version = (entry["version"] + 1) if entry else 0
-        stage = f"load={version}"
-        # One job writes everything: closed rows under the current flag
-        # false, current rows under true, split into partition folders.
+        closed, written = self._write(nxt, f"load={version}")
         current = {name: p for name, p in previous.items() if name not in touched}
+        current.update(written)
+        self.log.commit({
+            "version": version,
+            "history": (entry["history"] if entry else []) + ([closed] if closed else []),
+            "current": current,
+            "schema": nxt.schema.jsonValue(),
+            "batches": _batches(entry, batch_id),
+        })
+        return version
+
+    def _write(self, df: DataFrame, stage: str) -> tuple[str | None, dict[str, str]]:
+        """One job writes a version's rows: closed rows under the current flag
+        false, current rows under true (in partition folders). Returns the
+        closed part (None if empty) and the current folders."""
         if self.partition_expr is None:
-            nxt.write.mode("overwrite").partitionBy(v.CURRENT).parquet(self.log.part_path(stage))
-            closed = f"{stage}/{v.CURRENT}=false"
-            if self.log.exists(f"{stage}/{v.CURRENT}=true"):
-                current[WHOLE] = f"{stage}/{v.CURRENT}=true"
+            df.write.mode("overwrite").partitionBy(v.CURRENT).parquet(self.log.part_path(stage))
+            closed, cur = f"{stage}/{v.CURRENT}=false", f"{stage}/{v.CURRENT}=true"
+            written = {WHOLE: cur} if self.log.exists(cur) else {}
         else:
             # The rebalance hint lets AQE merge small partitions and split big
             # ones, so each folder gets files near the advisory size.
             part = F.when(F.col(v.CURRENT), self._partition()).otherwise(F.lit(None).cast("string"))
-            (nxt.withColumn(PART, part).hint("rebalance", v.CURRENT, PART).write.mode("overwrite")
+            (df.withColumn(PART, part).hint("rebalance", v.CURRENT, PART).write.mode("overwrite")
                 .partitionBy(v.CURRENT, PART).parquet(self.log.part_path(stage)))
             closed = f"{stage}/{v.CURRENT}=false/{PART}={NULL_PARTITION}"
-            for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true"):
-                current[name] = f"{stage}/{v.CURRENT}=true/{name}"
-        self.log.commit({
-            "version": version,
-            "history": (entry["history"] if entry else []) + ([closed] if self.log.exists(closed) else []),
-            "current": current,
-            "schema": nxt.schema.jsonValue(),
-            "batches": _batches(entry, batch_id),
-        })
+            written = {name: f"{stage}/{v.CURRENT}=true/{name}"
+                       for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true")}
+        return (closed if self.log.exists(closed) else None), written
+
+    def evolve(self, target: T.StructType, spec: v.VersionSpec) -> int:
+        """Change the schema keeping old values (dropped or retyped columns
+        live on as ``<c>_legacy``, carried into later versions) and switch to
+        ``spec``. Current rows get their change hash recomputed over the new
+        payload, so the next load sees only real changes. History and current
+        rows are rewritten once; the previous version stays as the back-up."""
+        entry = self.log.latest()
+        if entry is None:
+            raise ValueError("no committed version to evolve")
+        evolved = evolve(self.read(), target).withColumn(
+            v.HASH, F.when(F.col(v.CURRENT), delta_hash(list(spec.payload))).otherwise(F.col(v.HASH)))
+        self.spec = spec
+        version = entry["version"] + 1
+        closed, written = self._write(evolved, f"load={version}")
+        self.log.commit({"version": version, "history": [closed] if closed else [], "current": written,
+                         "schema": evolved.schema.jsonValue(), "batches": _batches(entry, None)})
         return version
 
 

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from ledgerlake.operators import versioning as v
 from ledgerlake.sinks.versioned_dir import FactTable, ReportTable
 
@@ -79,3 +81,35 @@ def test_stable_partitions_skip_the_key_scan(spark, tmp_dir):
     cur = t.log.latest()["current"]
     assert cur["__part=202401"] == first["__part=202401"] and cur["__part=202402"] != first["__part=202402"]
     assert {r["k"]: r["a"] for r in t.current().collect()} == {"1": "x", "2": "Y"}
+
+
+def test_fact_schema_change_keeps_old_values(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    spec = v.VersionSpec(keys=("k",), payload=("k", "a", "n"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/efact", spec, partition_expr="`k`")
+    t.load(spark.createDataFrame([("1", "x", "10"), ("2", "y", "bad")], "k string, a string, n string"), S1)
+    cur = t.current()
+    # drop "a", retype "n" to int
+    target = T.StructType([f if f.name != "n" else T.StructField("n", T.IntegerType())
+                           for f in cur.schema.fields if f.name != "a"])
+    new_spec = v.VersionSpec(keys=("k",), payload=("k", "n"), record_type="T")
+    t.evolve(target, new_spec)
+    rows = {r["k"]: r.asDict() for r in t.current().collect()}
+    assert rows["1"]["n"] == 10 and rows["1"]["n_legacy"] == "10" and rows["1"]["a_legacy"] == "x"
+    assert rows["2"]["n"] is None and rows["2"]["n_legacy"] == "bad"
+    # the same values again: no new version; a change: legacy values carried
+    t.load(spark.createDataFrame([("1", 10), ("2", 5), ("3", 7)], "k string, n int"), S2)
+    rows = {r["k"]: r.asDict() for r in t.current().collect()}
+    assert rows["1"][v.VERSION] == 1 and rows["2"][v.VERSION] == 2 and rows["2"]["a_legacy"] == "y"
+    assert rows["3"]["a_legacy"] is None and t.read().count() == 4
+
+
+def test_report_schema_change(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    t = ReportTable(spark, tmp_dir + "/erep", ["k"], partition_expr="`m`")
+    t.upsert(spark.createDataFrame([("1", "a", "x")], "k string, m string, v string"))
+    t.evolve(T.StructType([T.StructField("k", T.StringType()), T.StructField("m", T.StringType())]))
+    t.upsert(spark.createDataFrame([("2", "a")], "k string, m string").withColumn("v_legacy", F.lit(None).cast("string")))
+    assert sorted(tuple(r) for r in t.read().collect()) == [("1", "a", "x"), ("2", "a", None)]
