@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,16 @@ from ledgerlake.operators.joins import key_match
 from ledgerlake.operators import versioning as v
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed the same version first."""
+
+
+def _stage(prefix: str, version: int) -> str:
+    """A fresh folder per write attempt: writers racing for one version never
+    share (and never overwrite) each other's parts."""
+    return f"{prefix}={version}-{uuid.uuid4().hex[:12]}"
+
+
 class TableLog:
     """Ordered commit log of a table folder."""
 
@@ -73,9 +84,16 @@ class TableLog:
         return json.loads("\n".join(text))
 
     def commit(self, entry: dict) -> None:
-        """Create the log file of ``entry['version']``; fails if it exists
-        (another writer committed that version first)."""
-        out = self._fs.create(self._Path(f"{self.root}/_log/{entry['version']:08d}.json"), False)
+        """Create the log file of ``entry['version']``; raises
+        :class:`CommitConflict` if it exists (another writer committed that
+        version first)."""
+        path = self._Path(f"{self.root}/_log/{entry['version']:08d}.json")
+        try:
+            out = self._fs.create(path, False)
+        except Exception as e:  # py4j wraps the Java FileAlreadyExistsException
+            if self._fs.exists(path):
+                raise CommitConflict(f"version {entry['version']} of {self.root} was committed by another writer") from e
+            raise
         try:
             out.write(bytearray(json.dumps(entry, sort_keys=True).encode("utf-8")))
         finally:
@@ -159,8 +177,8 @@ class ReportTable:
         self.spark, self.keys, self.log = spark, list(keys), TableLog(spark, root)
         self.partition_expr, self.partition_stable = partition_expr, partition_stable
 
-    def read(self, partitions: set[str] | None = None) -> DataFrame | None:
-        entry = self.log.latest()
+    def read(self, partitions: set[str] | None = None, entry: dict | None = None) -> DataFrame | None:
+        entry = entry or self.log.latest()
         if entry is None:
             return None
         schema = T.StructType.fromJson(entry["schema"])
@@ -170,27 +188,34 @@ class ReportTable:
         return self.spark.read.schema(schema).parquet(*[self.log.part_path(p) for p in parts]).select(
             *[F.col(f"`{n}`") for n in schema.names])
 
-    def upsert(self, batch: DataFrame, batch_id: tuple[str, int] | None = None) -> int | None:
-        """Write the next version; returns it (None when the batch was done)."""
-        entry = self.log.latest()
-        if _already_done(entry, batch_id):
-            return None
-        previous = entry["current"] if entry else {}
-        if entry is None:
-            touched, nxt = set(), batch
-        else:
-            if self.partition_expr is None:
-                touched = set(previous)
+    def upsert(self, batch: DataFrame, batch_id: tuple[str, int] | None = None, retries: int = 3) -> int | None:
+        """Write the next version; returns it (None when the batch was done).
+        Losing a commit race re-reads the latest version and tries again."""
+        for attempt in range(retries):
+            entry = self.log.latest()
+            if _already_done(entry, batch_id):
+                return None
+            previous = entry["current"] if entry else {}
+            if entry is None:
+                touched, nxt = set(), batch
             else:
-                touched = touched_partitions(self.read(), batch, self.keys, self.partition_expr,
-                                             self.partition_stable)
-            nxt = u.upsert(self.read(touched), batch, self.keys)
-        version = (entry["version"] + 1) if entry else 0
-        current = {name: p for name, p in previous.items() if name not in touched}
-        current.update(self._write(nxt, f"v={version}"))
-        self.log.commit({"version": version, "current": current, "schema": nxt.schema.jsonValue(),
-                         "batches": _batches(entry, batch_id)})
-        return version
+                if self.partition_expr is None:
+                    touched = set(previous)
+                else:
+                    touched = touched_partitions(self.read(entry=entry), batch, self.keys, self.partition_expr,
+                                                 self.partition_stable)
+                nxt = u.upsert(self.read(touched, entry), batch, self.keys)
+            version = (entry["version"] + 1) if entry else 0
+            current = {name: p for name, p in previous.items() if name not in touched}
+            current.update(self._write(nxt, _stage("v", version)))
+            try:
+                self.log.commit({"version": version, "current": current, "schema": nxt.schema.jsonValue(),
+                                 "batches": _batches(entry, batch_id)})
+                return version
+            except CommitConflict:
+                if attempt == retries - 1:
+                    raise
+        return None
 
     def _write(self, df: DataFrame, stage: str) -> dict[str, str]:
         """Write ``df`` as the parts of ``stage``; returns folder -> path."""
@@ -211,9 +236,9 @@ class ReportTable:
         entry = self.log.latest()
         if entry is None:
             raise ValueError("no committed version to evolve")
-        nxt = evolve(self.read(), target)
+        nxt = evolve(self.read(entry=entry), target)
         version = entry["version"] + 1
-        self.log.commit({"version": version, "current": self._write(nxt, f"v={version}"),
+        self.log.commit({"version": version, "current": self._write(nxt, _stage("v", version)),
                          "schema": nxt.schema.jsonValue(), "batches": _batches(entry, None)})
         return version
 
@@ -244,17 +269,17 @@ class FactTable:
         df = self.spark.read.schema(stored).parquet(*[self.log.part_path(p) for p in parts])
         return df.withColumn(v.CURRENT, F.lit(current)).select(*[F.col(f"`{n}`") for n in schema.names])
 
-    def current(self, partitions: set[str] | None = None) -> DataFrame | None:
+    def current(self, partitions: set[str] | None = None, entry: dict | None = None) -> DataFrame | None:
         """Current rows (of the given partition folders only, if given)."""
-        entry = self.log.latest()
+        entry = entry or self.log.latest()
         if entry is None:
             return None
         parts = [p for name, p in entry["current"].items() if partitions is None or name in partitions]
         return self._read(parts, T.StructType.fromJson(entry["schema"]), True)
 
-    def read(self) -> DataFrame | None:
+    def read(self, entry: dict | None = None) -> DataFrame | None:
         """All versions (history and current rows)."""
-        entry = self.log.latest()
+        entry = entry or self.log.latest()
         if entry is None:
             return None
         schema = T.StructType.fromJson(entry["schema"])
@@ -269,36 +294,44 @@ class FactTable:
         return partition_column(self.partition_expr)
 
     def load(self, batch: DataFrame, stamp: v.LoadStamp, mode: str = "delta",
-             batch_id: tuple[str, int] | None = None, order: Sequence[str] | None = None) -> int | None:
+             batch_id: tuple[str, int] | None = None, order: Sequence[str] | None = None,
+             retries: int = 3) -> int | None:
         """Merge ``batch`` (reduced to its last row per key by ``order`` when
-        given) and commit the next version."""
-        entry = self.log.latest()
-        if _already_done(entry, batch_id):
-            return None
+        given) and commit the next version. Losing a commit race re-reads the
+        latest version and merges again."""
         if order:
             batch = v.latest_per_key(batch, self.spec.keys, order)
-        previous = entry["current"] if entry else {}
-        if entry is None:
-            touched, cur = set(), v.empty_table(self.spark, batch, self.spec)
-        elif mode == "full" or self.partition_expr is None:
-            touched, cur = set(previous), self.current()
-        else:
-            touched = touched_partitions(self.current(), batch, self.spec.keys, self.partition_expr,
-                                         self.partition_stable)
-            cur = self.current(touched)
-        nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode)
-        version = (entry["version"] + 1) if entry else 0
-        closed, written = self._write(nxt, f"load={version}")
-        current = {name: p for name, p in previous.items() if name not in touched}
-        current.update(written)
-        self.log.commit({
-            "version": version,
-            "history": (entry["history"] if entry else []) + ([closed] if closed else []),
-            "current": current,
-            "schema": nxt.schema.jsonValue(),
-            "batches": _batches(entry, batch_id),
-        })
-        return version
+        for attempt in range(retries):
+            entry = self.log.latest()
+            if _already_done(entry, batch_id):
+                return None
+            previous = entry["current"] if entry else {}
+            if entry is None:
+                touched, cur = set(), v.empty_table(self.spark, batch, self.spec)
+            elif mode == "full" or self.partition_expr is None:
+                touched, cur = set(previous), self.current(entry=entry)
+            else:
+                touched = touched_partitions(self.current(entry=entry), batch, self.spec.keys,
+                                             self.partition_expr, self.partition_stable)
+                cur = self.current(touched, entry)
+            nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode)
+            version = (entry["version"] + 1) if entry else 0
+            closed, written = self._write(nxt, _stage("load", version))
+            current = {name: p for name, p in previous.items() if name not in touched}
+            current.update(written)
+            try:
+                self.log.commit({
+                    "version": version,
+                    "history": (entry["history"] if entry else []) + ([closed] if closed else []),
+                    "current": current,
+                    "schema": nxt.schema.jsonValue(),
+                    "batches": _batches(entry, batch_id),
+                })
+                return version
+            except CommitConflict:
+                if attempt == retries - 1:
+                    raise
+        return None
 
     def _write(self, df: DataFrame, stage: str) -> tuple[str | None, dict[str, str]]:
         """One job writes a version's rows: closed rows under the current flag
@@ -328,11 +361,11 @@ class FactTable:
         entry = self.log.latest()
         if entry is None:
             raise ValueError("no committed version to evolve")
-        evolved = evolve(self.read(), target).withColumn(
+        evolved = evolve(self.read(entry), target).withColumn(
             v.HASH, F.when(F.col(v.CURRENT), delta_hash(list(spec.payload))).otherwise(F.col(v.HASH)))
         self.spec = spec
         version = entry["version"] + 1
-        closed, written = self._write(evolved, f"load={version}")
+        closed, written = self._write(evolved, _stage("load", version))
         self.log.commit({"version": version, "history": [closed] if closed else [], "current": written,
                          "schema": evolved.schema.jsonValue(), "batches": _batches(entry, None)})
         return version

@@ -113,3 +113,27 @@ def test_report_schema_change(spark, tmp_dir):
     t.evolve(T.StructType([T.StructField("k", T.StringType()), T.StructField("m", T.StringType())]))
     t.upsert(spark.createDataFrame([("2", "a")], "k string, m string").withColumn("v_legacy", F.lit(None).cast("string")))
     assert sorted(tuple(r) for r in t.read().collect()) == [("1", "a", "x"), ("2", "a", None)]
+
+
+def test_commit_race_is_detected_and_retried(spark, tmp_dir):
+    import pytest
+
+    from ledgerlake.sinks.versioned_dir import CommitConflict
+
+    t = FactTable(spark, tmp_dir + "/rfact", SPEC)
+    t.load(spark.createDataFrame([("1", "x")], "k string, a string"), S1)
+    stale = t.log.latest()
+    other = FactTable(spark, tmp_dir + "/rfact", SPEC)
+    other.load(spark.createDataFrame([("2", "y")], "k string, a string"), S2)  # wins version 1
+    with pytest.raises(CommitConflict):
+        t.log.commit(dict(stale, version=1))
+    calls = {"n": 0}
+    real = t.log.latest
+
+    def first_stale():
+        calls["n"] += 1
+        return stale if calls["n"] == 1 else real()
+
+    t.log.latest = first_stale  # this writer starts from the old version and loses the race once
+    assert t.load(spark.createDataFrame([("3", "z")], "k string, a string"), S2) == 2
+    assert sorted(r["k"] for r in t.current().collect()) == ["1", "2", "3"]
