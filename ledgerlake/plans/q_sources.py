@@ -26,9 +26,9 @@ LINE_ORDER = ["Invoice ID", "Line ID"]
 
 
 def _line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = s.line_items(spark, sf_dir).withColumn("__ord", F.col("Invoice ID").cast("long"))
-    return pg.paginate(li, LINE_REPORT, ["__ord", "Line ID"]).withColumn(
-        "resultSet", F.transform("resultSet", lambda r: r.dropFields("__ord")))
+    li = s.line_items(spark, sf_dir)
+    keyed = li.withColumn("__ord", F.col("Invoice ID").cast("long"))
+    return pg.paginate(keyed, LINE_REPORT, ["__ord", "Line ID"], record_columns=li.columns)
 
 
 @register("page_ingest", o.with_(o.LINES) + f"""

@@ -114,7 +114,8 @@ def audit_chain(counts: DataFrame, chain: Iterable[str] = ("report",), page: str
     return joined.select(*chain, page, rows, has_next.alias("has_next"), status.alias("status"))
 
 
-def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int = PAGE_SIZE) -> DataFrame:
+def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int = PAGE_SIZE,
+             record_columns: Iterable[str] | None = None) -> DataFrame:
     """Cut a report into service-style pages (the inverse of :func:`page_rows`).
 
     Rows are numbered along ``order`` (unique), page = (number - 1) div
@@ -122,9 +123,10 @@ def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int =
     service answers the request for the next page. Numbering uses
     :func:`ledgerlake.operators.sequence.sequence_by_key` with the report as
     the only key, so it is spread over all tasks; each page collects at most
-    ``page_size`` rows by construction.
+    ``page_size`` rows by construction. ``record_columns`` (default: all)
+    are the fields of a record; other columns may serve as the order only.
     """
-    cols = df.columns
+    cols = list(record_columns) if record_columns is not None else df.columns
     numbered = _numbered(df.withColumn("report", F.lit(report)), order, page_size)
     pages = numbered.groupBy("report", "page").agg(
         F.collect_list(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("resultSet")
