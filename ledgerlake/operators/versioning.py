@@ -12,15 +12,16 @@ current row per key. Bookkeeping columns (names as in the warehouse table):
     mio_delta_hash          SHA-256 over the payload (change detection)
     mio_version_valid_from/_to  validity, day precision, ``to`` exclusive
 
-Design for scale: a load touches only *current* rows, and of those only
-the keys in the batch (delta mode). The current rows are joined to the
-batch with a left join (the batch is the build side: AQE broadcasts it
-when small, else a sort-merge join). One ``inline`` over an array of
-output rows per joined row emits unchanged / closed / reopened rows in a
-single pass; batch keys never seen before are found by an anti join of the
-batch against the *matched* keys, which are at most as many as batch rows.
-Keys are unique on both sides of these joins (one current row per key; the
-batch reduced by :func:`latest_per_key`), so no key can be hot.
+Design for scale: a load touches only *current* rows. A delta load joins
+them to the batch with a left join (the batch is the build side: AQE
+broadcasts it when small, else a sort-merge join), one ``inline`` over an
+array of output rows per joined row emits unchanged / closed / reopened rows
+in a single pass, and batch keys never seen before come from an anti join of
+the batch against the *matched* keys (at most as many as batch rows). A full
+refresh, whose batch is as large as the table, uses one full outer join and
+one ``inline`` for every output row, new keys included. Keys are unique on
+both sides of these joins (one current row per key; the batch reduced by
+:func:`latest_per_key`), so no key can be hot.
 """
 
 from __future__ import annotations
@@ -202,10 +203,10 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
         *[_c(c).alias(f"__n_{c}") for c in b.columns],
         F.lit(True).alias("__in_batch"),
     )
-    j = cur.join(nb, key_match(cur, nb, [(k, f"__k{i}") for i, k in enumerate(keys)], True), "left")
+    cond = key_match(cur, nb, [(k, f"__k{i}") for i, k in enumerate(keys)], True)
 
     # The per-row output is one SQL expression (parsed once on the JVM): an
-    # array of the rows a current row turns into.
+    # array of the rows a joined row turns into.
     day, by, ts = stamp.sql()
     in_batch = "(`__in_batch` IS NOT NULL)"
     marked = f"coalesce({ident(DELETE)} = '{DELETE_MARK}', false)"
@@ -236,15 +237,6 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
         VALID_FROM: day,
         VALID_TO: "NULL",
     })
-    rows = f"CASE WHEN {closing} THEN array({row(closed)}, {row(reopened)}) ELSE array({row(kept)}) END"
-    from_current = j.select(F.inline(F.expr(rows)))
-
-    matched_keys = j.filter(F.col("__in_batch").isNotNull()).select(
-        *[F.col(f"__k{i}").alias(f"__m{i}") for i in range(len(keys))])
-    fresh = nb.join(
-        matched_keys, key_match(nb, matched_keys, [(f"__k{i}", f"__m{i}") for i in range(len(keys))], True),
-        "left_anti",
-    )
     opened = {c: "NULL" for c in out_cols}
     opened.update({c: ident("__n_" + c) for c in spec.data_columns + [SOURCE_FILE, HASH]})
     if spec.id_column:
@@ -253,9 +245,29 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
         DELETE: "NULL", CURRENT: "true", VERSION: "1", CREATED_BY: by, CREATED_AT: ts,
         UPDATED_BY: by, UPDATED_AT: ts, VALID_FROM: day, VALID_TO: "NULL",
     })
+    from_current = f"CASE WHEN {closing} THEN array({row(closed)}, {row(reopened)}) ELSE array({row(kept)}) END"
+
+    if mode == "full":
+        # The batch is the whole truth, as large as the table: one full outer
+        # join (unique keys on both sides, so no hot key) shuffles and hashes
+        # each side once and yields every output row in a single pass.
+        j = cur.join(nb, cond, "full")
+        rows = f"CASE WHEN {ident(CURRENT)} IS NULL THEN array({row(opened)}) ELSE {from_current} END"
+        return hist.select(*out_cols).unionByName(j.select(F.inline(F.expr(rows))))
+
+    # Delta: the batch is the build side of a left join (AQE broadcasts it
+    # when small, so current rows are not shuffled); keys it brings that no
+    # current row has come from an anti join against the matched keys.
+    j = cur.join(nb, cond, "left")
+    current_rows = j.select(F.inline(F.expr(from_current)))
+    matched_keys = j.filter(F.col("__in_batch").isNotNull()).select(
+        *[F.col(f"__k{i}").alias(f"__m{i}") for i in range(len(keys))])
+    fresh = nb.join(
+        matched_keys, key_match(nb, matched_keys, [(f"__k{i}", f"__m{i}") for i in range(len(keys))], True),
+        "left_anti",
+    )
     new_rows = fresh.selectExpr(*[f"CAST({opened[c]} AS {types[c]}) AS {ident(c)}" for c in out_cols])
-
-    return hist.select(*out_cols).unionByName(from_current).unionByName(new_rows)
+    return hist.select(*out_cols).unionByName(current_rows).unionByName(new_rows)
 
 
 def initial_load(spark: SparkSession, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp) -> DataFrame:
