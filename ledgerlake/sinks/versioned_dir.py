@@ -287,8 +287,19 @@ class FactTable:
             self._read(list(entry["current"].values()), schema, True))
 
     def as_of(self, day) -> DataFrame | None:
-        full = self.read()
-        return None if full is None else v.as_of(full, day)
+        """Rows valid on ``day``. A history part holds the rows one load
+        closed, all with that load's date as ``valid_to``; parts closed on
+        or before ``day`` cannot hold a row valid on ``day`` and are not
+        read, so an as-of read of a recent day skips most of the history."""
+        entry = self.log.latest()
+        if entry is None:
+            return None
+        schema = T.StructType.fromJson(entry["schema"])
+        closed_on = entry.get("closed_on", {})
+        history = [p for p in entry["history"] if closed_on.get(p) is None or closed_on[p] > str(day)]
+        rows = self._read(history, schema, False).unionByName(
+            self._read(list(entry["current"].values()), schema, True))
+        return v.as_of(rows, day)
 
     def _partition(self) -> Column:
         return partition_column(self.partition_expr)
@@ -323,6 +334,8 @@ class FactTable:
                 self.log.commit({
                     "version": version,
                     "history": (entry["history"] if entry else []) + ([closed] if closed else []),
+                    "closed_on": dict(entry.get("closed_on", {}) if entry else {},
+                                      **({closed: str(stamp.load_date)} if closed else {})),
                     "current": current,
                     "schema": nxt.schema.jsonValue(),
                     "batches": _batches(entry, batch_id),

@@ -137,3 +137,17 @@ def test_commit_race_is_detected_and_retried(spark, tmp_dir):
     t.log.latest = first_stale  # this writer starts from the old version and loses the race once
     assert t.load(spark.createDataFrame([("3", "z")], "k string, a string"), S2) == 2
     assert sorted(r["k"] for r in t.current().collect()) == ["1", "2", "3"]
+
+
+def test_as_of_reads_only_history_closed_after_the_day(spark, tmp_dir):
+    t = FactTable(spark, tmp_dir + "/afact", SPEC)
+    S3 = v.LoadStamp("2024-03-01", "run", "2024-03-01 01:00:00")
+    t.load(spark.createDataFrame([("1", "x")], "k string, a string"), S1)
+    t.load(spark.createDataFrame([("1", "y")], "k string, a string"), S2)
+    t.load(spark.createDataFrame([("1", "z")], "k string, a string"), S3)
+    entry = t.log.latest()
+    assert sorted(entry["closed_on"].values()) == ["2024-02-01", "2024-03-01"]
+    for day, want in [("2024-01-15", "x"), ("2024-02-15", "y"), ("2024-03-15", "z")]:
+        assert [r["a"] for r in t.as_of(day).collect()] == [want]
+    files = t.as_of("2024-02-15").inputFiles()
+    assert not any(entry["history"][0] in f for f in files)  # closed 2024-02-01: skipped
