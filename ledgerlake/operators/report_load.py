@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ledgerlake.operators.clean import Lookups
 from ledgerlake.operators.registry import clean_report, report
 from ledgerlake.schemas import DEFAULT_CURRENCY, ROLE_GROUPS_SCHEMA
+from ledgerlake.session import shared_dir
 from ledgerlake.sinks.versioned_dir import ReportTable
 from ledgerlake.sources import lookups as lk
 from ledgerlake.sources import pages as pg
@@ -47,7 +48,10 @@ def load_report(spark: SparkSession, name: str, pages_path: str, record_schema:
     """Load the landed pages of report ``name`` into its table; returns the
     committed table version (None when ``batch_id`` was already loaded)."""
     r = report(name)
-    pages = pg.read_pages(spark, pages_path, record_schema)
+    shared_dir(spark)  # checkpoints go to the cluster's shared folder
+    # JSON is parsed once: the audit and the ingest both read the
+    # checkpointed pages (reliable checkpoint, survives a lost executor).
+    pages = pg.read_pages(spark, pages_path, record_schema).checkpoint(eager=True)
     check_chains(pages)
     rows = pg.page_rows(pages, currency)
     cleaned = clean_report(name, rows, lookups)
