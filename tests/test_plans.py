@@ -1,0 +1,49 @@
+"""The physical plans have the properties the design relies on."""
+
+import re
+
+import __spark_entry__ as entry
+from ledgerlake.operators.joins import merge
+
+SF = "/root/testdata/sf0.001"
+Q = entry.queries()
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_window_bounds_reach_the_scan(spark):
+    p = plan(Q["rolling_window"](spark, SF))
+    assert re.search(r"PushedFilters: \[[^\]]*l_shipdate", p)
+
+
+def test_unused_columns_are_pruned(spark):
+    p = plan(Q["fill_default_role"](spark, SF))
+    scanned = re.search(r"FileScan parquet \[([^\]]*)\]", p).group(1)
+    assert "l_returnflag" in scanned and "l_tax" not in scanned and "l_discount" not in scanned
+
+
+def test_bounded_lookup_is_broadcast(spark):
+    p = plan(Q["role_lookup"](spark, SF))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_full_merge_has_no_full_outer_join(spark):
+    left = spark.range(100).selectExpr("id", "CAST(id % 3 AS STRING) AS k")
+    look = spark.createDataFrame([("0", "a"), ("9", "z")], "k string, g string")
+    p = plan(merge(left, look, ["k"], "full"))
+    assert "FullOuter" not in p and "LeftAnti" in p
+
+
+def test_version_chain_windows_are_sliced(spark):
+    p = plan(Q["version_chain"](spark, SF))
+    windows = re.findall(r"Window \[[^\n]*", p)
+    assert windows and all("__key" in w for w in windows)
+    assert any("__slice" in w for w in windows)
+
+
+def test_upsert_aggregates_batch_keys_before_the_exchange(spark):
+    p = plan(Q["upsert_by_key"](spark, SF))
+    assert "LeftAnti" in p
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*__bk0", p)
