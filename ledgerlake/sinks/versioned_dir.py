@@ -147,6 +147,19 @@ def partition_column(expr: str | None) -> Column:
     return F.lit(None).cast("string") if expr is None else F.expr(expr).cast("string")
 
 
+MAX_PARTITIONS = 10_000
+
+
+def _distinct_values(df: DataFrame) -> set:
+    """Distinct values of a one-column frame; at most MAX_PARTITIONS reach
+    the driver (a partition expression must have low cardinality)."""
+    rows = df.distinct().limit(MAX_PARTITIONS + 1).collect()
+    if len(rows) > MAX_PARTITIONS:
+        raise ValueError(f"partition expression yields more than {MAX_PARTITIONS} values; "
+                         "partition by a coarser expression (e.g. a month)")
+    return {r[0] for r in rows}
+
+
 def touched_partitions(current: DataFrame | None, batch: DataFrame, keys: Sequence[str], expr: str,
                        stable: bool = False) -> set[str]:
     """Partition folders holding batch rows or current rows of batch keys.
@@ -155,12 +168,12 @@ def touched_partitions(current: DataFrame | None, batch: DataFrame, keys: Sequen
     value is fixed at creation, e.g. the month an invoice was issued); then
     the batch's own values suffice and the current keys are not scanned."""
     part = partition_column(expr)
-    values = {r[0] for r in batch.select(part).distinct().collect()}
+    values = _distinct_values(batch.select(part))
     if stable or current is None:
         return {_folder(x) for x in values}
     bk = batch.select(*[F.col(f"`{k}`").alias(f"__bk{i}") for i, k in enumerate(keys)]).distinct()
     cond = key_match(current, bk, [(k, f"__bk{i}") for i, k in enumerate(keys)], True)
-    values |= {r[0] for r in current.join(bk, cond, "left_semi").select(part).distinct().collect()}
+    values |= _distinct_values(current.join(bk, cond, "left_semi").select(part))
     return {_folder(x) for x in values}
 
 
