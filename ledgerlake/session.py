@@ -26,7 +26,7 @@ BASE_CONF = {
 }
 
 
-JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+JIT_OPTIONS = os.environ.get("LEDGERLAKE_JIT_OPTIONS", "-XX:-DontCompileHugeMethods")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlake") -> SparkSession:
