@@ -10,7 +10,7 @@ slices, and the slice of a row is a fixed function of its data (safe to
 recompute after a lost executor).
 
 1. slice = position of the row's first order value among the bounds (a
-   balanced ``CASE`` tree, inside code generation).
+   binary search, ``Bucketizer``, cheap for any number of slices).
 2. ``row_number`` / ``lead`` over (key, slice): groups are bounded by the
    slice size.
 3. Per (key, slice): row count and the first row's values.
@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.ml.feature import Bucketizer
 
 
 def _c(x: str | Column) -> Column:
@@ -43,25 +44,26 @@ def _numeric(c: Column, dtype: T.DataType) -> Column:
     return None
 
 
-def _bucket(x: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Index i in [lo, hi] with bounds[i-1] <= x < bounds[i] (binary search)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(x < F.lit(bounds[mid]), _bucket(x, bounds, lo, mid)).otherwise(_bucket(x, bounds, mid + 1, hi))
+def with_slice(df: DataFrame, column: str, slices: int, out: str = "__slice") -> DataFrame:
+    """Add the slice number of each row along ``column`` (nulls first: -1).
 
-
-def slice_of(df: DataFrame, column: str, slices: int) -> Column:
-    """Slice number of each row along ``column`` (nulls first: -1)."""
+    Bounds are approximate quantiles of the column (one column scan; at most
+    ``slices`` numbers reach the driver). The slice is found by a binary
+    search over the bounds (``Bucketizer``), so any number of slices costs
+    the same per row.
+    """
     x = _numeric(_c(column), df.schema[column].dataType)
     if x is None or slices <= 1:
-        return F.lit(0)
+        return df.withColumn(out, F.lit(0))
     probs = [i / slices for i in range(1, slices)]
-    bounds = df.select(x.alias("__o")).approxQuantile("__o", probs, 1.0 / (4 * slices))
+    bounds = df.select(x.alias("__o")).approxQuantile("__o", probs, 1.0 / (2 * slices))
     bounds = sorted({b for b in bounds if b is not None})
     if not bounds:
-        return F.lit(0)
-    return F.when(x.isNull(), F.lit(-1)).otherwise(_bucket(x, bounds, 0, len(bounds)))
+        return df.withColumn(out, F.lit(0))
+    splits = [-float("inf"), *bounds, float("inf")]
+    ordered = df.withColumn("__o", x)
+    bucketed = Bucketizer(splits=splits, inputCol="__o", outputCol="__b").transform(ordered)
+    return bucketed.withColumn(out, F.coalesce(F.col("__b").cast("int"), F.lit(-1))).drop("__o", "__b")
 
 
 def slice_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = (),
@@ -76,7 +78,7 @@ def slice_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry:
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[_c(k) for k in keys])  # null-safe: struct(null) equals struct(null)
     ordered = [_c(o) for o in order]
-    sliced = df.withColumn("__key", key).withColumn("__slice", slice_of(df, order[0], n))
+    sliced = with_slice(df.withColumn("__key", key), order[0], n)
 
     first = F.min_by(F.struct(*[_c(c).alias(c) for c in carry]), F.struct(*ordered)) if carry else F.lit(None)
     stats = sliced.groupBy("__key", "__slice").agg(F.count(F.lit(1)).alias("__cnt"), first.alias("__first"))

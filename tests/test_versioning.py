@@ -113,3 +113,14 @@ def test_version_chain(spark):
     got = {r["id"]: (r["version_number"], r["valid_to"], r["is_current"])
            for r in v.version_chain(df, ["u"], "ts", "id").collect()}
     assert got == {"b": (1, 10, False), "a": (2, None, True), "c": (1, None, True)}
+
+
+def test_sequence_with_many_slices(spark):
+    rows = [("k" if i % 2 else None, i % 97, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, t int, id int")
+    got = {r["id"]: r["seq"] for r in sequence_by_key(df, ["k"], ["t", "id"], slices=500).collect()}
+    expected = {}
+    for key in ("k", None):
+        ordered = sorted((t, i) for k, t, i in rows if k == key)
+        expected.update({i: n + 1 for n, (_, i) in enumerate(ordered)})
+    assert got == expected
