@@ -320,9 +320,14 @@ class FactTable:
     def load(self, batch: DataFrame, stamp: v.LoadStamp, mode: str = "delta",
              batch_id: tuple[str, int] | None = None, order: Sequence[str] | None = None,
              retries: int = 3) -> int | None:
-        """Merge ``batch`` (reduced to its last row per key by ``order`` when
-        given) and commit the next version. Losing a commit race re-reads the
-        latest version and merges again."""
+        """Merge ``batch`` and commit the next version. The batch is first
+        reduced to one row per key: the last by ``order``, or without an order
+        the row of the last source file, ties broken by the row's own values
+        (deterministic). Losing a commit race re-reads the latest version and
+        merges again."""
+        if not order:
+            order = ([v.SOURCE_FILE] if v.SOURCE_FILE in batch.columns else []) + [
+                c for c in self.spec.data_columns if c not in self.spec.keys]
         if order:
             batch = v.latest_per_key(batch, self.spec.keys, order)
         for attempt in range(retries):

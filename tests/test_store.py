@@ -151,3 +151,10 @@ def test_as_of_reads_only_history_closed_after_the_day(spark, tmp_dir):
         assert [r["a"] for r in t.as_of(day).collect()] == [want]
     files = t.as_of("2024-02-15").inputFiles()
     assert not any(entry["history"][0] in f for f in files)  # closed 2024-02-01: skipped
+
+
+def test_repeated_key_in_a_batch_gives_one_version(spark, tmp_dir):
+    t = FactTable(spark, tmp_dir + "/dfact", SPEC)
+    t.load(spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "k string, a string"), S1)
+    cur = {r["k"]: r["a"] for r in t.current().collect()}
+    assert cur == {"1": "b", "2": "c"} and t.read().count() == 2
