@@ -47,3 +47,35 @@ def test_upsert_aggregates_batch_keys_before_the_exchange(spark):
     p = plan(Q["upsert_by_key"](spark, SF))
     assert "LeftAnti" in p
     assert re.search(r"HashAggregate\(keys=\[[^\]]*__bk0", p)
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """A key holding a third of the rows: the left join that replaces the
+    full outer merge lets AQE split the skewed partition."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, val in conf.items():
+        spark.conf.set(k, val)
+    try:
+        left = spark.range(30000).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k")
+        look = spark.range(20000).selectExpr("CAST(id AS STRING) AS k", "id AS g").union(
+            spark.createDataFrame([("hot", -1)], "k string, g long"))
+        out = merge(left, look, ["k"], "full")
+        rows = out.collect()
+        # every left row once, plus the look-up keys no left row has (ids divisible by 3)
+        assert len(rows) == 30000 + 6667
+        assert sum(1 for r in rows if r["k"] == "hot") == 10000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, val in old.items():
+            if val is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, val)
