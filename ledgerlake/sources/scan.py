@@ -23,47 +23,38 @@ from pyspark.sql import functions as F
 MIN_SPREAD_BYTES = int(os.environ.get("LEDGERLAKE_SPREAD_MIN_BYTES", 8 << 20))
 
 
-def input_bytes(spark: SparkSession, df: DataFrame) -> int:
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (one content-summary call, not one per file)."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
-    return total
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
 
 
-# (path, file modification times) -> (input splits, input bytes). Only a
-# performance hint: a stale entry can change the plan, never the result.
-_SCAN_SHAPE: dict[tuple, tuple[int, int]] = {}
+# path -> (input splits, input bytes or None). Only a performance hint: a
+# stale entry can change the plan, never the result.
+_SCAN_SHAPE: dict[str, tuple[int, int | None]] = {}
 
 
-def _scan_shape(spark: SparkSession, df: DataFrame, path: str | None) -> tuple[int, int]:
-    key = None
-    if path is not None:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-        key = (path, int(st.getModificationTime()), int(st.getLen()))
-        if key in _SCAN_SHAPE:
-            return _SCAN_SHAPE[key]
-    shape = (df.rdd.getNumPartitions(), input_bytes(spark, df))
-    if key is not None:
-        _SCAN_SHAPE[key] = shape
-    return shape
-
-
-def spread(df: DataFrame, keys: Sequence[str], min_bytes: int = MIN_SPREAD_BYTES, path: str | None = None) -> DataFrame:
+def spread(df: DataFrame, keys: Sequence[str], path: str, min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
     """``df`` unchanged when its scan already has enough splits, else hash-
-    distributed over ``keys`` to the cluster's default parallelism."""
+    distributed over ``keys`` to the cluster's default parallelism.
+
+    The split count is checked first; only an input with too few splits
+    (hence few files) is sized, so a table of many files costs no listing
+    beyond the one Spark does anyway.
+    """
     spark = df.sparkSession
     want = spark.sparkContext.defaultParallelism
-    splits, size = _scan_shape(spark, df, path)
-    if splits * 2 >= want or size < min_bytes:
+    if path not in _SCAN_SHAPE:
+        splits = df.rdd.getNumPartitions()
+        size = input_bytes(spark, path) if splits * 2 < want else None
+        _SCAN_SHAPE[path] = (splits, size)
+    splits, size = _SCAN_SHAPE[path]
+    if splits * 2 >= want or size is None or size < min_bytes:
         return df
     return df.repartition(want, *[F.col(k) for k in keys])
 
 
 def read_parquet(spark: SparkSession, path: str, keys: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
-    return spread(df, keys, path=path) if keys else df
+    return spread(df, keys, path) if keys else df
