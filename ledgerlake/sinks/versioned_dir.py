@@ -383,6 +383,25 @@ class FactTable:
                        for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true")}
         return (closed if self.log.exists(closed) else None), written
 
+    def compact(self) -> int | None:
+        """Merge all history parts into one, sorted by ``valid_to`` so parquet
+        statistics prune as-of reads. The part's close date is the latest of
+        its rows', so as-of pruning stays correct. Content is unchanged; the
+        previous version (with the small parts) stays as the back-up."""
+        entry = self.log.latest()
+        if entry is None or len(entry["history"]) < 2:
+            return None
+        schema = T.StructType.fromJson(entry["schema"])
+        history = self._read(entry["history"], schema, False).drop(v.CURRENT)
+        stage = _stage("history", entry["version"] + 1)
+        history.repartitionByRange(v.VALID_TO).sortWithinPartitions(v.VALID_TO).write.parquet(
+            self.log.part_path(stage))
+        dates = [entry.get("closed_on", {}).get(p) for p in entry["history"]]
+        closed_on = {stage: max(dates)} if all(dates) else {}
+        version = entry["version"] + 1
+        self.log.commit(dict(entry, version=version, history=[stage], closed_on=closed_on))
+        return version
+
     def evolve(self, target: T.StructType, spec: v.VersionSpec) -> int:
         """Change the schema keeping old values (dropped or retyped columns
         live on as ``<c>_legacy``, carried into later versions) and switch to

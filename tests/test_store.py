@@ -158,3 +158,18 @@ def test_repeated_key_in_a_batch_gives_one_version(spark, tmp_dir):
     t.load(spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "k string, a string"), S1)
     cur = {r["k"]: r["a"] for r in t.current().collect()}
     assert cur == {"1": "b", "2": "c"} and t.read().count() == 2
+
+
+def test_compact_history_keeps_content_and_as_of(spark, tmp_dir):
+    t = FactTable(spark, tmp_dir + "/cfact", SPEC)
+    days = ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
+    for i, d in enumerate(days):
+        t.load(spark.createDataFrame([("1", f"v{i}"), ("2", "same")], "k string, a string"),
+               v.LoadStamp(d, "run", f"{d} 01:00:00"))
+    before = sorted(map(tuple, t.read().collect()))
+    assert len(t.log.latest()["history"]) == 3
+    t.compact()
+    entry = t.log.latest()
+    assert len(entry["history"]) == 1 and list(entry["closed_on"].values()) == ["2024-04-01"]
+    assert sorted(map(tuple, t.read().collect())) == before
+    assert [r["a"] for r in t.as_of("2024-02-15").filter("k = '1'").collect()] == ["v1"]
