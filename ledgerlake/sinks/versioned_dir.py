@@ -61,13 +61,8 @@ class TableLog:
         self._fs = self._log_dir.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def latest(self) -> dict | None:
-        if not self._fs.exists(self._log_dir):
-            return None
-        names = [st.getPath().getName() for st in self._fs.listStatus(self._log_dir)]
-        versions = sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-        if not versions:
-            return None
-        return self._read(versions[-1])
+        versions = self.versions()
+        return self._read(versions[-1]) if versions else None
 
     def _read(self, version: int) -> dict:
         stream = self._fs.open(self._Path(f"{self.root}/_log/{version:08d}.json"))
@@ -99,6 +94,37 @@ class TableLog:
         finally:
             out.close()
 
+    def versions(self) -> list[int]:
+        if not self._fs.exists(self._log_dir):
+            return []
+        names = [st.getPath().getName() for st in self._fs.listStatus(self._log_dir)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def vacuum(self, keep_versions: int = 2) -> list[str]:
+        """Delete part folders no longer referenced by the newest
+        ``keep_versions`` versions; returns the deleted folder names. Log
+        files are kept, but versions older than the kept ones can no longer
+        be read. Folders of an attempt that is still writing are not
+        referenced yet either, so run this when no load is in flight."""
+        if keep_versions < 1:
+            raise ValueError("keep at least one version")
+        kept = self.versions()[-keep_versions:]
+        referenced = set()
+        for ver in kept:
+            entry = self._read(ver)
+            parts = list(entry.get("history", [])) + list(entry.get("parts", []))
+            current = entry.get("current") or {}
+            parts += list(current.values()) if isinstance(current, dict) else [current]
+            referenced |= {p.split("/")[0] for p in parts if p}
+        root = self._Path(self.root)
+        deleted = []
+        for st in self._fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name != "_log" and not name.startswith((".", "_")) and name not in referenced:
+                self._fs.delete(st.getPath(), True)
+                deleted.append(name)
+        return sorted(deleted)
+
     def part_path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

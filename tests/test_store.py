@@ -173,3 +173,19 @@ def test_compact_history_keeps_content_and_as_of(spark, tmp_dir):
     assert len(entry["history"]) == 1 and list(entry["closed_on"].values()) == ["2024-04-01"]
     assert sorted(map(tuple, t.read().collect())) == before
     assert [r["a"] for r in t.as_of("2024-02-15").filter("k = '1'").collect()] == ["v1"]
+
+
+def test_vacuum_keeps_referenced_parts(spark, tmp_dir):
+    t = ReportTable(spark, tmp_dir + "/vrep", ["k"])
+    for i in range(4):
+        t.upsert(spark.createDataFrame([(str(i), "x")], "k string, a string"))
+    before = sorted(tuple(r) for r in t.read().collect())
+    deleted = t.log.vacuum(keep_versions=2)
+    assert len(deleted) == 2
+    assert sorted(tuple(r) for r in t.read().collect()) == before
+    f = FactTable(spark, tmp_dir + "/vfact", SPEC)
+    for i, d in enumerate(["2024-01-01", "2024-02-01", "2024-03-01"]):
+        f.load(spark.createDataFrame([("1", f"v{i}")], "k string, a string"), v.LoadStamp(d, "run", f"{d} 01:00:00"))
+    full = sorted(map(tuple, f.read().collect()))
+    f.log.vacuum(keep_versions=1)  # history parts of earlier loads are still referenced
+    assert sorted(map(tuple, f.read().collect())) == full
