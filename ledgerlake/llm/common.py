@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +39,15 @@ def ascii_lower(c: Column) -> Column:
 def replace_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Drops columns that an operator is about to add (its own names win)."""
     return df.drop(*[c for c in df.columns if c in names])
+
+
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcasts ``value`` by value (its class included); the result gives it in a task, unpickled once."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    loaded: list[Any] = []
+
+    def get() -> Any:
+        if not loaded:
+            loaded.append(pickle.loads(sent.value))
+        return loaded[0]
+    return get

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, sharding
+from ledgerlake.llm import decontam, mixing, sharding, simhash, toxicity
 from ledgerlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,43 @@ def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(documents(spark, sf_dir), keys_only=True)
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query()
+def op7_gph_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(len(w), 13) AS l FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, l, unnest(list_transform(range(1, len(w) - l + 2), lambda i: array_to_string(w[i:i + l - 1], ' '))) AS k FROM bl),
+dk AS (SELECT doc_id, l, list_transform(range(1, len(w) - l + 2), lambda i: array_to_string(w[i:i + l - 1], ' ')) AS ks
+       FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l),
+dw AS (SELECT doc_id, l, unnest(ks) AS k, generate_subscripts(ks, 1) AS i FROM dk),
+hits AS (SELECT doc_id, i, l, item_id FROM dw JOIN win USING (l, k)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT doc_id, i, l FROM hits)) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(DISTINCT CAST(item_id AS VARCHAR)) AS n_items,
+                     sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS h FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+@query(OP8_SQL)
+def op8_ngram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    c = F.col("contamination")
+    return found.select("doc_id", c["n_words"].alias("n_words"), decontam.n_hit().alias("n_hit"), F.size(c["items"]).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(c["items"], ","), 256).alias("items_sha256"), decontam.is_contaminated().alias("contaminated"))
+
+
+@query()
+def op9_gbt_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = toxicity.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
