@@ -32,8 +32,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def ascii_lower(c: Column) -> Column:
-    """Lower-cases A-Z only (``lower`` would change other letters too)."""
-    return F.translate(c, UPPER, UPPER.lower())
+    """Lower-cases A-Z only: ``lower`` where all is ASCII (fast), else a translation."""
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of all columns (maps cannot be hashed and are left out)."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
 
 
 def replace_columns(df: DataFrame, names: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontam, mixing, sharding, simhash, toxicity
+from ledgerlake.llm import decontam, exact_dedup, html_extract, line_dedup, mixing, sharding, simhash, substring_dedup, toxicity, url_filter
 from ledgerlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,47 @@ def query(sql: str | None = None):
     return add
 
 
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query()
+def op1_url_ngram_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP2_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, l, sum(length(l) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(l) - 1 AS s
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL)),
+normal AS (
+  SELECT doc_id, i, l, s, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS u FROM lines),
+units AS (
+  SELECT doc_id, i, l, s, len(string_split(u, ' ')) >= 5 AND u <> '' AS counts,
+         first_value(doc_id) OVER w AS of_doc, row_number() OVER w AS k FROM normal WINDOW w AS (PARTITION BY u ORDER BY doc_id, i)),
+judged AS (SELECT *, counts AND k > 1 AS gone FROM units),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (counts) AS n_units, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(CAST(s AS VARCHAR) || '-' || CAST(s + length(l) AS VARCHAR), ',' ORDER BY i) FILTER (gone), '') AS removed,
+         min(of_doc) FILTER (gone) AS dup_of, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, dup_of, p.text AS text
+FROM documents d LEFT JOIN per_doc p USING (doc_id)
+"""
+
+
+@query(OP2_SQL)
+def op2_line_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(documents(spark, sf_dir))
+    return found.select("doc_id", "n_units", "n_removed", "removed", "dup_of", "text")
+
+
+@query()
+def op3_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return found.select("doc_id", "n_units", "n_removed", "removed", "dup_of", "text")
+
+
 @query()
 def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = mixing.plan(documents(spark, sf_dir))
@@ -36,6 +77,19 @@ def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+OP6_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)
+"""
+
+
+@query(OP6_SQL)
+def op6_stateful_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.dedup(spark, f"{sf_dir}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 @query()
 def op7_gph_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
@@ -74,3 +128,9 @@ def op8_ngram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_gbt_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = toxicity.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op10_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

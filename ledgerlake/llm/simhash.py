@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ledgerlake.llm.common import replace_columns, stage
+from ledgerlake.llm.common import replace_columns, row_hash, stage
 from ledgerlake.llm.components import components
 
 BITS = 64
@@ -239,8 +239,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     ids only has a null component. Equal texts and repeated rows share a
     fingerprint. An empty table gives no rows.
     """
-    row = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")]
-    keyed = stage(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(shingle)(F.col(text)).alias("fp"), F.xxhash64(*row).alias("tie")), "simhash-docs")
+    keyed = stage(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(shingle)(F.col(text)).alias("fp"), row_hash(docs).alias("tie")), "simhash-docs")
     fps = stage(keyed.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-prints")
     roots = components(links(fps.select("fp"), max_bits, parts, bucket), "simhash-links")
     member = fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -250,11 +249,10 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id (of equal ids, the smallest row hash)."""
-    row = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")]
     groups = near_duplicates(docs, doc_id=doc_id, **options)
     best = stage(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id")
                  .agg(F.min("tie").alias("tie"), F.count("*").alias("n")), "simhash-kept")
-    keyed = replace_columns(docs, ["_tie"]).withColumn("_tie", F.xxhash64(*row))
+    keyed = replace_columns(docs, ["_tie"]).withColumn("_tie", row_hash(docs))
     b = best.select(F.col("component_id").alias("_c"), F.col("tie").alias("_t"))
     kept = keyed.join(b, F.col(doc_id).eqNullSafe(F.col("_c")) & (F.col("_tie") == F.col("_t")), "left_semi")
     if best.where("n > 1").limit(1).count():  # some ids occur twice: equal rows must not both stay
