@@ -30,7 +30,7 @@ BLOCK_WORDS = ["casino", "poker", "bets", "betting", "slots", "jackpot", "lotter
                "escort", "spam", "ads", "adserver", "track", "tracker", "click", "popup", "malware", "warez", "torrent", "crack", "loans", "payday", "replica", "cheap"]
 ALLOW_WORDS = ["news", "library", "museum", "garden", "school", "science", "history", "weather", "music", "travel", "recipes", "health", "sports", "forum", "wiki",
                "journal", "research", "university", "books", "city", "river", "mountain", "theatre", "radio", "paper", "letters", "kitchen", "photo", "software",
-               "hardware", "docs", "support", "shop", "market", "house", "nature", "animals", "language", "stories", "teachers", "there", "other", "nation", "station"]
+               "hardware", "docs", "support", "shop", "market", "house", "nature", "animals", "language", "stories", "teachers", "there", "other", "nation", "station", "thing", "building", "morning", "evening", "spring", "reading", "writing", "cooking"]
 HOSTS = ["{w}.example.com", "www.{w}.example.org", "m.{w}.example.net", "blog.{w}.example.com", "{w}-win.example.org", "free-{w}.example.net"]
 ALLOW_HOSTS = ["{w}.example.com", "www.{w}.example.org", "m.{w}.example.net", "blog.{w}.example.com", "{w}-home.example.org", "my-{w}.example.net"]
 PATHS = ["/en/1024", "/de/77.html", "/fr/3105/", ""]
