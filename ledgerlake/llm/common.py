@@ -56,3 +56,12 @@ def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
             loaded.append(pickle.loads(sent.value))
         return loaded[0]
     return get
+
+
+#: Rows of keys and places that a broadcast may hold (about 50 bytes each).
+BROADCAST_ROWS = 500_000
+
+
+def small(staged: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``staged`` (a written table of narrow rows), marked for broadcast if its count allows; else joined by shuffle."""
+    return F.broadcast(staged) if staged.count() <= rows else staged

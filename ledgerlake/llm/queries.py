@@ -43,11 +43,11 @@ units AS (
          first_value(doc_id) OVER w AS of_doc, row_number() OVER w AS k FROM normal WINDOW w AS (PARTITION BY u ORDER BY doc_id, i)),
 judged AS (SELECT *, counts AND k > 1 AS gone FROM units),
 per_doc AS (
-  SELECT doc_id, count(*) FILTER (counts) AS n_units, count(*) FILTER (gone) AS n_removed,
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
          coalesce(string_agg(CAST(s AS VARCHAR) || '-' || CAST(s + length(l) AS VARCHAR), ',' ORDER BY i) FILTER (gone), '') AS removed,
          min(of_doc) FILTER (gone) AS dup_of, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
   FROM judged GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, dup_of, p.text AS text
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, dup_of, p.text AS text
 FROM documents d LEFT JOIN per_doc p USING (doc_id)
 """
 
@@ -55,13 +55,13 @@ FROM documents d LEFT JOIN per_doc p USING (doc_id)
 @query(OP2_SQL)
 def op2_line_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(documents(spark, sf_dir))
-    return found.select("doc_id", "n_units", "n_removed", "removed", "dup_of", "text")
+    return found.select("doc_id", "n_removed", "removed", "dup_of", "text")
 
 
 @query()
 def op3_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(documents(spark, sf_dir))
-    return found.select("doc_id", "n_units", "n_removed", "removed", "dup_of", "text")
+    return found.select("doc_id", "n_removed", "removed", "dup_of", "text")
 
 
 @query()

@@ -18,13 +18,13 @@ def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_
     Units (lines; "\\n\\n" for paragraphs) are normalised and hashed, the hashes
     grouped over all documents, and every place but the first is taken out.
     First: smallest id (null before all), then row hash, then position. The
-    text becomes the remaining units; n_units, n_removed, removed (original
-    character offsets) and dup_of are added.
+    text becomes the remaining units; n_removed, removed (original character
+    offsets) and dup_of are added.
 
     A null text stays null and has no units; an empty one has none that
     count. Rows equal in all columns count as one document. An empty table
     gives no rows. Input columns named like the added ones are replaced.
     """
-    cut = stage(units.cut(docs, text, doc_id, separator, min_words).drop("_norm"), "substring-units")
+    cut = stage(units.worded(docs, text, doc_id, separator).select(*units.DOC, "_pos", "_len", *units.hashes(min_words)), "substring-units")
     kept = units.first_places(cut).where("places > 1").drop("places")
     return units.take_out(docs, cut, kept, text, doc_id, separator)
