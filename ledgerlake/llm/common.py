@@ -46,6 +46,12 @@ def replace_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c in names])
 
 
+def shielded(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with other names for columns that start with ``_``, like the operators' own; and the way back."""
+    other = {c: f"input {c}" for c in docs.columns if c.startswith("_")}
+    return docs.withColumnsRenamed(other), {v: k for k, v in other.items()}
+
+
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcasts ``value`` by value (its class included); the result gives it in a task, unpickled once."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import replace_columns, share, stage
+from ledgerlake.llm.common import replace_columns, share, shielded, stage
 
 WINDOW = 13
 #: Windows that one broadcast holds at most (about 30 MB); a larger benchmark is scanned for in blocks.
@@ -113,12 +113,12 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id:
     their findings are merged by text.
     """
     spark = docs.sparkSession
-    docs = replace_columns(docs, ["contamination"])
+    docs, back = shielded(replace_columns(docs, ["contamination"]))
     w = stage(windows(benchmark, item_id, item_text, window), "bench-windows")
     blocks = max(1, -(-w.count() // block_windows))
     parts = (Index(w.where(F.pmod(F.xxhash64("item", "key"), F.lit(blocks)) == b).collect()) for b in range(blocks))
     if blocks == 1:
-        return docs.withColumn("contamination", _scanner(next(parts), spark)(F.col(text)))
+        return docs.withColumn("contamination", _scanner(next(parts), spark)(F.col(text))).withColumnsRenamed(back)
     key: Column = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
     hits = None
     for p in parts:
@@ -132,7 +132,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id:
     joined = docs.withColumns({"_key": key, "_n": bare["n_words"]}).join(hits, "_key", "left")
     none = F.array().cast(FOUND["spans"].dataType)
     return joined.withColumn("contamination", F.struct(F.col("_n").alias("n_words"), F.coalesce("_s", none).alias("spans"),
-                                                       F.coalesce("_i", F.array().cast("array<string>")).alias("items"))).drop("_key", "_n", "_s", "_i")
+                                                       F.coalesce("_i", F.array().cast("array<string>")).alias("items"))).drop("_key", "_n", "_s", "_i").withColumnsRenamed(back)
 
 
 def n_hit(c: str = "contamination") -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import replace_columns, stage
+from ledgerlake.llm.common import replace_columns, shielded, stage
 from ledgerlake.llm.url_filter import split_url
 
 #: A subtree is template if this many different pages of the host have it, and this share of them.
@@ -202,7 +202,8 @@ def extract(pages: DataFrame, *, html: str = "html", url: str = "url", min_pages
     host. Character references are decoded, white space inside a block becomes
     one blank, blocks are joined by a line feed. An empty table gives no rows.
     """
-    keyed = replace_columns(pages, ["text", "_host", "_page"]).withColumns({"_host": split_url(F.col(url))[0], "_page": F.xxhash64(F.coalesce(F.col(html), F.lit("")))})
+    pages, back = shielded(pages)
+    keyed = replace_columns(pages, ["text"]).withColumns({"_host": split_url(F.col(url))[0], "_page": F.xxhash64(F.coalesce(F.col(html), F.lit("")))})
     own = keyed.select(F.col("_host").alias("host"), F.col("_page").alias("page"), html)
     nodes = stage(subtrees(own, html), "html-subtrees")
     sizes = nodes.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
@@ -231,4 +232,4 @@ def extract(pages: DataFrame, *, html: str = "html", url: str = "url", min_pages
                .withColumnsRenamed({"host": "_host", "page": "_page"}))
     rest = waiting.join(of_page, ["_host", "_page"], "left").withColumn("text", second_look(F.col(html), F.col("_found")))
     names = [c for c in keyed.columns if c not in ("_host", "_page")]
-    return done.select(*[F.col(f"`{c}`") for c in names], "text").unionByName(rest.select(*[F.col(f"`{c}`") for c in names], "text"))
+    return done.select(*[F.col(f"`{c}`") for c in names], "text").unionByName(rest.select(*[F.col(f"`{c}`") for c in names], "text")).withColumnsRenamed(back)

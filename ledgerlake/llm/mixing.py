@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ledgerlake.llm.common import replace_columns, stage
+from ledgerlake.llm.common import replace_columns, shielded, stage
 
 #: Undecided documents that one task takes at a time.
 BLOCK = 4096
@@ -173,10 +173,11 @@ def plan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
 
 def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mixed table: each row of ``docs`` as often as its unit has copies, columns unchanged."""
+    docs, back = shielded(docs)
     key = {"_source": F.col(source), "_id": F.col(doc_id), "_h": F.xxhash64(text)}
     p = plan(docs, doc_id=doc_id, text=text, source=source, **options)
     keyed = replace_columns(docs, list(key)).withColumns(key)
     kept = (p.where("copies > 0").select("source", "doc_id", "h", "copies")
             .withColumnsRenamed({"source": "__s", "doc_id": "__d", "h": "__h", "copies": "__copies"}))
     joined = keyed.join(kept, F.col("_id").eqNullSafe(F.col("__d")) & (F.col("_h") == F.col("__h")) & F.col("_source").eqNullSafe(F.col("__s")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns]).withColumnsRenamed(back)

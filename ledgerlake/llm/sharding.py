@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import replace_columns, stage
+from ledgerlake.llm.common import replace_columns, shielded, stage
 
 KEYS = ["_h", "_k", "_tie", "_size", "_crc"]
 OUT = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
@@ -134,6 +134,7 @@ def shard(docs: DataFrame, *, shards: int = 16, text: str = "text", doc_id: str
     Driver: ``shards * ranges_per_shard * samples_per_range`` sampled keys and
     two numbers a range, whatever the input.
     """
+    docs, back = shielded(docs)
     ranges = shards * ranges_per_shard
     keys = stage(with_keys(docs, text, doc_id).select(doc_id, *KEYS), "shard-keys")
     total = keys.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
@@ -150,4 +151,4 @@ def shard(docs: DataFrame, *, shards: int = 16, text: str = "text", doc_id: str
     return (placed.withColumns({"size": F.col("_size"), "text_crc32": F.col("_crc"), "law": F.lit("bytes"),
                                 "slot": (F.col("_row") - _lookup([first[i] for i in range(shards)], F.col("shard"))).cast("long"),
                                 "grown_shard": F.lit(None).cast("int")})
-            .drop(*KEYS, "_row", "_range"))
+            .drop(*KEYS, "_row", "_range").withColumnsRenamed(back))

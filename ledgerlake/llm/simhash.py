@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ledgerlake.llm.common import replace_columns, row_hash, stage
+from ledgerlake.llm.common import replace_columns, row_hash, shielded, stage
 from ledgerlake.llm.components import components
 
 BITS = 64
@@ -249,6 +249,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id (of equal ids, the smallest row hash)."""
+    docs, back = shielded(docs)
     groups = near_duplicates(docs, doc_id=doc_id, **options)
     best = stage(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id")
                  .agg(F.min("tie").alias("tie"), F.count("*").alias("n")), "simhash-kept")
@@ -257,4 +258,4 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame
     kept = keyed.join(b, F.col(doc_id).eqNullSafe(F.col("_c")) & (F.col("_tie") == F.col("_t")), "left_semi")
     if best.where("n > 1").limit(1).count():  # some ids occur twice: equal rows must not both stay
         kept = kept.dropDuplicates([doc_id, "_tie"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).withColumnsRenamed(back)

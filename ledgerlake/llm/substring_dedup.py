@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import units
-from ledgerlake.llm.common import stage
+from ledgerlake.llm.common import shielded, stage
 
 #: Units of fewer words ("Of.", "Share") are never taken out: they repeat by chance.
 MIN_WORDS = 5
@@ -25,6 +25,7 @@ def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_
     count. Rows equal in all columns count as one document. An empty table
     gives no rows. Input columns named like the added ones are replaced.
     """
+    docs, back = shielded(docs)
     cut = stage(units.worded(docs, text, doc_id, separator).select(*units.DOC, "_pos", "_len", *units.hashes(min_words)), "substring-units")
     kept = units.first_places(cut).where("places > 1").drop("places")
-    return units.take_out(docs, cut, kept, text, doc_id, separator)
+    return units.take_out(docs, cut, kept, text, doc_id, separator).withColumnsRenamed(back)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from ledgerlake.llm.common import replace_columns, share, stage
+from ledgerlake.llm.common import replace_columns, share, shielded, stage
 
 # Plain insults, and second-person words of the corpus languages.
 INSULTS = {"idiot", "moron", "stupid", "dumb", "trash", "scum", "loser", "worthless", "pathetic", "disgusting", "clown", "filth", "vermin", "hate"}
@@ -154,9 +154,9 @@ class Model:
 
     def score(self, df: DataFrame, text: str = "text", into: str = "score") -> DataFrame:
         """Adds the calibrated probability; an empty or null text is scored on its features like any other."""
-        out = replace_columns(df, [into])
+        out, back = shielded(replace_columns(df, [into]))
         if self.trees is None:
-            return out.withColumn(into, F.lit(self.prior))
+            return out.withColumn(into, F.lit(self.prior)).withColumnsRenamed(back)
         shared = share(df.sparkSession, self.features)  # at most LEXICON terms
 
         @F.pandas_udf(ArrayType(DoubleType()))
@@ -164,15 +164,14 @@ class Model:
             f = shared()
             return pd.Series([f.of(t) for t in texts])
 
-        own = ["_features", "_raw", "_probability", "_prediction", "_margin", "_calibrated"]
-        names = out.columns
-        out = self.trees.transform(replace_columns(out, own).withColumn("_features", array_to_vector(features(F.col(text)))))
+        names = [F.col(f"`{c}`") for c in out.columns]
+        out = self.trees.transform(out.withColumn("_features", array_to_vector(features(F.col(text)))))
         out = out.withColumn("_margin", vector_to_array("_probability")[1])
         if self.isotonic is None:
-            return out.withColumn(into, F.col("_margin")).select(*[F.col(f"`{c}`") for c in names if c not in own], into)
+            return out.withColumn(into, F.col("_margin")).select(*names, into).withColumnsRenamed(back)
         out = self.isotonic.transform(out)
         return (out.withColumn(into, F.least(F.greatest(F.col("_calibrated"), F.lit(0.0)), F.lit(1.0)))
-                .select(*[F.col(f"`{c}`") for c in names if c not in own], into))
+                .select(*names, into).withColumnsRenamed(back))
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -63,7 +63,7 @@ def take_out(docs: DataFrame, units: DataFrame, kept: DataFrame, text: str, doc_
     gone = started.join(small(kept), LINE).where(~F.coalesce(F.struct(*DOC, "_pos").eqNullSafe(F.col("first")), F.lit(False)))
     span = F.struct("_pos", F.concat_ws("-", F.col("_start"), F.col("_start") + F.col("_len")).alias("span"), F.col("first._doc").alias("of"))
     per_doc = gone.groupBy(*DOC).agg(F.sort_array(F.collect_list(span)).alias("_cuts")).withColumnsRenamed({"_doc": "_d", "_tie": "_t"})
-    keyed = replace_columns(docs, ["n_removed", "removed", "dup_of", *DOC]).withColumns({"_tie": row_hash(docs), "_doc": F.col(doc_id)})
+    keyed = replace_columns(docs.withColumns({"_tie": row_hash(docs), "_doc": F.col(doc_id)}), ["n_removed", "removed", "dup_of"])
     joined = keyed.join(per_doc, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_tie") == F.col("_t")), "left")
     lines, at = F.split(F.col(text), separator), F.col("_cuts._pos")
     pieces = F.transform(F.sequence(F.lit(0), F.size(at)), lambda k: F.slice(

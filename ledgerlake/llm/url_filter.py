@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ledgerlake.llm.common import ascii_lower, replace_columns, share
+from ledgerlake.llm.common import ascii_lower, replace_columns, share, shielded
 
 DIMENSIONS = 1 << 15
 SIZES = (3, 4, 5)
@@ -118,8 +118,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], *, url: str = "url", l
         m = shared()
         return pd.Series([m.score(h, p) for h, p in zip(hosts, paths)], dtype="float64")
 
+    pages, back = shielded(pages)
     host, path = split_url(F.col(f"_{url}"))
     named = replace_columns(pages.withColumn(f"_{url}", F.col(url)), ["host", "path", "rule", "score", "verdict"]).withColumns({"host": host, "path": path})
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return (named.withColumns({"rule": rule, "score": score("host", "path")})
-            .withColumn("verdict", F.coalesce(verdict, F.when(F.col("score") >= threshold, "block").otherwise("allow"))).drop(f"_{url}"))
+            .withColumn("verdict", F.coalesce(verdict, F.when(F.col("score") >= threshold, "block").otherwise("allow"))).drop(f"_{url}").withColumnsRenamed(back))
