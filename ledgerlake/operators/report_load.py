@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ledgerlake.operators.clean import Lookups
 from ledgerlake.operators.registry import clean_report, report
 from ledgerlake.schemas import DEFAULT_CURRENCY, ROLE_GROUPS_SCHEMA
-from ledgerlake.session import shared_dir
+from ledgerlake.session import scratch_path, shared_dir
 from ledgerlake.sinks.versioned_dir import ReportTable
 from ledgerlake.sources import lookups as lk
 from ledgerlake.sources import pages as pg
@@ -22,23 +22,24 @@ class IncompletePages(RuntimeError):
 
 def load_lookups(spark: SparkSession, role_groups_path: str, expense_codes_path: str,
                  expense_columns: list[str]) -> Lookups:
-    """Read both look-up files; broadcast each only if its files are under
-    the broadcast limit (checked on the file system, before any join)."""
+    """Read both look-up files. Spark broadcasts a side whose measured size
+    is under its own limit; file sizes say little about that."""
     roles = lk.read_lookup_csv(spark, role_groups_path, ROLE_GROUPS_SCHEMA.names, keep=["Role", "Group"])
     codes = lk.read_lookup_csv(spark, expense_codes_path, expense_columns)
-    return Lookups(roles, codes,
-                   role_groups_bounded=lk.is_broadcastable(spark, role_groups_path),
-                   expense_codes_bounded=lk.is_broadcastable(spark, expense_codes_path))
+    return Lookups(roles, codes)
 
 
 def check_chains(pages: DataFrame, chain: list[str] | None = None) -> DataFrame:
-    """Audit the page chains; raise when one is incomplete. Only the bad
-    pages (at most a few rows) reach the driver."""
+    """Audit the page chains; raise when one is incomplete. All bad pages are
+    written to a table, whose path the error names."""
     chain = chain or ["report"]
     audit = pg.audit_chain(pg.page_counts(pages, chain), chain)
-    bad = audit.filter(F.col("status").isin("truncated", "broken")).limit(20).collect()
-    if bad:
-        raise IncompletePages(f"incomplete page chains: {[r.asDict() for r in bad]}")
+    bad = audit.filter(F.col("status").isin("truncated", "broken"))
+    count = bad.count()
+    if count:
+        path = scratch_path(pages.sparkSession, "page-audit")
+        bad.write.parquet(path)
+        raise IncompletePages(f"incomplete page chains: {count} bad pages, listed in {path}")
     return audit
 
 

@@ -35,8 +35,11 @@ def _c(x: str | Column) -> Column:
 
 
 def _numeric(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):  # from the wall clock's own fields: no session zone, so no jump at a clock change
+        minutes = (F.unix_date(c.cast("date")) * 24 + F.hour(c)) * 60 + F.minute(c)
+        return minutes * F.lit(60e6) + F.extract(F.lit("SECOND"), c).cast("double") * F.lit(1e6)
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dtype, T.NumericType):
@@ -62,7 +65,7 @@ def with_slice(df: DataFrame, column: str, slices: int, out: str = "__slice") ->
         return df.withColumn(out, F.lit(0))
     splits = [-float("inf"), *bounds, float("inf")]
     ordered = df.withColumn("__o", x)
-    bucketed = Bucketizer(splits=splits, inputCol="__o", outputCol="__b").transform(ordered)
+    bucketed = Bucketizer(splits=splits, inputCol="__o", outputCol="__b", handleInvalid="keep").transform(ordered)
     return bucketed.withColumn(out, F.coalesce(F.col("__b").cast("int"), F.lit(-1))).drop("__o", "__b")
 
 

@@ -88,9 +88,13 @@ def select_payload(df: DataFrame) -> DataFrame:
 
 
 def insert_from_batch(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows (payload columns of the target) whose key the target lacks."""
+    """Batch rows (payload columns of the target) whose key the target lacks.
+    The target is first cut down to the keys of the batch, so what is
+    gathered per key follows the batch, not the target."""
     cols = payload_columns(target)
-    tk = target.select(*[_q(k).alias(f"__tk{i}") for i, k in enumerate(keys)]).distinct()
+    bk = batch.select(*[_q(k).alias(f"__bk{i}") for i, k in enumerate(keys)]).distinct()
+    met = target.join(bk, key_match(target, bk, [(k, f"__bk{i}") for i, k in enumerate(keys)], null_safe=True), "left_semi")
+    tk = met.select(*[_q(k).alias(f"__tk{i}") for i, k in enumerate(keys)]).distinct()
     cond = key_match(batch, tk, [(k, f"__tk{i}") for i, k in enumerate(keys)], null_safe=True)
     return batch.join(tk, cond, "left_anti").select(*[_q(c) for c in cols])
 

@@ -176,7 +176,7 @@ def empty_table(spark: SparkSession, batch: DataFrame, spec: VersionSpec) -> Dat
 
 
 def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp,
-                    mode: str = "delta") -> DataFrame:
+                    mode: str = "delta", scope: Sequence[str] = ()) -> DataFrame:
     """Next state of a versioned table after loading ``batch``.
 
     ``batch`` has one row per key (reduce it with :func:`latest_per_key`).
@@ -184,7 +184,9 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     version and open the next, unchanged and absent keys stay as they are.
     full mode: additionally every current key absent from the batch is closed
     and reopened as a new version marked deleted; a marked key that returns
-    counts as changed. Loading the same batch again changes nothing.
+    counts as changed. Loading the same batch again changes nothing. With
+    ``scope`` (e.g. the record type) a full batch speaks only for the scope
+    values it holds: keys of other values stay open.
     Stored columns the spec does not name (``*_legacy`` columns after a
     schema change) are carried from the current version; new keys get null.
     """
@@ -211,7 +213,11 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     in_batch = "(`__in_batch` IS NOT NULL)"
     marked = f"coalesce({ident(DELETE)} = '{DELETE_MARK}', false)"
     changed = f"({in_batch} AND ({ident(HASH)} <> {ident('__n_' + HASH)} OR {marked}))"
-    vanished = f"(NOT {in_batch} AND NOT {marked})" if mode == "full" else "false"
+    spoken_for = "`__in_scope` IS NOT NULL" if scope else "true"
+    vanished = f"(NOT {in_batch} AND NOT {marked} AND {spoken_for})" if mode == "full" else "false"
+    if mode == "full" and scope:
+        values = batch.select(*[_c(c).alias(f"__s{i}") for i, c in enumerate(scope)]).distinct().withColumn("__in_scope", F.lit(True))
+        cur = cur.join(values, key_match(cur, values, [(c, f"__s{i}") for i, c in enumerate(scope)], True), "left")
     closing = f"({changed} OR {vanished})"
 
     def row(values: dict[str, str]) -> str:

@@ -22,7 +22,7 @@ LINES = """lines AS (
   FROM lineitem)"""
 
 EXPENSE_CODES = """expense_codes AS (
-  SELECT CASE WHEN p_size = 1 AND p_type = 'ECONOMY' THEN NULL
+  SELECT CASE WHEN p_partkey = 0 THEN NULL
               ELSE 'P' || CAST(p_partkey AS VARCHAR) || chr(9) END AS "Expense Code",
          p_type AS "Expense Type",
          p_name AS "Expense Name"
@@ -106,10 +106,6 @@ def row_id_of(record_type: str, keys: list[str]) -> str:
 def q(c: str, alias: str | None = None) -> str:
     return (f'{alias}."{c}"' if alias else f'"{c}"')
 
-NA_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
-            "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
-NA_LIST = ", ".join("'" + w + "'" for w in NA_WORDS)
-
 SOURCE_SYSTEM = "REPORT_API"
 
 FACT_LINES = """fl AS (

@@ -20,9 +20,7 @@ from ledgerlake.sources import windows as win
 
 LINE_REPORT = "Reporting API - test report"
 WINDOW_END = "2001-06-01 00:00:00"
-FIXED_START = "1999-11-01 00:00:01.005284"
-
-LINE_ORDER = ["Invoice ID", "Line ID"]
+FIXED_START = "1999-11-01 00:00:00"
 
 
 def _line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,19 +35,8 @@ ROLE_GROUP_ROWS = [
 ]
 
 
-# Row keys of the benchmark tables (spread key when a scan is too coarse).
-TABLE_KEYS = {
-    "lineitem": ["l_orderkey", "l_linenumber"],
-    "orders": ["o_orderkey"],
-    "customer": ["c_custkey"],
-    "supplier": ["s_suppkey"],
-    "part": ["p_partkey"],
-    "events": ["event_id"],
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", TABLE_KEYS.get(name))
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def money(c: str) -> Column:
@@ -83,9 +72,9 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def expense_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expense-code look-up from part; code padded with a tab on the right,
-    null for ECONOMY parts of size 1."""
+    null for one part, so that lines without a code meet one row."""
     p = table(spark, sf_dir, "part")
-    no_code = (F.col("p_size") == 1) & (F.col("p_type") == "ECONOMY")
+    no_code = F.col("p_partkey") == 0
     return p.select(
         F.when(no_code, F.lit(None)).otherwise(F.concat(F.lit("P"), text("p_partkey"), F.lit("\t"))).alias("Expense Code"),
         F.col("p_type").alias("Expense Type"),

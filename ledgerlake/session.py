@@ -36,7 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.host", "127.0.0.1")
-        .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "8g"))
         # One machine: smaller target partitions keep all local cores busy.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
         # Whole-stage codegen inlines wide expressions (the 56-field change
@@ -65,6 +65,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir()

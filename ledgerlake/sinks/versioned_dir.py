@@ -2,11 +2,13 @@
 
 Plain parquet has no transactions, and overwriting a folder the plan is
 reading fails half-way. Each commit therefore writes new, immutable parts
-and then creates one small log file ``_log/<version>.json`` that lists the
-parts making up that version (plus the schema and the last stream batch).
-Creating the log file (no overwrite) is the commit point: readers take the
-highest log file, a crashed writer leaves only unreferenced parts, and the
-previous versions stay readable as the back-up.
+and then one small log file ``_log/<version>.json`` that lists the parts
+making up that version (plus the schema and the last stream batch). The log
+file is written under another name, closed, and renamed; the rename is the
+commit point. Readers take the highest log file, a crashed writer leaves only
+unreferenced parts or a file that no reader looks at, and the previous
+versions stay readable as the back-up. Where the file system's rename is not
+atomic or may overwrite, a table has one writer at a time.
 
 Layouts:
 
@@ -79,20 +81,19 @@ class TableLog:
         return json.loads("\n".join(text))
 
     def commit(self, entry: dict) -> None:
-        """Create the log file of ``entry['version']``; raises
-        :class:`CommitConflict` if it exists (another writer committed that
-        version first)."""
+        """Write the log file of ``entry['version']`` beside its place and
+        rename it; raises :class:`CommitConflict` if that version exists
+        (another writer committed it first)."""
         path = self._Path(f"{self.root}/_log/{entry['version']:08d}.json")
-        try:
-            out = self._fs.create(path, False)
-        except Exception as e:  # py4j wraps the Java FileAlreadyExistsException
-            if self._fs.exists(path):
-                raise CommitConflict(f"version {entry['version']} of {self.root} was committed by another writer") from e
-            raise
+        draft = self._Path(f"{self.root}/_log/.{entry['version']:08d}-{uuid.uuid4().hex}.tmp")
+        out = self._fs.create(draft, False)
         try:
             out.write(bytearray(json.dumps(entry, sort_keys=True).encode("utf-8")))
         finally:
             out.close()
+        if self._fs.exists(path) or not self._fs.rename(draft, path):
+            self._fs.delete(draft, False)
+            raise CommitConflict(f"version {entry['version']} of {self.root} was committed by another writer")
 
     def versions(self) -> list[int]:
         if not self._fs.exists(self._log_dir):
@@ -100,31 +101,6 @@ class TableLog:
         names = [st.getPath().getName() for st in self._fs.listStatus(self._log_dir)]
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-    def vacuum(self, keep_versions: int = 2) -> list[str]:
-        """Delete part folders no longer referenced by the newest
-        ``keep_versions`` versions; returns the deleted folder names. Log
-        files are kept, but versions older than the kept ones can no longer
-        be read. Folders of an attempt that is still writing are not
-        referenced yet either, so run this when no load is in flight."""
-        if keep_versions < 1:
-            raise ValueError("keep at least one version")
-        kept = self.versions()[-keep_versions:]
-        referenced = set()
-        for ver in kept:
-            entry = self._read(ver)
-            parts = list(entry.get("history", [])) + list(entry.get("parts", []))
-            current = entry.get("current") or {}
-            parts += list(current.values()) if isinstance(current, dict) else [current]
-            referenced |= {p.split("/")[0] for p in parts if p}
-        root = self._Path(self.root)
-        deleted = []
-        for st in self._fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name != "_log" and not name.startswith((".", "_")) and name not in referenced:
-                self._fs.delete(st.getPath(), True)
-                deleted.append(name)
-        return sorted(deleted)
-
     def part_path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -173,29 +149,18 @@ def partition_column(expr: str | None) -> Column:
     return F.lit(None).cast("string") if expr is None else F.expr(expr).cast("string")
 
 
-MAX_PARTITIONS = 10_000
+def _distinct_values(df: DataFrame) -> set:
+    """Distinct values of a one-column frame of partition values: as many as
+    the batch touches folders, whose names the driver writes to the log."""
+    return {r[0] for r in df.distinct().collect()}
 
 
-def _distinct_values(df: DataFrame) -> set:
-    """Distinct values of a one-column frame; at most MAX_PARTITIONS reach
-    the driver (a partition expression must have low cardinality)."""
-    rows = df.distinct().limit(MAX_PARTITIONS + 1).collect()
-    if len(rows) > MAX_PARTITIONS:
-        raise ValueError(f"partition expression yields more than {MAX_PARTITIONS} values; "
-                         "partition by a coarser expression (e.g. a month)")
-    return {r[0] for r in rows}
-
-
-def touched_partitions(current: DataFrame | None, batch: DataFrame, keys: Sequence[str], expr: str,
-                       stable: bool = False) -> set[str]:
-    """Partition folders holding batch rows or current rows of batch keys.
-    Only distinct partition values (bounded by the partition count) are
-    collected. ``stable`` promises that a key never changes partition (the
-    value is fixed at creation, e.g. the month an invoice was issued); then
-    the batch's own values suffice and the current keys are not scanned."""
+def touched_partitions(current: DataFrame | None, batch: DataFrame, keys: Sequence[str], expr: str) -> set[str]:
+    """Partition folders holding batch rows or current rows of batch keys
+    (a key may have moved). Only distinct partition values are collected."""
     part = partition_column(expr)
     values = _distinct_values(batch.select(part))
-    if stable or current is None:
+    if current is None:
         return {_folder(x) for x in values}
     bk = batch.select(*[F.col(f"`{k}`").alias(f"__bk{i}") for i, k in enumerate(keys)]).distinct()
     cond = key_match(current, bk, [(k, f"__bk{i}") for i, k in enumerate(keys)], True)
@@ -211,10 +176,9 @@ class ReportTable:
     target rows of batch keys; the others carry over by reference.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_expr: str | None = None,
-                 partition_stable: bool = False):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition_expr: str | None = None):
         self.spark, self.keys, self.log = spark, list(keys), TableLog(spark, root)
-        self.partition_expr, self.partition_stable = partition_expr, partition_stable
+        self.partition_expr = partition_expr
 
     def read(self, partitions: set[str] | None = None, entry: dict | None = None) -> DataFrame | None:
         entry = entry or self.log.latest()
@@ -241,8 +205,7 @@ class ReportTable:
                 if self.partition_expr is None:
                     touched = set(previous)
                 else:
-                    touched = touched_partitions(self.read(entry=entry), batch, self.keys, self.partition_expr,
-                                                 self.partition_stable)
+                    touched = touched_partitions(self.read(entry=entry), batch, self.keys, self.partition_expr)
                 nxt = u.upsert(self.read(touched, entry), batch, self.keys)
             version = (entry["version"] + 1) if entry else 0
             current = {name: p for name, p in previous.items() if name not in touched}
@@ -296,9 +259,9 @@ class FactTable:
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: v.VersionSpec, partition_expr: str | None = None,
-                 partition_stable: bool = False):
+                 full_scope: Sequence[str] = ()):
         self.spark, self.spec, self.log = spark, spec, TableLog(spark, root)
-        self.partition_expr, self.partition_stable = partition_expr, partition_stable
+        self.partition_expr, self.full_scope = partition_expr, tuple(full_scope)
 
     def _read(self, parts: list[str], schema: T.StructType, current: bool) -> DataFrame:
         """Rows of ``parts``; the current flag is the folder they sit in."""
@@ -350,7 +313,13 @@ class FactTable:
         reduced to one row per key: the last by ``order``, or without an order
         the row of the last source file, ties broken by the row's own values
         (deterministic). Losing a commit race re-reads the latest version and
-        merges again."""
+        merges again.
+
+        An empty full batch (it would close the whole table) and a load date
+        before the last committed one (validity ranges would overlap) are
+        refused. ``full_scope`` columns limit what a full batch may close."""
+        if mode == "full" and batch.isEmpty():
+            raise ValueError("empty full batch: nothing landed for a full refresh")
         if not order:
             order = ([v.SOURCE_FILE] if v.SOURCE_FILE in batch.columns else []) + [
                 c for c in self.spec.data_columns if c not in self.spec.keys]
@@ -361,15 +330,17 @@ class FactTable:
             if _already_done(entry, batch_id):
                 return None
             previous = entry["current"] if entry else {}
+            last = (entry or {}).get("load_date")
+            if last and str(stamp.load_date) < last:
+                raise ValueError(f"load date {stamp.load_date} is before the last committed one, {last}")
             if entry is None:
                 touched, cur = set(), v.empty_table(self.spark, batch, self.spec)
             elif mode == "full" or self.partition_expr is None:
                 touched, cur = set(previous), self.current(entry=entry)
             else:
-                touched = touched_partitions(self.current(entry=entry), batch, self.spec.keys,
-                                             self.partition_expr, self.partition_stable)
+                touched = touched_partitions(self.current(entry=entry), batch, self.spec.keys, self.partition_expr)
                 cur = self.current(touched, entry)
-            nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode)
+            nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode, self.full_scope)
             version = (entry["version"] + 1) if entry else 0
             closed, written = self._write(nxt, _stage("load", version))
             current = {name: p for name, p in previous.items() if name not in touched}
@@ -382,6 +353,7 @@ class FactTable:
                                       **({closed: str(stamp.load_date)} if closed else {})),
                     "current": current,
                     "schema": nxt.schema.jsonValue(),
+                    "load_date": str(stamp.load_date),
                     "batches": _batches(entry, batch_id),
                 })
                 return version
@@ -409,25 +381,6 @@ class FactTable:
                        for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true")}
         return (closed if self.log.exists(closed) else None), written
 
-    def compact(self) -> int | None:
-        """Merge all history parts into one, sorted by ``valid_to`` so parquet
-        statistics prune as-of reads. The part's close date is the latest of
-        its rows', so as-of pruning stays correct. Content is unchanged; the
-        previous version (with the small parts) stays as the back-up."""
-        entry = self.log.latest()
-        if entry is None or len(entry["history"]) < 2:
-            return None
-        schema = T.StructType.fromJson(entry["schema"])
-        history = self._read(entry["history"], schema, False).drop(v.CURRENT)
-        stage = _stage("history", entry["version"] + 1)
-        history.repartitionByRange(v.VALID_TO).sortWithinPartitions(v.VALID_TO).write.parquet(
-            self.log.part_path(stage))
-        dates = [entry.get("closed_on", {}).get(p) for p in entry["history"]]
-        closed_on = {stage: max(dates)} if all(dates) else {}
-        version = entry["version"] + 1
-        self.log.commit(dict(entry, version=version, history=[stage], closed_on=closed_on))
-        return version
-
     def evolve(self, target: T.StructType, spec: v.VersionSpec) -> int:
         """Change the schema keeping old values (dropped or retyped columns
         live on as ``<c>_legacy``, carried into later versions) and switch to
@@ -442,7 +395,7 @@ class FactTable:
         self.spec = spec
         version = entry["version"] + 1
         closed, written = self._write(evolved, _stage("load", version))
-        self.log.commit({"version": version, "history": [closed] if closed else [], "current": written,
+        self.log.commit({"version": version, "history": [closed] if closed else [], "current": written, "load_date": entry.get("load_date"),
                          "schema": evolved.schema.jsonValue(), "batches": _batches(entry, None)})
         return version
 

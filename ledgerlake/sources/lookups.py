@@ -15,8 +15,6 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.text import na_to_null, strip_ws
 
-# Look-ups broadcast to every task must stay below this many bytes on disk.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -64,10 +62,6 @@ def path_size_bytes(spark: SparkSession, path: str) -> int:
     return int(p.getFileSystem(conf).getContentSummary(p).getLength())
 
 
-def is_broadcastable(spark: SparkSession, path: str, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return path_size_bytes(spark, path) <= limit
-
-
 def publish_lookup(df: DataFrame, key: str) -> DataFrame:
     """Reference-data landing: trim every text field, drop rows without a key,
     remove repeated rows. The distinct is a hash aggregate with a map-side

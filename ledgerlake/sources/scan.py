@@ -1,60 +1,9 @@
-"""Table scans that keep every core busy.
-
-Parquet splits at row-group boundaries. A table written as one file with
-one row group (common for files written by pandas or small exports) scans
-in a single task, so every operator pipelined after the scan runs on one
-core however big the cluster. :func:`spread` checks the number of input
-splits against the cluster's parallelism and, only when a sizeable input
-arrives in too few splits, adds one hash exchange on the table's key
-columns. Key columns keep the exchange deterministic (a recomputed
-partition after a lost executor gets the same rows) and let column pruning
-and filter push-down pass through it. On a real 100 TB layout the input has
-thousands of splits and this is a no-op.
-"""
+"""Table scans."""
 
 from __future__ import annotations
 
-import os
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-MIN_SPREAD_BYTES = int(os.environ.get("LEDGERLAKE_SPREAD_MIN_BYTES", 8 << 20))
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` (one content-summary call, not one per file)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
-
-
-# path -> (input splits, input bytes or None). Only a performance hint: a
-# stale entry can change the plan, never the result.
-_SCAN_SHAPE: dict[str, tuple[int, int | None]] = {}
-
-
-def spread(df: DataFrame, keys: Sequence[str], path: str, min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
-    """``df`` unchanged when its scan already has enough splits, else hash-
-    distributed over ``keys`` to the cluster's default parallelism.
-
-    The split count is checked first; only an input with too few splits
-    (hence few files) is sized, so a table of many files costs no listing
-    beyond the one Spark does anyway.
-    """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if path not in _SCAN_SHAPE:
-        splits = df.rdd.getNumPartitions()
-        size = input_bytes(spark, path) if splits * 2 < want else None
-        _SCAN_SHAPE[path] = (splits, size)
-    splits, size = _SCAN_SHAPE[path]
-    if splits * 2 >= want or size is None or size < min_bytes:
-        return df
-    return df.repartition(want, *[F.col(k) for k in keys])
 
 
-def read_parquet(spark: SparkSession, path: str, keys: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df, keys, path) if keys else df
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

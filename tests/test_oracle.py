@@ -27,4 +27,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_runs(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0 and "fact_guid" in df.columns
+    assert df.count() > 0 and "fact_guid" in df.columns

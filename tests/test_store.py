@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import versioning as v
@@ -72,15 +73,41 @@ def test_partitioned_report_table(spark, tmp_dir):
     assert sorted(tuple(r) for r in t.read().collect()) == [("1", "a", "x"), ("2", "c", "Y")]
 
 
-def test_stable_partitions_skip_the_key_scan(spark, tmp_dir):
+def test_key_that_moves_partition_has_one_current_row(spark, tmp_dir):
     spec = v.VersionSpec(keys=("k",), payload=("k", "m", "a"), record_type="T")
-    t = FactTable(spark, tmp_dir + "/sfact", spec, partition_expr="`m`", partition_stable=True)
+    t = FactTable(spark, tmp_dir + "/sfact", spec, partition_expr="`m`")
     t.load(spark.createDataFrame([("1", "202401", "x"), ("2", "202402", "y")], "k string, m string, a string"), S1)
     first = dict(t.log.latest()["current"])
-    t.load(spark.createDataFrame([("2", "202402", "Y")], "k string, m string, a string"), S2)
-    cur = t.log.latest()["current"]
-    assert cur["__part=202401"] == first["__part=202401"] and cur["__part=202402"] != first["__part=202402"]
-    assert {r["k"]: r["a"] for r in t.current().collect()} == {"1": "x", "2": "Y"}
+    t.load(spark.createDataFrame([("2", "202403", "Y")], "k string, m string, a string"), S2)
+    assert t.log.latest()["current"]["__part=202401"] == first["__part=202401"]
+    assert sorted((r["k"], r["m"], r["a"]) for r in t.current().collect()) == [("1", "202401", "x"), ("2", "202403", "Y")]
+
+
+def test_full_load_closes_only_its_scope(spark, tmp_dir):
+    spec = v.VersionSpec(keys=("s", "k"), payload=("s", "k", "a"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/scoped", spec, full_scope=["s"])
+    t.load(spark.createDataFrame([("x", "1", "a"), ("x", "2", "a"), ("y", "1", "a")], "s string, k string, a string"), S1)
+    t.load(spark.createDataFrame([("x", "1", "a")], "s string, k string, a string"), S2, mode="full")
+    marks = {(r["s"], r["k"]): r[v.DELETE] for r in t.current().collect()}
+    assert marks == {("x", "1"): None, ("x", "2"): v.DELETE_MARK, ("y", "1"): None}
+    with pytest.raises(ValueError):
+        t.load(spark.createDataFrame([], "s string, k string, a string"), S2, mode="full")
+
+
+def test_earlier_load_date_is_refused(spark, tmp_dir):
+    t = FactTable(spark, tmp_dir + "/early", SPEC)
+    t.load(spark.createDataFrame([("1", "a")], "k string, a string"), S2)
+    with pytest.raises(ValueError):
+        t.load(spark.createDataFrame([("1", "b")], "k string, a string"), S1)
+
+
+def test_half_written_log_file_leaves_the_table_readable(spark, tmp_dir):
+    t = ReportTable(spark, tmp_dir + "/crash", ["k"])
+    t.upsert(spark.createDataFrame([("1", "a")], "k string, a string"))
+    open(tmp_dir + "/crash/_log/.00000001-dead.tmp", "w").close()  # a writer that died before its rename
+    assert [tuple(r) for r in t.read().collect()] == [("1", "a")]
+    t.upsert(spark.createDataFrame([("1", "b")], "k string, a string"))
+    assert [tuple(r) for r in t.read().collect()] == [("1", "b")]
 
 
 def test_fact_schema_change_keeps_old_values(spark, tmp_dir):
@@ -158,34 +185,3 @@ def test_repeated_key_in_a_batch_gives_one_version(spark, tmp_dir):
     t.load(spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "k string, a string"), S1)
     cur = {r["k"]: r["a"] for r in t.current().collect()}
     assert cur == {"1": "b", "2": "c"} and t.read().count() == 2
-
-
-def test_compact_history_keeps_content_and_as_of(spark, tmp_dir):
-    t = FactTable(spark, tmp_dir + "/cfact", SPEC)
-    days = ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
-    for i, d in enumerate(days):
-        t.load(spark.createDataFrame([("1", f"v{i}"), ("2", "same")], "k string, a string"),
-               v.LoadStamp(d, "run", f"{d} 01:00:00"))
-    before = sorted(map(tuple, t.read().collect()))
-    assert len(t.log.latest()["history"]) == 3
-    t.compact()
-    entry = t.log.latest()
-    assert len(entry["history"]) == 1 and list(entry["closed_on"].values()) == ["2024-04-01"]
-    assert sorted(map(tuple, t.read().collect())) == before
-    assert [r["a"] for r in t.as_of("2024-02-15").filter("k = '1'").collect()] == ["v1"]
-
-
-def test_vacuum_keeps_referenced_parts(spark, tmp_dir):
-    t = ReportTable(spark, tmp_dir + "/vrep", ["k"])
-    for i in range(4):
-        t.upsert(spark.createDataFrame([(str(i), "x")], "k string, a string"))
-    before = sorted(tuple(r) for r in t.read().collect())
-    deleted = t.log.vacuum(keep_versions=2)
-    assert len(deleted) == 2
-    assert sorted(tuple(r) for r in t.read().collect()) == before
-    f = FactTable(spark, tmp_dir + "/vfact", SPEC)
-    for i, d in enumerate(["2024-01-01", "2024-02-01", "2024-03-01"]):
-        f.load(spark.createDataFrame([("1", f"v{i}")], "k string, a string"), v.LoadStamp(d, "run", f"{d} 01:00:00"))
-    full = sorted(map(tuple, f.read().collect()))
-    f.log.vacuum(keep_versions=1)  # history parts of earlier loads are still referenced
-    assert sorted(map(tuple, f.read().collect())) == full
