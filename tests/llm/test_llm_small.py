@@ -171,29 +171,6 @@ def test_line_similarity_and_prints(spark, monkeypatch):
     assert {tuple(r) for r in line_dedup.near_prints(spark.createDataFrame([(x,) for x in prints], "fp long")).collect()} == near
 
 
-def test_fuzzy_lines(spark):
-    words = [f"word{i}" for i in range(300)]
-    near = " ".join(words[:150] + ["changed"] + words[151:])
-    rows = EDGE + [(10, "first\n" + " ".join(words), "s"), (11, near + "\nlast", "s")]
-    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(edge(spark, rows)).collect()}
-    assert got[1]["text"] == "another line of five words" and got[6]["text"] == "Of." and got[None]["text"] == LINE and got[2]["text"] is None
-    prints = {r["_pos"]: r["fp"] for r in line_dedup.with_simhash(line_dedup.units.worded(spark.createDataFrame([(1, " ".join(words) + "\n" + near)], "doc_id long, text string"), "text", "doc_id", "\n"), 5).collect()}
-    linked = bin((prints[0] ^ prints[1]) & ((1 << 64) - 1)).count("1") <= line_dedup.MAX_BITS
-    assert got[11]["text"] == ("last" if linked else near + "\nlast")
-
-    def h(a, b):
-        x = xxhash.xxh64_intdigest(a.encode(), 42)
-        return xxhash.xxh64_intdigest(b.encode(), x) if b is not None else x
-    counts = np.zeros(64, int)
-    for a, b in zip(words, words[1:] + [None]):
-        counts += [(h(a, b) >> k) & 1 for k in range(64)]
-    assert prints[0] & ((1 << 64) - 1) == sum(1 << k for k in range(64) if 2 * counts[k] > 300)
-
-
-def test_fuzzy_lines_of_an_empty_table(spark):
-    assert line_dedup.dedup_lines(edge(spark).where("false")).count() == 0
-
-
 @pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda norm: F.crc32(norm) % 2])
 def test_exact(spark, tmp_dir, digest):
     path = tmp_dir + "/docs"
