@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark import cloudpickle
@@ -31,6 +32,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """Plans run inside are compiled into methods that the JVM's own compiler takes.
+
+    Spark fuses a wide projection into one method; beyond 8000 bytes of code
+    the JVM only interprets it. With this limit Spark keeps such projections
+    apart and splits them. The session's setting is put back at the end.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only: ``lower`` where all is ASCII (fast), else a translation."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
