@@ -171,6 +171,38 @@ def test_line_similarity_and_prints(spark, monkeypatch):
     assert {tuple(r) for r in line_dedup.near_prints(spark.createDataFrame([(x,) for x in prints], "fp long")).collect()} == near
 
 
+def _line_groups(spark, texts, file=None):
+    """Texts (one line each) by the group that the operator makes of them, and by brute force."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(docs).collect()}
+    root = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        x, y = texts[i], texts[j]
+        if _distance(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9):
+            root = [root[i] if r == root[j] else r for r in root]
+    first = {}
+    for i, r in enumerate(root):
+        first.setdefault(r, i)
+    return got, {i: int(first[r] != i) for i, r in enumerate(root)}
+
+
+def test_fuzzy_lines_with_changed_words(spark):
+    rng = random.Random(8)
+
+    def word():
+        return "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
+    texts = []
+    for size in (6, 10, 14, 20, 30, 45):
+        for _ in range(3):
+            words = [word() for _ in range(size)]
+            near = [word() if k in rng.sample(range(size), max(1, size // 9)) else w for k, w in enumerate(words)]
+            texts += [" ".join(words), " ".join(near)]
+    texts += ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60)) + " a b c d"]
+    texts += [texts[-1][:20] + "\u4e00" + texts[-1][21:]]
+    got, expected = _line_groups(spark, texts)
+    assert sum(expected.values()) >= 17 and got == expected
+
+
 @pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda norm: F.crc32(norm) % 2])
 def test_exact(spark, tmp_dir, digest):
     path = tmp_dir + "/docs"
