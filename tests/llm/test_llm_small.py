@@ -171,7 +171,7 @@ def test_line_similarity_and_prints(spark, monkeypatch):
     assert {tuple(r) for r in line_dedup.near_prints(spark.createDataFrame([(x,) for x in prints], "fp long")).collect()} == near
 
 
-def _line_groups(spark, texts, file=None):
+def _line_groups(spark, texts):
     """Texts (one line each) by the group that the operator makes of them, and by brute force."""
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(docs).collect()}
@@ -186,6 +186,24 @@ def _line_groups(spark, texts, file=None):
     return got, {i: int(first[r] != i) for i, r in enumerate(root)}
 
 
+@pytest.mark.parametrize("file", [256, 1])
+def test_fuzzy_lines_of_one_file(spark, monkeypatch, file):
+    """Chains of lines, each similar to the next only, and unlike lines that share their text's start and end."""
+    monkeypatch.setattr(line_dedup, "FILE", file)
+    rng = random.Random(9)
+    frame = [f"frame{i}" for i in range(12)]
+    texts = []
+    for family in range(3):
+        middle = [f"{family}word{rng.randrange(10 ** 6)}" for _ in range(16)]
+        for step in range(6):
+            texts.append(" ".join(frame + middle))
+            for k in range(3 * step, 3 * step + 3):
+                middle[k % 16] = f"{family}other{rng.randrange(10 ** 6)}"
+    rng.shuffle(texts)
+    got, expected = _line_groups(spark, texts)
+    assert sum(expected.values()) == 15 and got == expected
+
+
 def test_fuzzy_lines_with_changed_words(spark):
     rng = random.Random(8)
 
