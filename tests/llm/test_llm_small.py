@@ -186,6 +186,12 @@ def _line_groups(spark, texts):
     return got, {i: int(first[r] != i) for i, r in enumerate(root)}
 
 
+def test_fuzzy_lines_of_few_words(spark):
+    texts = ["All rights reserved.", "ietzte.", "ietzte.", "\u4e00\u4e8c\u4e09\u56db\u4e94", "", "ALL rights  reserved.", "\u4e00\u4e8c\u4e09\u56db\u4e94", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["n_removed"] for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 0, 1, 0, 0, 1, 1, 0]
+
+
 @pytest.mark.parametrize("file", [256, 1])
 def test_fuzzy_lines_of_one_file(spark, monkeypatch, file):
     """Chains of lines, each similar to the next only, and unlike lines that share their text's start and end."""
