@@ -3,17 +3,19 @@
 1. Every page is parsed into blocks of text and structural elements; each
    element outside the running text has a hash of its subtree.
 2. Spark counts, per host, on how many different pages a subtree occurs.
-3. Subtrees that recur on many pages of their host are deleted, together with
-   what its element or class says is no article (menus, footers, adverts).
+3. Subtrees that recur on MIN_PAGES pages of their host are deleted, inside an
+   article or not, together with what its element or class says is no article
+   (menus, footers, adverts).
 
-What stands inside an article as running text is never taken for a template,
-however often a copied article recurs.
+Running paragraphs of an article, and elements that hold half of the page's text
+or more, are never taken for a template, however often a copied article recurs.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,9 +28,8 @@ from pyspark.sql import types as T
 from ledgerlake.llm.common import replace_columns, shielded, stage
 from ledgerlake.llm.url_filter import split_url
 
-#: A subtree is template if this many different pages of the host have it, and this share of them.
+#: A subtree is template if this many different pages of the host have it.
 MIN_PAGES = 5
-MIN_SHARE = 0.02
 
 # Element and class names.
 DROP = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "svg", "canvas", "button", "select", "input", "textarea", "menu",
@@ -38,6 +39,8 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small",
           "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "br", "wbr", "img"}
 PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
+#: Never dropped for a class or role, and never a template.
+ROOTS = {"html", "body", "main", "article"}
 CLOSED_BY_NEXT = {"p": PROSE | {"div", "ul", "ol", "dl", "table", "section", "article", "nav", "header", "footer", "aside", "form", "main", "figure", "hr", "address", "fieldset"},
                   "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent", "notice", "popup", "modal",
@@ -56,12 +59,11 @@ class Element:
     dropped: bool
     sum: xxhash.xxh64 = field(default_factory=xxhash.xxh64)
     chars: int = 0
-    linked: int = 0
 
 
 @dataclass
 class Page:
-    """Blocks (text, elements around it) of the main part, and subtree hashes by element number."""
+    """Blocks (text, elements around it) outside dropped elements, and subtree hashes by element number."""
 
     blocks: list[tuple[str, tuple[int, ...]]]
     hashes: dict[int, int]
@@ -69,6 +71,8 @@ class Page:
 
 
 def _says_drop(tag: str, attributes: str, in_article: bool) -> bool:
+    if tag in ROOTS:
+        return False
     if tag in DROP and not (tag == "header" and in_article):
         return True
     for name, *values in NAMED.findall(attributes):
@@ -85,50 +89,39 @@ def parse(source: str | None) -> Page:
     """One pass over the page; unclosed, crossing and cut-off tags are taken as browsers roughly do."""
     source = source or ""
     stack: list[Element] = []
-    blocks: list[tuple[str, tuple[int, ...], bool, bool]] = []
+    blocks: list[tuple[str, tuple[int, ...]]] = []
     hashes: dict[int, int] = {}
     tags: dict[int, str] = {}
-    link_lists: set[int] = set()
     buffer: list[str] = []
-    depth = {"article": 0, "main": 0, "dropped": 0, "link": 0}
-    seen = {"article": False, "main": False}
-    made = linked = at = 0
+    depth = {"article": 0, "dropped": 0}
+    made = at = 0
 
     def flush() -> None:
-        nonlocal linked
         text = " ".join(html_lib.unescape("".join(buffer)).split()) if buffer else ""
         buffer.clear()
         if text:
             if stack:
                 stack[-1].sum.update(text.encode("utf-8", "surrogatepass"))
                 stack[-1].chars += len(text)
-                stack[-1].linked += min(linked, len(text))
             if not depth["dropped"]:
-                blocks.append((text, tuple(e.number for e in stack), depth["article"] > 0, depth["main"] > 0))
-        linked = 0
+                blocks.append((text, tuple(e.number for e in stack)))
 
     def close() -> None:
         e = stack.pop()
-        if e.tag in ("article", "main"):
-            depth[e.tag] -= 1
+        depth["article"] -= e.tag == "article"
         depth["dropped"] -= e.dropped
         if e.chars:
             digest = e.sum.intdigest()
             hashes[e.number] = digest - (1 << 64) if digest >> 63 else digest
-            if 2 * e.linked >= e.chars:
-                link_lists.add(e.number)
             if stack:
                 stack[-1].sum.update(f"<{e.tag} {digest}>".encode())
                 stack[-1].chars += e.chars
-                stack[-1].linked += e.linked
 
     while at < len(source):
         m = TOKEN.search(source, at)
         piece = source[at:m.start() if m else len(source)]
         if piece:
             buffer.append(piece)
-            if depth["link"]:
-                linked += len(piece)
         if not m:
             break
         at = m.end()
@@ -136,9 +129,7 @@ def parse(source: str | None) -> Page:
             continue
         tag = m[2].lower()
         if tag in INLINE:
-            if tag == "a":
-                depth["link"] = 0 if m[1] else 1
-            elif tag == "br":
+            if tag == "br":
                 buffer.append(" ")
             continue
         flush()
@@ -148,7 +139,6 @@ def parse(source: str | None) -> Page:
                     close()
                 close()
             continue
-        depth["link"] = 0
         while stack and tag in CLOSED_BY_NEXT.get(stack[-1].tag, ()):
             close()
         if tag in VOID:
@@ -158,9 +148,7 @@ def parse(source: str | None) -> Page:
         tags[e.number] = tag
         stack.append(e)
         depth["dropped"] += e.dropped
-        if tag in ("article", "main"):
-            depth[tag] += 1
-            seen[tag] |= not depth["dropped"]
+        depth["article"] += tag == "article"
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
             at = end.start() if end else len(source)
@@ -168,16 +156,16 @@ def parse(source: str | None) -> Page:
     while stack:
         close()
 
-    region = 2 if seen["article"] else 3 if seen["main"] else 0
-    main = [b for b in blocks if not region or b[region]]
-    around_main = {n for b in main for n in b[1] if tags[n] in ("html", "body", "main", "article")}
-    if region == 2:  # running text of an article is no template; lists of links may be
-        for _, around, _, _ in main:
-            first = next(i for i, n in enumerate(around) if tags[n] == "article")
-            around_main.update(around[:first], (n for n in around[first:] if tags[n] in PROSE or n not in link_lists))
-    hashed = {n: h for n, h in hashes.items() if n not in around_main}
-    conditional = {n for b in main for n in b[1] if n in hashed}
-    return Page([(b[0], tuple(n for n in b[1] if n in conditional)) for b in main], hashed, conditional)
+    total, held = sum(len(t) for t, _ in blocks), Counter()
+    for text, around in blocks:
+        held.update(dict.fromkeys(around, len(text)))
+    kept = {n for n in held if tags[n] in ROOTS or (len(blocks) > 1 and 2 * held[n] >= total)}
+    for _, around in blocks:  # running text of an article
+        first = next((i for i, n in enumerate(around) if tags[n] == "article"), len(around))
+        kept.update(n for n in around[first:] if tags[n] in PROSE)
+    hashed = {n: h for n, h in hashes.items() if n not in kept}
+    conditional = {n for _, around in blocks for n in around if n in hashed}
+    return Page([(t, tuple(n for n in around if n in conditional)) for t, around in blocks], hashed, conditional)
 
 
 def text_without(page: Page, templates: set[int]) -> str:
@@ -194,7 +182,7 @@ def subtrees(keyed: DataFrame, html: str) -> DataFrame:
     return keyed.select("host", "page", F.col(html).alias("source")).mapInPandas(each, "host string, page long, subtree long").distinct()
 
 
-def extract(pages: DataFrame, *, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, *, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` with the main text (``text``); every other column stays, an input column ``text`` is replaced.
 
     A null or empty page has an empty text. Pages without a host share the
@@ -206,9 +194,8 @@ def extract(pages: DataFrame, *, html: str = "html", url: str = "url", min_pages
     keyed = replace_columns(pages, ["text"]).withColumns({"_host": split_url(F.col(url))[0], "_page": F.xxhash64(F.coalesce(F.col(html), F.lit("")))})
     own = keyed.select(F.col("_host").alias("host"), F.col("_page").alias("page"), html)
     nodes = stage(subtrees(own, html), "html-subtrees")
-    sizes = nodes.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     counted = nodes.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    templates = stage(counted.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree"), "html-templates")
+    templates = stage(counted.select("host", "subtree"), "html-templates")
 
     free, bound = T.StructField("text", T.StringType()), T.StructField("open", T.BooleanType())
 
@@ -224,7 +211,7 @@ def extract(pages: DataFrame, *, html: str = "html", url: str = "url", min_pages
     def second_look(sources: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([text_without(parse(s), set() if f is None else set(f)) for s, f in zip(sources, found)])
 
-    # Pages whose main part holds no countable subtree are done; only the others need their host's templates.
+    # Pages that hold no countable subtree are done; only the others need their host's templates.
     looked = keyed.withColumn("_look", first_look(F.col(html)))
     done = looked.where(~F.col("_look.open")).withColumn("text", F.col("_look.text"))
     waiting = looked.where(F.col("_look.open")).drop("_look")

@@ -297,3 +297,15 @@ def test_html(spark):
         expected = main if r["page_id"] < 8 else f"text {r['page_id'] - 20}" if r["page_id"] < 40 else {40: "", 41: "", 42: "a < b c"}[r["page_id"]]
         assert r["text"] == expected, r["page_id"]
     assert html_extract.extract(df.where("false")).count() == 0
+
+
+def test_html_notices_and_cards(spark):
+    """Unclassed site notices inside and outside articles go by count; text beside an article stays."""
+    story = "<html><body class='related'><div>Read our daily letter</div><article class='share'><h1>Story {0}</h1><div>Our site is funded by readers</div><p>Running text number {0} of some length goes on.</p></article>"
+    cards = "<body><div><p>Body text number {0} of a page that uses plain boxes, and it is long.</p></div><article>Card {0}</article>"
+    rows = [(i, "http://a.com/s", story.format(i)) for i in range(8)] + [(i, "http://b.com/s", cards.format(i)) for i in range(10, 18)]
+    rows += [(i, "http://a.com/t", f"<article><p>other {i}</p></article>") for i in range(100, 500)]  # eight pages stay a template on a large host
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html_extract.extract(df).where("page_id < 100").collect():
+        i = r["page_id"]
+        assert r["text"] == (f"Story {i}\nRunning text number {i} of some length goes on." if i < 10 else f"Body text number {i} of a page that uses plain boxes, and it is long.\nCard {i}")
