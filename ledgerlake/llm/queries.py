@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontam, exact_dedup, html_extract, line_dedup, mixing, sharding, simhash, substring_dedup, toxicity, url_filter
+from ledgerlake.llm import decontam, exact_dedup, html_extract, line_dedup, mixing, sharding, simhash, spelling, substring_dedup, toxicity, url_filter, whitening
 from ledgerlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,16 @@ def op9_gbt_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return html_extract.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(documents(spark, sf_dir))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query()
+def op13_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = whitening.whiten(vectors, "embedding", components=16)
+    return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
