@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontam, exact_dedup, html_extract, line_dedup, mixing, sharding, simhash, spelling, substring_dedup, toxicity, url_filter, whitening
+from ledgerlake.llm import decontam, exact_dedup, html_extract, line_dedup, mixing, quality, sharding, simhash, spelling, substring_dedup, toxicity, url_filter, whitening
 from ledgerlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +136,12 @@ def op10_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query()
+def op11_histogram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 @query()
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling.variants(documents(spark, sf_dir))

@@ -1,0 +1,72 @@
+"""The quality classifier: held-out accuracy, flattened trees against Spark's own, and edge cases."""
+
+import zlib
+
+import numpy as np
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from ledgerlake.llm import quality, queries
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    found = queries.QUERIES["op11_histogram_quality"](spark, SF_DIR)
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    rows = found.collect()
+    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    judged = [(labels[r["doc_id"]], r["score"], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    good, bad = [s for y, s, _ in judged if y], [s for y, s, _ in judged if not y]
+    above = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    assert above > 0.9 and np.mean([y == p for y, _, p in judged]) > 0.93, (above, np.mean([y == p for y, _, p in judged]))
+
+
+def test_flattened_trees_score_as_spark_does(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((400, 5))
+    x[:, 2] = rng.integers(0, 3, 400)
+    rows = spark.createDataFrame([(list(map(float, v)), float(v[0] * v[1] + v[2] > 0.5)) for v in x], "f array<double>, label double").withColumn("features", array_to_vector("f"))
+    model = GBTClassifier(maxIter=8, maxDepth=4, maxBins=16, seed=1).fit(rows)
+    out = model.transform(rows).select("f", vector_to_array("probability")[1].alias("p")).collect()
+    flat = quality.Trees.of(model)
+    assert np.abs(flat.probability(np.array([r["f"] for r in out])) - np.array([r["p"] for r in out])).max() < 1e-12
+    # A value on a threshold goes left in both.
+    edge = spark.createDataFrame([([float(t)] * 5,) for t in flat.threshold[np.isfinite(flat.threshold)]], "f array<double>").withColumn("features", array_to_vector("f"))
+    out = model.transform(edge).select("f", vector_to_array("probability")[1].alias("p")).collect()
+    assert np.abs(flat.probability(np.array([r["f"] for r in out])) - np.array([r["p"] for r in out])).max() < 1e-12
+
+
+def test_edges(spark):
+    good, bad = "A plain sentence about the weather in the north. ", "### $$$ BUY!! BUY!! "
+    docs = [(i, (good if i % 2 else bad) * (1 + i % 5), "c", 1) for i in range(60)]
+    docs += [(100, None, "c", 1), (101, "", "c", 1), (None, good, "c", 1), (102, "x" * 3_000_000, "c", 1), (102, "x" * 3_000_000, "c", 1), (103, "漢字" * 900, "c", 1)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, score string, _y int")
+    labels = [(i, i % 2) for i in range(60)] + [(1, 0), (None, 1), (3, None), (4000, 1)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    out = quality.judge(frame, labels)
+    assert out.columns == ["doc_id", "text", "_y", "score", "held_out", "predicted"]
+    rows = out.collect()
+    assert len(rows) == len(docs) and all(0 <= r["score"] <= 1 for r in rows)
+    by_id = {r["doc_id"]: r for r in rows}
+    assert all(by_id[i]["predicted"] == i % 2 for i in range(60))
+    assert by_id[100]["score"] == by_id[101]["score"] and not by_id[None]["held_out"]
+    again = {r["doc_id"]: r["score"] for r in quality.judge(frame.repartition(5), labels.repartition(3)).collect()}
+    assert again == {i: r["score"] for i, r in by_id.items()}
+
+
+def test_one_kind_or_none(spark):
+    docs = spark.createDataFrame([(i, "text") for i in range(9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
+    assert {r["score"] for r in quality.judge(docs, labels).collect()} == {1.0}
+    assert {r["score"] for r in quality.judge(docs, labels.where(F.lit(False))).collect()} == {0.0}
+    assert quality.judge(docs.where(F.lit(False)), labels).count() == 0
+
+
+def test_pieces_keep_every_byte():
+    raw = (b"word " * 500_000) + b"y" * 2_500_000
+    assert b"".join(quality.pieces(raw)) == raw
+    assert quality.features(None) == quality.features("") == [0.0] * len(quality.features("a b"))
