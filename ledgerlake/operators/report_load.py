@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ledgerlake.operators.clean import Lookups
 from ledgerlake.operators.registry import clean_report, report
 from ledgerlake.schemas import DEFAULT_CURRENCY, ROLE_GROUPS_SCHEMA
-from ledgerlake.session import scratch_path, shared_dir
+from ledgerlake.session import scratch_path
 from ledgerlake.sinks.versioned_dir import ReportTable
 from ledgerlake.sources import lookups as lk
 from ledgerlake.sources import pages as pg
@@ -29,31 +29,29 @@ def load_lookups(spark: SparkSession, role_groups_path: str, expense_codes_path:
     return Lookups(roles, codes)
 
 
-def check_chains(pages: DataFrame, chain: list[str] | None = None) -> DataFrame:
-    """Audit the page chains; raise when one is incomplete. All bad pages are
-    written to a table, whose path the error names."""
-    chain = chain or ["report"]
-    audit = pg.audit_chain(pg.page_counts(pages, chain), chain)
-    bad = audit.filter(F.col("status").isin("truncated", "broken"))
+def check_chains(pages: DataFrame) -> DataFrame:
+    """Audit the page chains of every session; raise when one is incomplete.
+    All bad chains are written to a table, whose path the error names."""
+    audit = pg.audit_chains(pg.page_counts(pages))
+    bad = audit.filter(F.col("status") != "complete")
     count = bad.count()
     if count:
         path = scratch_path(pages.sparkSession, "page-audit")
         bad.write.parquet(path)
-        raise IncompletePages(f"incomplete page chains: {count} bad pages, listed in {path}")
+        raise IncompletePages(f"incomplete page chains: {count}, listed in {path}")
     return audit
 
 
 def load_report(spark: SparkSession, name: str, pages_path: str, record_schema: T.StructType,
                 lookups: Lookups, table_root: str, batch_id: tuple[str, int] | None = None,
-                currency: str = DEFAULT_CURRENCY) -> int | None:
+                currency: str = DEFAULT_CURRENCY, partition_expr: str | None = None) -> int | None:
     """Load the landed pages of report ``name`` into its table; returns the
-    committed table version (None when ``batch_id`` was already loaded)."""
+    committed table version (None when ``batch_id`` was already loaded).
+
+    The audit reads the page frames only (parsing skips the records' fields),
+    so nothing is kept between the two reads of the files.
+    """
     r = report(name)
-    shared_dir(spark)  # checkpoints go to the cluster's shared folder
-    # JSON is parsed once: the audit and the ingest both read the
-    # checkpointed pages (reliable checkpoint, survives a lost executor).
-    pages = pg.read_pages(spark, pages_path, record_schema).checkpoint(eager=True)
-    check_chains(pages)
-    rows = pg.page_rows(pages, currency)
-    cleaned = clean_report(name, rows, lookups)
-    return ReportTable(spark, table_root, r.keys).upsert(cleaned, batch_id=batch_id)
+    check_chains(pg.read_pages(spark, pages_path, record_schema))
+    cleaned = clean_report(name, pg.page_rows(pg.read_pages(spark, pages_path, record_schema), currency), lookups)
+    return ReportTable(spark, table_root, r.keys, partition_expr).upsert(cleaned, batch_id=batch_id)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,21 +10,19 @@ from ledgerlake.plans import oracle_sql as o
 from ledgerlake.plans.q_clean import REPORT_LINE_SQL
 from ledgerlake.plans import standins as s
 from ledgerlake.plans.catalog import register
-from ledgerlake.schemas import PAGE_SIZE
+from ledgerlake.schemas import REPORTS
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import lookups as lk
 from ledgerlake.sources import pages as pg
 from ledgerlake.sources import windows as win
 
-LINE_REPORT = "Reporting API - test report"
+LINE_REPORT = next(name for name, (table, _) in REPORTS.items() if table == "test_report")
 WINDOW_END = "2001-06-01 00:00:00"
 FIXED_START = "1999-11-01 00:00:00"
 
 
 def _line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = s.line_items(spark, sf_dir)
-    keyed = li.withColumn("__ord", F.col("Invoice ID").cast("long"))
-    return pg.paginate(keyed, LINE_REPORT, ["__ord", "Line ID"], record_columns=li.columns)
+    return s.invoice_pages(s.line_items(spark, sf_dir), LINE_REPORT)
 
 
 @register("page_ingest", o.with_(o.LINES) + f"""
@@ -55,42 +51,34 @@ def page_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.union_pages([a, b])
 
 
-def _audit_sql_report(name: str, cte: str, order: str) -> str:
-    return f"""
-  SELECT '{name}' AS report, (row_number() OVER (ORDER BY {order}) - 1) // {PAGE_SIZE} AS page FROM {cte}"""
-
-
-AUDIT_SQL = o.with_(o.LINES, o.INVOICES, o.MATTERS, o.TIMEKEEPERS) + f"""
-, numbered AS ({_audit_sql_report(LINE_REPORT, 'lines', 'CAST("Invoice ID" AS BIGINT), "Line ID"')}
-  UNION ALL {_audit_sql_report('Reporting API - Invoice Level', 'invoices', 'CAST("Invoice ID" AS BIGINT)')}
-  UNION ALL {_audit_sql_report('Reporting API - matter report', 'matters', 'CAST("Matter Ref" AS BIGINT)')}
-  UNION ALL {_audit_sql_report('Timekeeper Report - full data pull down', 'timekeepers', 'CAST("Timekeeper ID" AS BIGINT)')}),
-counts AS (
-  SELECT report, CAST(page AS BIGINT) AS page, CAST(count(*) AS INTEGER) AS n_rows FROM numbered GROUP BY report, page
-  UNION ALL
-  SELECT report, CAST(count(*) // {PAGE_SIZE} AS BIGINT), 0 FROM numbered GROUP BY report HAVING count(*) % {PAGE_SIZE} = 0)
-SELECT c.report, c.page, c.n_rows, n.page IS NOT NULL AS has_next,
-       CASE WHEN c.n_rows = {PAGE_SIZE} AND n.page IS NOT NULL THEN 'more'
-            WHEN c.n_rows = {PAGE_SIZE} THEN 'truncated'
-            WHEN n.page IS NOT NULL THEN 'broken' ELSE 'complete' END AS status
-FROM counts c LEFT JOIN counts n ON n.report = c.report AND n.page = c.page + 1"""
+AUDIT_SQL = f"""
+WITH pages AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS session, CAST(l_linenumber AS BIGINT) AS page, CAST(count(*) AS BIGINT) AS n
+  FROM lineitem GROUP BY l_orderkey, l_linenumber, l_linestatus),
+linked AS (
+  SELECT p.*, EXISTS (SELECT 1 FROM pages q WHERE q.session = p.session AND q.page = p.page + 1) AS has_next,
+         EXISTS (SELECT 1 FROM pages q WHERE q.session = p.session AND q.page = p.page - 1) AS has_previous FROM pages p),
+chains AS (
+  SELECT session, min(page) AS first_page, max(page) AS last_page, count(*) AS n_pages, count(DISTINCT page) AS n_distinct,
+         CAST(sum(n) AS BIGINT) AS n_rows, max(n) AS largest_page,
+         bool_or(page > 1 AND NOT has_previous) AS unnamed, bool_or(n <> {s.STANDIN_PAGE_SIZE} AND has_next) AS after_short,
+         bool_or(n = {s.STANDIN_PAGE_SIZE} AND NOT has_next) AS open_end
+  FROM linked GROUP BY session)
+SELECT '{LINE_REPORT}' AS report, session, first_page, last_page, n_pages, n_distinct, n_rows, largest_page,
+       largest_page > {s.STANDIN_PAGE_SIZE} AS oversize,
+       CASE WHEN first_page > 1 THEN 'missing_start' WHEN n_pages > n_distinct THEN 'duplicate'
+            WHEN unnamed OR after_short THEN 'broken' WHEN open_end THEN 'truncated' ELSE 'complete' END AS status
+FROM chains"""
 
 
 @register("page_chain_audit", AUDIT_SQL)
 def page_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page the four reports like the service and audit every chain."""
-    def keyed(df: DataFrame, report: str, key: str, tie: str | None = None) -> DataFrame:
-        return df.select(F.lit(report).alias("report"), F.col(key).cast("long").alias("__ord"),
-                         (F.col(tie) if tie else F.lit("")).alias("__tie"))
-
-    rows = reduce(DataFrame.unionByName, [
-        keyed(s.line_items(spark, sf_dir), LINE_REPORT, "Invoice ID", "Line ID"),
-        keyed(s.invoices(spark, sf_dir), "Reporting API - Invoice Level", "Invoice ID"),
-        keyed(s.matters(spark, sf_dir), "Reporting API - matter report", "Matter Ref"),
-        keyed(s.timekeepers(spark, sf_dir), "Timekeeper Report - full data pull down", "Timekeeper ID"),
-    ])
-    counts = pg.page_sizes(rows, ["__ord", "__tie"])
-    return pg.audit_chain(counts)
+    """Land pages cut by columns of lineitem as JSON and audit every session."""
+    pages = s.line_pages(spark, sf_dir, LINE_REPORT)
+    path = scratch_path(spark, "line-pages")
+    pages.write.json(path)
+    landed = pg.read_pages(spark, path, pages.schema["resultSet"].dataType.elementType)
+    return pg.audit_chains(pg.page_counts(landed), s.STANDIN_PAGE_SIZE)
 
 
 EXPENSE_FILE_COLUMNS = ["Expense Code", "Expense Type", "Expense Name"]

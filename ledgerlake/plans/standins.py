@@ -123,6 +123,34 @@ def timekeepers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows of a full page in :func:`line_pages`; the service's own size would leave every page short.
+STANDIN_PAGE_SIZE = 2
+
+
+def _page_file(pages: DataFrame, report: str) -> DataFrame:
+    """Pages as the service sends them: page n names page n + 1, the first was asked for by no name."""
+    number = F.col("page").cast("long")
+    return pages.select(
+        "resultSet", F.struct(F.col("session").alias("sessionId"), (number + 1).cast("string").alias("identifier")).alias("paging"),
+        F.when(number > 1, number.cast("string")).alias("pagingIdentifier"), F.lit(report).alias("report"), number.alias("page"))
+
+
+def line_pages(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
+    """Pages cut by columns of lineitem: session = order, page = line number.
+    Line numbers have gaps, often start above 1, and repeat; rows of one
+    number but another line status come as a second copy of the page."""
+    li = table(spark, sf_dir, "lineitem")
+    record = F.struct(line_id().alias("Line ID"), money("l_extendedprice").alias("Amount"))
+    pages = li.groupBy(text("l_orderkey").alias("session"), F.col("l_linenumber").alias("page"), "l_linestatus").agg(F.collect_list(record).alias("resultSet"))
+    return _page_file(pages, report)
+
+
+def invoice_pages(lines: DataFrame, report: str) -> DataFrame:
+    """Complete chains: the lines of an invoice are the one page of its session."""
+    record = F.struct(*[F.col(f"`{c}`") for c in lines.columns])
+    return _page_file(lines.groupBy(F.col("Invoice ID").alias("session")).agg(F.collect_list(record).alias("resultSet")).withColumn("page", F.lit(1)), report)
+
+
 # Two loads of a report, cut by business date: the first load holds
 # everything before FIRST_LOAD_END, the second everything from
 # SECOND_LOAD_START on. Rows of the overlap year come again: open ones are

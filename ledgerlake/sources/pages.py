@@ -3,15 +3,18 @@
 A report arrives as a chain of pages. Each page is one JSON object::
 
     {"resultSet": [{...flat record...}, ...],
-     "paging": {"sessionId": "...", "identifier": "..."}}
+     "paging": {"sessionId": "...", "identifier": "..."},
+     "pagingIdentifier": "...", "report": "...", "page": 1}
 
+``paging.identifier`` names the page that follows; ``pagingIdentifier`` is the
+name under which this page was asked for (null: the first one of its session).
 The service hands out the next page while a page is full (exactly
 ``PAGE_SIZE`` rows); a shorter page ends the chain, and an oversize single
 page (the full timekeeper dump) is complete on its own.
 
 Instead of walking the chain sequentially over HTTP, the pages are landed as
-files and read in parallel splits. Rows come out with ``inline``; the chain
-is verified afterwards by :func:`audit_chain`.
+files and read in parallel splits. Rows come out with ``inline``; the chains
+are verified by :func:`audit_chains`.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ def page_schema(record_schema: T.StructType) -> T.StructType:
     return T.StructType([
         T.StructField("resultSet", T.ArrayType(record_schema)),
         T.StructField("paging", PAGING_SCHEMA),
+        T.StructField("pagingIdentifier", T.StringType()),
         T.StructField("report", T.StringType()),
         T.StructField("page", T.LongType()),
     ])
@@ -77,103 +81,57 @@ def union_pages(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def page_counts(pages: DataFrame, chain: Iterable[str] = ("report",), page: str = "page") -> DataFrame:
-    """Rows per page taken from the page itself (an empty page counts 0)."""
-    return pages.select(*chain, page, F.coalesce(F.size("resultSet"), F.lit(0)).alias("n_rows"))
+def page_counts(pages: DataFrame) -> DataFrame:
+    """One row per landed page: report, session, page, asked, next, n_rows (an empty page counts 0)."""
+    return pages.select("report", F.col("paging.sessionId").alias("session"), "page", F.col("pagingIdentifier").alias("asked"),
+                        F.col("paging.identifier").alias("next"), F.coalesce(F.size("resultSet"), F.lit(0)).alias("n_rows"))
 
 
-def audit_chain(counts: DataFrame, chain: Iterable[str] = ("report",), page: str = "page",
-                rows: str = "n_rows", page_size: int = PAGE_SIZE) -> DataFrame:
-    """Completeness audit of page chains.
+CHAIN = ("report", "session")
 
-    ``counts`` has one row per page: the chain columns (report, session…), a
-    consecutive page number and the rows on the page. A page's successor is
-    page + 1 of the same chain; it is found with an equi-join, so the audit
-    spreads over all tasks even when one report has most of the pages (a
-    window over the chain would put a whole report in one task).
 
-    status: ``more``        full page with a successor (chain goes on)
-            ``complete``    last page, not full (or an oversize single page)
-            ``truncated``   last page is full: the next one never landed
-            ``broken``      a page short of full has a successor
-    """
-    chain = list(chain)
-    nxt = counts.select(*[F.col(c).alias(f"__n_{c}") for c in chain],
-                        (F.col(page) - 1).alias("__n_prev"), F.lit(True).alias("has_next"))
-    cond = reduce(lambda a, b: a & b,
-                  [counts[c].eqNullSafe(nxt[f"__n_{c}"]) for c in chain] + [counts[page] == nxt["__n_prev"]])
-    joined = counts.join(nxt, cond, "left")
-    has_next = F.coalesce(F.col("has_next"), F.lit(False))
-    full = F.col(rows) == F.lit(page_size)
-    status = (
-        F.when(full & has_next, "more")
-        .when(full & ~has_next, "truncated")
-        .when(~full & has_next, "broken")
-        .otherwise("complete")
-    )
-    return joined.select(*chain, page, rows, has_next.alias("has_next"), status.alias("status"))
-
-
-def paginate(df: DataFrame, report: str, order: Iterable[str], page_size: int = PAGE_SIZE,
-             record_columns: Iterable[str] | None = None) -> DataFrame:
-    """Cut a report into service-style pages (the inverse of :func:`page_rows`).
-
-    Rows are numbered along ``order`` (unique), page = (number - 1) div
-    ``page_size``; when the last page is full an empty page follows, as the
-    service answers the request for the next page. Numbering uses
-    :func:`ledgerlake.operators.sequence.sequence_by_key` with the report as
-    the only key, so it is spread over all tasks; each page collects at most
-    ``page_size`` rows by construction. ``record_columns`` (default: all)
-    are the fields of a record; other columns may serve as the order only.
-    """
-    cols = list(record_columns) if record_columns is not None else df.columns
-    numbered = _numbered(df.withColumn("report", F.lit(report)), order, page_size)
-    pages = numbered.groupBy("report", "page").agg(
-        F.collect_list(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("resultSet")
-    )
-    empty_tail = _empty_tail(numbered, page_size).select(
-        "report", "page", F.array().cast(pages.schema["resultSet"].dataType).alias("resultSet"))
-    paging = F.struct(F.sha2(F.col("report"), 256).alias("sessionId"), F.col("page").cast("string").alias("identifier"))
-    return pages.unionByName(empty_tail).select("resultSet", paging.alias("paging"), "report", "page")
+def audit_chains(counts: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Completeness of every page chain: one row per report and session.
 
+    ``counts``: rows of :func:`page_counts`. A page and the page it names meet
+    under the name: each page sends two rows, one for the name it was asked by
+    and one for the name it gives, which are counted per chain and name and
+    then per chain. Both steps add up before they shuffle and the first is
+    spread by name, so a session with most of the pages fills no single task.
 
-def _numbered(df: DataFrame, order: Iterable[str], page_size: int) -> DataFrame:
-    from ledgerlake.operators.sequence import sequence_by_key
-
-    numbered = sequence_by_key(df, ["report"], list(order), seq_col="__seq")
-    return numbered.withColumn("page", F.floor((F.col("__seq") - 1) / F.lit(page_size)).cast("long"))
-
-
-def _empty_tail(numbered: DataFrame, page_size: int) -> DataFrame:
-    totals = numbered.groupBy("report").agg(F.count(F.lit(1)).alias("__n"))
-    return totals.filter(F.col("__n") % page_size == 0).select(
-        "report", (F.col("__n") / page_size).cast("long").alias("page"))
-
-
-def page_sizes(df: DataFrame, order: Iterable[str], page_size: int = PAGE_SIZE) -> DataFrame:
-    """Rows per page of :func:`paginate` for every report in ``df`` (a
-    ``report`` column), without numbering single rows.
-
-    Rows of a report are cut into slices along ``order`` (see
-    :func:`ledgerlake.operators.sequence.slice_stats`); a slice with offset
-    ``o`` and ``c`` rows covers positions o+1 .. o+c, so it adds
-    ``min(o+c, (p+1)*size) - max(o, p*size)`` rows to each page ``p`` it
-    overlaps. Summing those per page gives the exact page sizes from one row
-    per slice; the empty tail page (when the last page is full) counts 0.
+    status, the first that holds:
+      ``missing_start``  no first page
+      ``duplicate``      a page landed more than once
+      ``broken``         a page that no landed page names, or one after a short page
+      ``truncated``      a full page whose next page never landed
+      ``complete``       else
+    ``oversize``: a page holds more than ``page_size`` rows (it ends its chain).
     """
-    from ledgerlake.operators.sequence import slice_stats
-
-    _, stats = slice_stats(df, ["report"], list(order))
-    size = F.lit(page_size).cast("long")
-    off, cnt = F.col("__off"), F.col("__cnt")
-    pages = stats.select(
-        F.col("__key.report").alias("report"), off, cnt,
-        F.explode(F.sequence(F.floor(off / size), F.floor((off + cnt - 1) / size))).alias("page"),
-    )
-    rows = F.least(off + cnt, (F.col("page") + 1) * size) - F.greatest(off, F.col("page") * size)
-    counts = pages.groupBy("report", F.col("page").cast("long").alias("page")).agg(
-        F.sum(rows).cast("int").alias("n_rows"))
-    totals = stats.groupBy(F.col("__key.report").alias("report")).agg(F.sum("__cnt").alias("__n"))
-    tail = totals.filter(F.col("__n") % page_size == 0).select(
-        "report", (F.col("__n") / page_size).cast("long").alias("page"), F.lit(0).alias("n_rows"))
-    return counts.unionByName(tail)
+    full = F.col("n_rows") == page_size
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    asked = F.struct(F.col("asked").alias("name"), one.alias("pages"), none.alias("by_full"), none.alias("by_short"),
+                     F.when(full & F.col("next").isNull(), 1).otherwise(0).cast("long").alias("stuck"),
+                     F.col("n_rows").cast("long").alias("rows"), F.col("page").cast("long").alias("page"))
+    given = F.struct(F.col("next").alias("name"), none.alias("pages"), F.when(full, 1).otherwise(0).cast("long").alias("by_full"),
+                     F.when(full, 0).otherwise(1).cast("long").alias("by_short"), none.alias("stuck"),
+                     none.alias("rows"), F.lit(None).cast("long").alias("page"))
+    sent = counts.select(*CHAIN, F.inline(F.when(F.col("next").isNull(), F.array(asked)).otherwise(F.array(asked, given))))
+    names = sent.groupBy(*CHAIN, "name").agg(
+        *[F.sum(c).alias(c) for c in ("pages", "by_full", "by_short", "stuck", "rows")],
+        F.max("rows").alias("largest"), F.min("page").alias("first_page"), F.max("page").alias("last_page"))
+
+    def some(cond):
+        return F.max(F.when(cond, 1).otherwise(0)) == 1
+
+    asked_for = F.col("pages") > 0
+    chains = names.groupBy(*CHAIN).agg(
+        F.min("first_page").alias("first_page"), F.max("last_page").alias("last_page"), F.sum("pages").alias("n_pages"),
+        F.sum(F.when(asked_for, 1).otherwise(0)).alias("n_distinct"), F.sum("rows").alias("n_rows"), F.max("largest").alias("largest_page"),
+        some(asked_for & F.col("name").isNull()).alias("__start"),
+        some(asked_for & F.col("name").isNotNull() & (F.col("by_full") + F.col("by_short") == 0)).alias("__unnamed"),
+        some(asked_for & (F.col("by_short") > 0)).alias("__after_short"),
+        some(~asked_for & (F.col("by_full") > 0) | (F.col("stuck") > 0)).alias("__open"))
+    status = (F.when(~F.col("__start"), "missing_start").when(F.col("n_pages") > F.col("n_distinct"), "duplicate")
+              .when(F.col("__unnamed") | F.col("__after_short"), "broken").when(F.col("__open"), "truncated").otherwise("complete"))
+    return chains.select(*CHAIN, "first_page", "last_page", "n_pages", "n_distinct", "n_rows", "largest_page",
+                         (F.col("largest_page") > page_size).alias("oversize"), status.alias("status"))
