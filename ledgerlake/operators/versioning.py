@@ -12,16 +12,13 @@ current row per key. Bookkeeping columns (names as in the warehouse table):
     mio_delta_hash          SHA-256 over the payload (change detection)
     mio_version_valid_from/_to  validity, day precision, ``to`` exclusive
 
-Design for scale: a load touches only *current* rows. A delta load joins
-them to the batch with a left join (the batch is the build side: AQE
-broadcasts it when small, else a sort-merge join), one ``inline`` over an
-array of output rows per joined row emits unchanged / closed / reopened rows
-in a single pass, and batch keys never seen before come from an anti join of
-the batch against the *matched* keys (at most as many as batch rows). A full
-refresh, whose batch is as large as the table, uses one full outer join and
-one ``inline`` for every output row, new keys included. Keys are unique on
-both sides of these joins (one current row per key; the batch reduced by
-:func:`latest_per_key`), so no key can be hot.
+Design for scale: a load touches only *current* rows. One full outer join of
+the current rows and the batch finds unchanged, changed, vanished and unseen
+keys at once, and one ``inline`` over an array of output rows per joined row
+emits them, so current rows are scanned once and the batch is cast and hashed
+once. Keys are unique on both sides (one current row per key; the batch
+reduced by :func:`last_rows`), so no key can be hot. The rows that a load
+joins are those it has to rewrite anyway.
 """
 
 from __future__ import annotations
@@ -66,6 +63,10 @@ BOOKKEEPING = [
 ]
 BOOK_NAMES = [n for n, _ in BOOKKEEPING]
 
+#: Columns that a landing adds: when the row's file arrived, its path, the block of the file.
+#: Rows of one block keep their order by the place in the batch.
+ARRIVAL = ["__landed_at", "__landed_path", "__landed_block"]
+
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -137,9 +138,8 @@ class LoadStamp:
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order`` (ties: any one of them).
 
-    ``max_by`` is a hash aggregate with a map-side partial step: a key with
-    millions of rows is reduced in every task before the shuffle, so no task
-    sees a whole hot key.
+    One pass over ``df``, whole rows through the aggregate; see
+    :func:`last_rows` for wide rows that can be read twice.
     """
     others = [c for c in df.columns if c not in keys]
     picked = F.max_by(F.struct(*[_c(c) for c in others]), F.struct(*[_c(o) for o in order]))
@@ -151,14 +151,40 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
-def prepare_batch(batch: DataFrame, spec: VersionSpec) -> DataFrame:
-    """Data columns, source file (if any), change hash and row id."""
+def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last row of each key by ``order``, which must be unique within a key.
+
+    Late materialisation: only keys and order columns go through the
+    aggregate; rows of keys that occur once are passed through, rows of the
+    others are kept if they are their key's last. ``df`` is read twice (a
+    written batch), the second time joined with the repeated keys alone, so a
+    key with a third of all rows meets one row, and AQE splits or broadcasts
+    that join.
+    """
+    last = F.struct(*[_c(o) for o in order])
+    repeated = df.groupBy(*[_c(k).alias(f"__r{i}") for i, k in enumerate(keys)]).agg(
+        F.max(last).alias("__last"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    met = df.join(repeated, key_match(df, repeated, [(k, f"__r{i}") for i, k in enumerate(keys)], True), "left")
+    return met.where(F.col("__n").isNull() | last.eqNullSafe(F.col("__last"))).select(*[_c(c) for c in df.columns])
+
+
+def prepare_batch(batch: DataFrame, spec: VersionSpec, types: dict[str, str] | None = None, also: Sequence[str] = ()) -> DataFrame:
+    """Data columns, source file (if any), change hash, row id and the columns named by ``also``.
+
+    ``types``: the stored types (name to type). Values are cast to them before
+    the hash, so a batch that spells a number otherwise (1.500 for 1.50) opens
+    no new version; a value that does not fit is an error.
+    """
+    types = types or {}
     src = _c(SOURCE_FILE) if SOURCE_FILE in batch.columns else F.lit(None).cast("string")
-    cols = [_c(c) for c in spec.data_columns] + [src.alias(SOURCE_FILE), delta_hash(list(spec.payload)).alias(HASH)]
+    cast = [(_c(c).cast(types[c]) if c in types else _c(c)).alias(c) for c in spec.data_columns]
+    if spec.id_column and spec.id_column in batch.columns and spec.id_column not in spec.data_columns:
+        cast.append(_c(spec.id_column))
+    cols = [_c(c) for c in spec.data_columns] + [_c(SOURCE_FILE), delta_hash(list(spec.payload)).alias(HASH)]
     if spec.id_column:
         rid = _c(spec.id_column) if spec.id_column in batch.columns else row_id(spec.record_type, list(spec.keys))
         cols.append(rid.alias(spec.id_column))
-    return batch.select(*cols)
+    return batch.select(*cast, src.alias(SOURCE_FILE), *also).select(*cols, *also)
 
 
 def empty_table(spark: SparkSession, batch: DataFrame, spec: VersionSpec) -> DataFrame:
@@ -175,11 +201,15 @@ def empty_table(spark: SparkSession, batch: DataFrame, spec: VersionSpec) -> Dat
     return batch.select(*[cols[c] for c in spec.columns]).where(F.lit(False))
 
 
+def stored_types(fact: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in fact.schema.fields}
+
+
 def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp,
                     mode: str = "delta", scope: Sequence[str] = ()) -> DataFrame:
     """Next state of a versioned table after loading ``batch``.
 
-    ``batch`` has one row per key (reduce it with :func:`latest_per_key`).
+    ``batch`` has one row per key (reduce it with :func:`last_rows`).
     delta mode: new keys open version 1, changed keys close the current
     version and open the next, unchanged and absent keys stay as they are.
     full mode: additionally every current key absent from the batch is closed
@@ -190,16 +220,21 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     Stored columns the spec does not name (``*_legacy`` columns after a
     schema change) are carried from the current version; new keys get null.
     """
+    return merge_prepared(fact, prepare_batch(batch, spec, stored_types(fact)), spec, stamp, mode, scope)
+
+
+def merge_prepared(fact: DataFrame, b: DataFrame, spec: VersionSpec, stamp: LoadStamp,
+                   mode: str = "delta", scope: Sequence[str] = ()) -> DataFrame:
+    """:func:`versioned_merge` for a batch that :func:`prepare_batch` made."""
     if mode not in ("delta", "full"):
         raise ValueError(f"unknown load mode {mode!r}; expected 'delta' or 'full'")
     keys = list(spec.keys)
-    types = {f.name: f.dataType.simpleString() for f in fact.schema.fields}
+    types = stored_types(fact)
     out_cols = spec.columns + [c for c in fact.columns if c not in spec.columns]
 
     cur = fact.filter(_c(CURRENT) == F.lit(True))
     hist = fact.filter(~F.coalesce(_c(CURRENT), F.lit(False)))
 
-    b = prepare_batch(batch, spec)
     nb = b.select(
         *[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         *[_c(c).alias(f"__n_{c}") for c in b.columns],
@@ -216,7 +251,7 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     spoken_for = "`__in_scope` IS NOT NULL" if scope else "true"
     vanished = f"(NOT {in_batch} AND NOT {marked} AND {spoken_for})" if mode == "full" else "false"
     if mode == "full" and scope:
-        values = batch.select(*[_c(c).alias(f"__s{i}") for i, c in enumerate(scope)]).distinct().withColumn("__in_scope", F.lit(True))
+        values = b.select(*[_c(c).alias(f"__s{i}") for i, c in enumerate(scope)]).distinct().withColumn("__in_scope", F.lit(True))
         cur = cur.join(values, key_match(cur, values, [(c, f"__s{i}") for i, c in enumerate(scope)], True), "left")
     closing = f"({changed} OR {vanished})"
 
@@ -253,27 +288,11 @@ def versioned_merge(fact: DataFrame, batch: DataFrame, spec: VersionSpec, stamp:
     })
     from_current = f"CASE WHEN {closing} THEN array({row(closed)}, {row(reopened)}) ELSE array({row(kept)}) END"
 
-    if mode == "full":
-        # The batch is the whole truth, as large as the table: one full outer
-        # join (unique keys on both sides, so no hot key) shuffles and hashes
-        # each side once and yields every output row in a single pass.
-        j = cur.join(nb, cond, "full")
-        rows = f"CASE WHEN {ident(CURRENT)} IS NULL THEN array({row(opened)}) ELSE {from_current} END"
-        return hist.select(*out_cols).unionByName(j.select(F.inline(F.expr(rows))))
-
-    # Delta: the batch is the build side of a left join (AQE broadcasts it
-    # when small, so current rows are not shuffled); keys it brings that no
-    # current row has come from an anti join against the matched keys.
-    j = cur.join(nb, cond, "left")
-    current_rows = j.select(F.inline(F.expr(from_current)))
-    matched_keys = j.filter(F.col("__in_batch").isNotNull()).select(
-        *[F.col(f"__k{i}").alias(f"__m{i}") for i in range(len(keys))])
-    fresh = nb.join(
-        matched_keys, key_match(nb, matched_keys, [(f"__k{i}", f"__m{i}") for i in range(len(keys))], True),
-        "left_anti",
-    )
-    new_rows = fresh.selectExpr(*[f"CAST({opened[c]} AS {types[c]}) AS {ident(c)}" for c in out_cols])
-    return hist.select(*out_cols).unionByName(current_rows).unionByName(new_rows)
+    # One full outer join (unique keys on both sides, so no hot key) shuffles
+    # each side once and yields every output row, unseen keys included.
+    j = cur.join(nb, cond, "full")
+    rows = f"CASE WHEN {ident(CURRENT)} IS NULL THEN array({row(opened)}) ELSE {from_current} END"
+    return hist.select(*out_cols).unionByName(j.select(F.inline(F.expr(rows))))
 
 
 def initial_load(spark: SparkSession, batch: DataFrame, spec: VersionSpec, stamp: LoadStamp) -> DataFrame:
@@ -292,7 +311,7 @@ def classify_changes(fact: DataFrame, batch: DataFrame, spec: VersionSpec) -> Da
         *[_c(k).alias(f"__c{i}") for i, k in enumerate(keys)],
         _c(HASH).alias("__ch"), _c(DELETE).alias("__cdel"),
     )
-    b = prepare_batch(batch, spec).select(
+    b = prepare_batch(batch, spec, stored_types(fact)).select(
         *[_c(k).alias(f"__b{i}") for i, k in enumerate(keys)], _c(HASH).alias("__bh"), F.lit(True).alias("__in")
     )
     j = cur.join(b, key_match(cur, b, [(f"__c{i}", f"__b{i}") for i in range(len(keys))], True), "full")

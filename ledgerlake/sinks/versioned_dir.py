@@ -39,6 +39,7 @@ from ledgerlake.operators.evolve import evolve
 from ledgerlake.functions.hashing import delta_hash
 from ledgerlake.operators.joins import key_match
 from ledgerlake.operators import versioning as v
+from ledgerlake.session import scratch_path
 
 
 class CommitConflict(RuntimeError):
@@ -309,22 +310,26 @@ class FactTable:
     def load(self, batch: DataFrame, stamp: v.LoadStamp, mode: str = "delta",
              batch_id: tuple[str, int] | None = None, order: Sequence[str] | None = None,
              retries: int = 3) -> int | None:
-        """Merge ``batch`` and commit the next version. The batch is first
+        """Merge ``batch`` and commit the next version.
+
+        The batch is cast to the stored types, hashed and written once; then
         reduced to one row per key: the last by ``order``, or without an order
-        the row of the last source file, ties broken by the row's own values
-        (deterministic). Losing a commit race re-reads the latest version and
-        merges again.
+        the one that arrived last (arrival columns of a landing, else source
+        file and values), equal ones by their place in the batch. Losing a
+        commit race re-reads the latest version and merges again.
 
         An empty full batch (it would close the whole table) and a load date
         before the last committed one (validity ranges would overlap) are
-        refused. ``full_scope`` columns limit what a full batch may close."""
+        refused. ``full_scope`` columns limit what a full batch may close; they
+        must follow from the key. If they hold the partition column, a key
+        stays in its partition, and a load reads and rewrites the batch's
+        partitions only, a full refresh too."""
         if mode == "full" and batch.isEmpty():
             raise ValueError("empty full batch: nothing landed for a full refresh")
-        if not order:
-            order = ([v.SOURCE_FILE] if v.SOURCE_FILE in batch.columns else []) + [
-                c for c in self.spec.data_columns if c not in self.spec.keys]
-        if order:
-            batch = v.latest_per_key(batch, self.spec.keys, order)
+        entry = self.log.latest()
+        if _already_done(entry, batch_id):
+            return None
+        staged = self._staged(batch, entry, order)
         for attempt in range(retries):
             entry = self.log.latest()
             if _already_done(entry, batch_id):
@@ -334,13 +339,18 @@ class FactTable:
             if last and str(stamp.load_date) < last:
                 raise ValueError(f"load date {stamp.load_date} is before the last committed one, {last}")
             if entry is None:
-                touched, cur = set(), v.empty_table(self.spark, batch, self.spec)
-            elif mode == "full" or self.partition_expr is None:
+                touched, cur = set(), v.empty_table(self.spark, staged, self.spec)
+            elif self.partition_expr is None:
+                touched, cur = set(previous), self.current(entry=entry)
+            elif self.partition_expr.strip("`") in self.full_scope:
+                touched = touched_partitions(None, staged, self.spec.keys, self.partition_expr)
+                cur = self.current(touched, entry)
+            elif mode == "full":
                 touched, cur = set(previous), self.current(entry=entry)
             else:
-                touched = touched_partitions(self.current(entry=entry), batch, self.spec.keys, self.partition_expr)
+                touched = touched_partitions(self.current(entry=entry), staged, self.spec.keys, self.partition_expr)
                 cur = self.current(touched, entry)
-            nxt = v.versioned_merge(cur, batch, self.spec, stamp, mode, self.full_scope)
+            nxt = v.merge_prepared(cur, staged, self.spec, stamp, mode, self.full_scope)
             version = (entry["version"] + 1) if entry else 0
             closed, written = self._write(nxt, _stage("load", version))
             current = {name: p for name, p in previous.items() if name not in touched}
@@ -362,6 +372,21 @@ class FactTable:
                     raise
         return None
 
+    def _staged(self, batch: DataFrame, entry: dict | None, order: Sequence[str] | None) -> DataFrame:
+        """The batch, one row per key, cast and hashed: read from files that one job wrote."""
+        if not order:
+            order = [c for c in v.ARRIVAL if c in batch.columns] or (
+                ([v.SOURCE_FILE] if v.SOURCE_FILE in batch.columns else []) + [c for c in self.spec.data_columns if c not in self.spec.keys])
+        order = list(order)
+        types = {f["name"]: T.StructField.fromJson(f).dataType.simpleString() for f in entry["schema"]["fields"]} if entry else None
+        kept = batch.withColumns({f"__o{i}": F.col(f"`{c}`") for i, c in enumerate(order)}).withColumn("__row", F.monotonically_increasing_id())
+        marks = [f"__o{i}" for i in range(len(order))] + ["__row"]
+        prepared = v.prepare_batch(kept, self.spec, types, marks)
+        path = scratch_path(self.spark, "fact-batch")
+        prepared.write.parquet(path)
+        written = self.spark.read.schema(prepared.schema).parquet(path)
+        return v.last_rows(written, self.spec.keys, marks).drop(*marks)
+
     def _write(self, df: DataFrame, stage: str) -> tuple[str | None, dict[str, str]]:
         """One job writes a version's rows: closed rows under the current flag
         false, current rows under true (in partition folders). Returns the
@@ -401,12 +426,29 @@ class FactTable:
 
 
 def publish_current_view(table: FactTable, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Register the current rows of a versioned table as a view (the
-    reporting view over the table: current flag, fixed column order). Only
-    the current part is listed, so readers never touch the history."""
-    cur = table.current()
-    if cur is None:
+    """The reporting view over an external catalog table of the stored files.
+
+    The external table is partitioned by the current flag and the stored part;
+    its partitions point at the folders of the newest version, so nothing is
+    copied. The view fixes the column order and filters on the flag, which the
+    catalog answers by pruning partitions: readers never list or open the
+    history.
+    """
+    entry = table.log.latest()
+    if entry is None:
         raise ValueError(f"table at {table.log.root} has no committed version")
-    view = v.current_rows(cur, columns)
-    view.createOrReplaceTempView(name)
-    return table.spark.table(name)
+    spark = table.spark
+    fields = T.StructType.fromJson(entry["schema"]).fields
+    stored = f"{name}_stored"
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {stored}")  # external: the files stay
+    flag = next(f for f in fields if f.name == v.CURRENT)
+    columns_sql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*(f for f in fields if f.name != v.CURRENT), flag])
+    spark.sql(f"CREATE TABLE {stored} ({columns_sql}, {PART} string) USING parquet PARTITIONED BY (`{v.CURRENT}`, {PART}) LOCATION '{table.log.root}'")
+    parts = [(True, p) for p in entry["current"].values()] + [(False, p) for p in entry["history"]]
+    if parts:
+        spark.sql(f"ALTER TABLE {stored} ADD " + " ".join(
+            f"PARTITION (`{v.CURRENT}`={str(flag).lower()}, {PART}='{i:05d}') LOCATION '{table.log.part_path(p)}'" for i, (flag, p) in enumerate(parts)))
+    names = list(columns or [f.name for f in fields])
+    spark.sql(f"CREATE VIEW {name} AS SELECT {', '.join(f'`{c}`' for c in names)} FROM {stored} WHERE `{v.CURRENT}` = true")
+    return spark.table(name)

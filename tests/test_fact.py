@@ -1,5 +1,8 @@
+import json
+import re
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import types as T
 
 from ledgerlake.operators import evolve as ev
@@ -11,18 +14,37 @@ def test_schema_counts():
     assert len(FACT_NAMES) == 71 and len(FACT_PAYLOAD) == 56
 
 
-def test_rejects_too_long_and_too_large(spark):
-    raw = spark.createDataFrame(
-        [("x" * 51, 1.0), ("é" * 26, 2.0), ("ok", 1234.56), ("fine", 999.99)],
-        "line_id string, adjusted_line_quantity double")
-    good, bad = fx.split_rejects(raw)
-    reasons = {r["line_id"]: r["reject_reason"] for r in bad.collect()}
-    assert reasons["x" * 51] == "line_id: more than 50 bytes"
-    assert reasons["é" * 26] == "line_id: more than 50 bytes"
-    assert reasons["ok"] == "adjusted_line_quantity: does not fit decimal(5,2)"
-    g = good.collect()
-    assert len(g) == 1 and g[0]["adjusted_line_quantity"] == Decimal("999.99")
+RAW = "line_id string, adjusted_line_quantity double, line_date string"
+
+
+def test_quarantine_holds_every_row_once(spark, tmp_dir):
+    rows = [("x" * 51, 1.0, None), ("é" * 26, 2.0, None), ("ok", 1234.56, None), ("fine", 999.99, "2024-01-02 03:04:05"), ("day", 1.0, "soon"),
+            ("both" * 20, 5e9, "never"), (None, None, None), ("fine", 999.99, "2024-01-02 03:04:05")]
+    fx.write_quarantine(spark.createDataFrame(rows, RAW), tmp_dir + "/q")
+    good, bad = fx.read_quarantine(spark, tmp_dir + "/q")
     assert good.schema == FACT_SCHEMA
+    loaded, rejected = good.collect(), bad.collect()
+    assert len(loaded) + len(rejected) == len(rows) and len(loaded) == 3
+    assert sorted((r["line_id"], r["adjusted_line_quantity"]) for r in loaded if r["line_id"]) == [("fine", Decimal("999.99"))] * 2
+    raw = {json.loads(r["raw_row"])["line_id"]: (r["reject_reason"], json.loads(r["raw_row"])) for r in rejected}
+    assert raw["x" * 51][0] == raw["é" * 26][0] == "line_id: more than 50 bytes"
+    assert raw["ok"] == ("adjusted_line_quantity: does not fit decimal(5,2)", {"line_id": "ok", "adjusted_line_quantity": 1234.56})
+    assert raw["day"][0] == "line_date: does not fit timestamp_ntz" and raw["day"][1]["line_date"] == "soon"
+    assert set(raw["both" * 20][0].split("; ")) == {"line_id: more than 50 bytes", "adjusted_line_quantity: does not fit decimal(5,2)", "line_date: does not fit timestamp_ntz"}
+
+
+def test_quarantine_is_one_scan_and_one_side_reads_one_folder(spark, tmp_dir):
+    fx.write_quarantine(spark.createDataFrame([("a", 1.0, None)], RAW), tmp_dir + "/q")
+    good, bad = fx.read_quarantine(spark, tmp_dir + "/q")
+    assert bad.count() == 0 and good.count() == 1  # no bad row, no folder
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*rejected", plan)
+
+
+@pytest.mark.parametrize("row", [("x" * 51, 1.0, None), ("é" * 26, 1.0, None), ("ok", 123456.0, None), ("ok", 1.0, "soon")])
+def test_typing_refuses_what_does_not_fit(spark, row):
+    with pytest.raises(Exception, match="line_id: more than 50 bytes|NUMERIC_VALUE_OUT_OF_RANGE|CAST_INVALID_INPUT"):
+        fx.to_fact_schema(spark.createDataFrame([row], RAW)).collect()
 
 
 def test_evolve_keeps_old_values(spark):

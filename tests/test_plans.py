@@ -79,3 +79,53 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, val)
+
+
+def test_second_load_joins_once_and_hashes_once(spark, tmp_dir):
+    """Written batch, one full outer join, one scan of the current rows; the hash was made when the batch was written."""
+    from ledgerlake.operators import versioning as v
+    from ledgerlake.plans.q_stream import as_landed, fact_batches, warehouse
+    from ledgerlake.plans.q_versions import STAMP_1, STAMP_2
+
+    table = warehouse(spark, tmp_dir)
+    first, second = fact_batches(spark, SF)
+    table.load(as_landed({"INVOICE": first["INVOICE"], "MATTER": first["MATTER"]}), STAMP_1)
+    entry_ = table.log.latest()
+    staged = table._staged(as_landed({"INVOICE": second["INVOICE"]}), entry_, None)
+    p = plan(v.merge_prepared(table.current({"__part=INVOICE"}, entry_), staged, table.spec, STAMP_2))
+    assert p.count("FullOuter") == 1 and "LeftAnti" not in p and "LeftSemi" not in p and "sha2" not in p
+    # The current rows once; the written batch once for its rows and once for the keys that occur twice.
+    assert p.count("FileScan parquet") == 3 and p.count("HashAggregate") + p.count("SortAggregate") <= 2
+
+
+def test_stored_upsert_does_not_move_the_target(spark, tmp_dir):
+    from ledgerlake.sinks.bucketed import BucketedTable
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = BucketedTable(spark, "plan_stored", tmp_dir + "/stored", ["a", "b"], buckets=4)
+        table.upsert(spark.createDataFrame([(i, None if i % 3 else "x", i) for i in range(50)], "a int, b string, c int"))
+        p = plan(table.kept(table.keyed(spark.createDataFrame([(7, None, 0)], "a int, b string, c int"))))
+    finally:
+        for k, val in old.items():
+            spark.conf.set(k, val)
+    target = p[p.index("SortMergeJoin"):].split("\n")
+    assert p.count("Exchange hashpartitioning") == 1  # the batch's keys alone
+    scan = next(i for i, line in enumerate(target) if "plan_stored_v0" in line)
+    assert not any("Exchange" in line for line in target[1:scan])
+
+
+def test_reporting_view_prunes_by_the_flag(spark, tmp_dir):
+    from ledgerlake.operators import versioning as v
+    from ledgerlake.sinks.versioned_dir import FactTable, publish_current_view
+
+    spec = v.VersionSpec(keys=("k",), payload=("k", "a"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/fact", spec)
+    t.load(spark.createDataFrame([("1", "x"), ("2", "y")], "k string, a string"), v.LoadStamp("2024-01-01", "run", "2024-01-01 01:00:00"))
+    t.load(spark.createDataFrame([("2", "Y")], "k string, a string"), v.LoadStamp("2024-02-01", "run", "2024-02-01 01:00:00"))
+    view = publish_current_view(t, "plan_current", ["a", "k"])
+    assert view.columns == ["a", "k"]
+    assert re.search(r"PartitionFilters: \[[^\]]*mio_current_status", plan(view))
+    files = {f.rsplit("/", 2)[-2] for f in view.inputFiles()}
+    assert files == {"mio_current_status=true"}

@@ -185,3 +185,54 @@ def test_repeated_key_in_a_batch_gives_one_version(spark, tmp_dir):
     t.load(spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "k string, a string"), S1)
     cur = {r["k"]: r["a"] for r in t.current().collect()}
     assert cur == {"1": "b", "2": "c"} and t.read().count() == 2
+
+
+def test_full_refresh_of_one_source_leaves_the_others_alone(spark, tmp_dir):
+    spec = v.VersionSpec(keys=("s", "k"), payload=("s", "k", "a"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/sources", spec, partition_expr="`s`", full_scope=["s"])
+    t.load(spark.createDataFrame([(s, str(i), "a") for s in "wxyz" for i in range(3)], "s string, k string, a string"), S1)
+    before = dict(t.log.latest()["current"])
+    t.load(spark.createDataFrame([("x", "0", "a"), ("x", "1", "b"), ("x", "9", "n")], "s string, k string, a string"), S2, mode="full")
+    after = t.log.latest()["current"]
+    assert {p: f for p, f in after.items() if p != "__part=x"} == {p: f for p, f in before.items() if p != "__part=x"}
+    assert after["__part=x"] != before["__part=x"]
+    rows = {(r["s"], r["k"]): (r["a"], r[v.VERSION], r[v.DELETE]) for r in t.current().collect()}
+    assert {k: x for k, x in rows.items() if k[0] == "x"} == {("x", "0"): ("a", 1, None), ("x", "1"): ("b", 2, None), ("x", "2"): ("a", 2, "Y"), ("x", "9"): ("n", 1, None)}
+    assert all(rows[s, str(i)] == ("a", 1, None) for s in "wyz" for i in range(3))
+
+
+def test_other_spellings_of_a_number_open_no_version(spark, tmp_dir):
+    spec = v.VersionSpec(keys=("k",), payload=("k", "n"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/drift", spec)
+    t.load(spark.createDataFrame([("1", "1.50"), ("2", "2.00")], "k string, n string").selectExpr("k", "CAST(n AS DECIMAL(15,2)) n"), S1)
+    t.load(spark.createDataFrame([("1", "1.500"), ("2", "2.250")], "k string, n string").selectExpr("k", "CAST(n AS DECIMAL(20,3)) n"), S2)
+    assert sorted((r["k"], str(r["n"]), r[v.VERSION]) for r in t.current().collect()) == [("1", "1.50", 1), ("2", "2.25", 2)]
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        t.load(spark.createDataFrame([("1", "1e14")], "k string, n string").selectExpr("k", "CAST(n AS DECIMAL(20,3)) n"), S2)
+
+
+def test_last_rows(spark):
+    rows = [("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), (None, 1, "n"), (None, 2, "m"), ("b", None, "only"), ("c", None, "first"), ("c", 0, "last")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    assert {r["k"]: r["v"] for r in v.last_rows(df, ["k"], ["o"]).collect()} == {"a": "z", None: "m", "b": "only", "c": "last"}
+    plan = v.last_rows(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan and "Window" not in plan
+
+
+def test_bucketed_table(spark, tmp_dir):
+    from ledgerlake.sinks.bucketed import BucketedTable
+
+    t = BucketedTable(spark, "bucketed_small", tmp_dir + "/b", ["a", "b"], buckets=4)
+    shape = "a int, b string, c int"
+    assert t.upsert(spark.createDataFrame([(1, "x", 1), (1, None, 2), (2, "x", 3), (None, None, 4), (2, "x", 33)], shape), ("r", 0)) == 0
+    assert t.upsert(spark.createDataFrame([(1, None, 20), (1, None, 21), (None, None, 40), (3, "~", 5)], shape), ("r", 1)) == 1
+    assert t.upsert(spark.createDataFrame([(1, None, 99)], shape), ("r", 1)) is None  # done before
+    expected = [(1, "x", 1), (2, "x", 3), (2, "x", 33), (1, None, 20), (1, None, 21), (None, None, 40), (3, "~", 5)]
+    assert sorted(map(tuple, t.read().collect()), key=repr) == sorted(expected, key=repr)
+    assert t.upsert(spark.createDataFrame([], shape)) == 2 and t.read().count() == len(expected)
+    t.upsert(spark.createDataFrame([(2, "x")], "a int, b string"))
+    assert (2, "x", None) in set(map(tuple, t.read().collect())) and t.read().count() == len(expected) - 1
+    with pytest.raises(ValueError):
+        t.upsert(spark.createDataFrame([(2, 7)], "a int, d int"))
+    again = BucketedTable(spark, "bucketed_small", tmp_dir + "/b", ["a", "b"], buckets=4)
+    assert again.state()["version"] == 3 and again.state()["batches"] == {"r": 1}
