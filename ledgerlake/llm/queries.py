@@ -33,22 +33,33 @@ def op1_url_ngram_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, i, l, sum(length(l) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(l) - 1 AS s
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL)),
+WITH cut AS (
+  SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS p FROM documents WHERE text IS NOT NULL)),
 normal AS (
-  SELECT doc_id, i, l, s, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS u FROM lines),
-units AS (
-  SELECT doc_id, i, l, s, len(string_split(u, ' ')) >= 5 AND u <> '' AS counts,
-         first_value(doc_id) OVER w AS of_doc, row_number() OVER w AS k FROM normal WINDOW w AS (PARTITION BY u ORDER BY doc_id, i)),
-judged AS (SELECT *, counts AND k > 1 AS gone FROM units),
+  SELECT doc_id, pos, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos) AS e,
+         trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS u FROM cut),
+ranked AS (
+  SELECT doc_id, pos, e - length(piece) AS s, e, u, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r,
+         CASE WHEN length(u) > 16 * len(string_split(u, ' ')) THEN length(u) // 5 ELSE len(string_split(u, ' ')) END AS n
+  FROM normal WHERE u <> ''),
+placed AS (SELECT *, first_value(doc_id) OVER w AS fd, first_value(r) OVER w AS fr, row_number() OVER w AS k FROM ranked WINDOW w AS (PARTITION BY u ORDER BY doc_id, r)),
+again AS (
+  SELECT *, CASE WHEN lag(r) OVER w = r - 1 AND lag(fr) OVER w = fr - 1 AND lag(fd) OVER w = fd THEN 0 ELSE 1 END AS new
+  FROM placed WHERE k > 1 WINDOW w AS (PARTITION BY doc_id ORDER BY r)),
+marked AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY r) AS run FROM again),
+runs AS (
+  SELECT doc_id, min(s) AS s, max(e) AS e, min(pos) AS a, max(pos) AS z, count(*) AS pieces, min(fd) AS fd
+  FROM marked GROUP BY doc_id, run HAVING sum(n) >= 30),
 per_doc AS (
-  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
-         coalesce(string_agg(CAST(s AS VARCHAR) || '-' || CAST(s + length(l) AS VARCHAR), ',' ORDER BY i) FILTER (gone), '') AS removed,
-         min(of_doc) FILTER (gone) AS dup_of, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
-  FROM judged GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, dup_of, p.text AS text
-FROM documents d LEFT JOIN per_doc p USING (doc_id)
+  SELECT doc_id, CAST(sum(pieces) AS BIGINT) AS n_removed, string_agg(CAST(s AS VARCHAR) || '-' || CAST(e AS VARCHAR), ',' ORDER BY s) AS removed, min(fd) AS dup_of
+  FROM runs GROUP BY doc_id),
+remaining AS (
+  SELECT c.doc_id, string_agg(c.piece, '' ORDER BY c.pos) AS text FROM cut c JOIN per_doc USING (doc_id)
+  WHERE NOT EXISTS (SELECT 1 FROM runs x WHERE x.doc_id = c.doc_id AND c.pos BETWEEN x.a AND x.z) GROUP BY c.doc_id)
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, dup_of,
+       CASE WHEN p.doc_id IS NULL THEN d.text ELSE coalesce(x.text, '') END AS text
+FROM documents d LEFT JOIN per_doc p USING (doc_id) LEFT JOIN remaining x USING (doc_id)
 """
 
 

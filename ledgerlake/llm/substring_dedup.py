@@ -1,31 +1,104 @@
-"""Substring dedup by hashing lines or paragraphs."""
+"""Substring dedup: hash normalised pieces, group the hashes, keep earliest places, take out repeated runs.
+
+A text is cut after every line end and sentence end. A passage that another
+document has too is then a run of pieces that all occur earlier, one behind
+the other; single pieces repeat by chance and stay.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import units
-from ledgerlake.llm.common import shielded, stage
+from ledgerlake.llm.common import ascii_lower, replace_columns, row_hash, shielded, stage
+from ledgerlake.llm.units import DOC, LINE, blanks, hashes
+
+#: Words that a run must have together to be taken out.
+MIN_WORDS = 30
+#: A piece whose words are longer than this on average is in a script without blanks: LETTERS characters count as a word.
+LONG_WORD, LETTERS = 16, 5
+#: Text up to the next line or sentence end, which is part of the piece, as are blanks of an empty line.
+PIECE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
 
-#: Units of fewer words ("Of.", "Share") are never taken out: they repeat by chance.
-MIN_WORDS = 5
 
+def cut(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """One row per piece with words: document, piece number, place among such pieces, character offsets, 128-bit hash, words.
+
+    Rows equal in all columns are one document: their pieces are reduced to
+    one before a document's pieces come together, so repeated rows fill no task.
+    """
+    whole = docs.select(F.col(doc_id).alias("_doc"), row_hash(docs).alias("_tie"), F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("_pieces"))
+    pieces = whole.select(*DOC, F.posexplode("_pieces").alias("_pos", "_piece"))
+    words = F.array_remove(F.split(ascii_lower(blanks(F.translate("_piece", "\n", " "))), " "), "")
+    pieces = pieces.select(*DOC, "_pos", F.char_length("_piece").alias("_len"), words.alias("_words"))
+    n, letters = F.size("_words"), F.char_length(F.array_join("_words", " "))
+    weight = F.when(letters > LONG_WORD * n, F.floor(letters / LETTERS)).otherwise(n).cast("long")
+    rows = pieces.select(*DOC, "_pos", "_len", *hashes(1), weight.alias("_n"))
+    rows = rows.groupBy(*DOC, "_pos").agg(*[F.max(c).alias(c) for c in ("_len", *LINE, "_n")])
+    so_far = Window.partitionBy(*DOC).orderBy("_pos")
+    rows = rows.withColumns({"_end": F.sum("_len").over(so_far), "_rank": F.count("_h1").over(so_far)})
+    return rows.where("_h1 is not null").select(*DOC, "_pos", "_rank", (F.col("_end") - F.col("_len")).alias("_start"), "_end", *LINE, "_n")
 
-def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", separator: str = "\n", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with each repeated unit left in its first place only.
 
-    Units (lines; "\\n\\n" for paragraphs) are normalised and hashed, the hashes
-    grouped over all documents, and every place but the first is taken out.
-    First: smallest id (null before all), then row hash, then position. The
-    text becomes the remaining units; n_removed, removed (original character
-    offsets) and dup_of are added.
+def repeated_runs(pieces: DataFrame, min_words: int) -> DataFrame:
+    """Per document the runs to take out: (from, to: piece numbers, span, pieces, of: id of the earlier document), in order.
 
-    A null text stays null and has no units; an empty one has none that
-    count. Rows equal in all columns count as one document. An empty table
-    gives no rows. Input columns named like the added ones are replaced.
+    A run is pieces one behind the other whose earliest places (by id, null
+    first, then row hash, then position) are elsewhere and one behind the
+    other too, in one document, with ``min_words`` words together. A piece
+    whose earliest place is in a third document, or earlier in the same
+    passage, ends a run: such a passage goes in parts, or stays.
+    """
+    place = F.struct(*DOC, "_rank")
+    first = pieces.groupBy(*LINE).agg(F.count("*").alias("_places"), F.min(place).alias("_first")).where("_places > 1").drop("_places")
+    again = pieces.join(first, LINE).where(~place.eqNullSafe(F.col("_first")))
+    in_doc = Window.partitionBy(*DOC).orderBy("_rank")
+
+    def before(c: str) -> Column:
+        return F.lag(c).over(in_doc)
+
+    goes_on = ((before("_rank") == F.col("_rank") - 1) & (before("_first._rank") == F.col("_first._rank") - 1)
+               & before("_first._doc").eqNullSafe(F.col("_first._doc")) & (before("_first._tie") == F.col("_first._tie")))
+    again = again.withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
+    again = again.withColumn("_run", F.sum("_new").over(in_doc))
+    runs = again.groupBy(*DOC, "_run").agg(
+        F.sum("_n").alias("_words"), F.min("_pos").alias("from"), F.max("_pos").alias("to"), F.min("_start").alias("_start"), F.max("_end").alias("_end"),
+        F.count("*").alias("pieces"), F.min("_first._doc").alias("of")).where(F.col("_words") >= min_words)
+    run = F.struct("from", "to", F.concat_ws("-", "_start", "_end").alias("span"), "pieces", "of")
+    return runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(run)).alias("_runs"))
+
+
+def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with every passage left in its earliest place only.
+
+    Passages: runs of at least ``min_words`` words (see :func:`repeated_runs`)
+    of normalised pieces (A-Z lower-cased, white space as one blank); in a
+    script without blanks five characters count as a word. The text becomes
+    what remains of it; added are n_removed (pieces taken out), removed
+    (original character offsets, "start-end", comma-joined) and dup_of (the
+    smallest id that holds an earlier place).
+
+    A null text stays null and has no pieces, an empty or blank one has none.
+    Rows equal in all columns count as one document and share its fate. Very
+    long texts are cut like others; one document's pieces pass through one
+    task. An empty table gives no rows. Input columns named like the added
+    ones are replaced.
     """
     docs, back = shielded(docs)
-    cut = stage(units.worded(docs, text, doc_id, separator).select(*units.DOC, "_pos", "_len", *units.hashes(min_words)), "substring-units")
-    kept = units.first_places(cut).where("places > 1").drop("places")
-    return units.take_out(docs, cut, kept, text, doc_id, separator).withColumnsRenamed(back)
+    runs = stage(repeated_runs(stage(cut(docs, text, doc_id), "substring-pieces"), min_words), "substring-runs").withColumnsRenamed({"_doc": "_d", "_tie": "_t"})
+    keyed = replace_columns(docs.withColumns({"_tie": row_hash(docs), "_doc": F.col(doc_id)}), ["n_removed", "removed", "dup_of"])
+    joined = keyed.join(runs, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_tie") == F.col("_t")), "left")
+    pieces, none = F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)), F.col("_runs").isNull()
+    starts, ends = F.col("_runs.from"), F.col("_runs.to")
+
+    def between(k: Column) -> Column:
+        """Pieces behind the run before the k-th, up to the k-th."""
+        begin = F.when(k == 0, 0).otherwise(F.get(ends, k - 1) + 1)
+        return F.slice(F.col("_pieces"), begin + 1, F.coalesce(F.get(starts, k), F.size("_pieces")) - begin)
+
+    joined = joined.withColumn("_pieces", F.when(~none, pieces))
+    left = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_runs")), between)), "")
+    return (joined.withColumns({
+        "n_removed": F.when(none, F.lit(0)).otherwise(F.aggregate("_runs.pieces", F.lit(0).cast("long"), lambda a, x: a + x)).cast("long"),
+        "removed": F.when(none, "").otherwise(F.array_join("_runs.span", ",")), "dup_of": F.array_min("_runs.of"),
+        text: F.when(none, F.col(text)).otherwise(left)}).drop(*DOC, "_d", "_t", "_runs", "_pieces").withColumnsRenamed(back))

@@ -138,15 +138,6 @@ def test_simhash_documents(spark):
     assert simhash.near_duplicates(edge(spark).where("false")).count() == 0
 
 
-def test_substrings(spark):
-    got = {r["doc_id"]: (r["text"], r["removed"], r["dup_of"], r["n_removed"], r["host"]) for r in substring_dedup.dedup_substrings(edge(spark)).collect()}
-    assert got[None] == (LINE, "", None, 0, "mine")  # a null id comes first
-    assert got[1] == ("another line of five words", "0-36", None, 1, "mine")
-    assert got[6] == ("Of.", "0-37", None, 1, "mine") and got[5] == ("", "0-36", None, 1, "mine")
-    assert got[7][:2] == ("Of.", "") and got[2][:2] == (None, "") and got[3][:2] == ("", "") and got[4][0] == LONG
-    assert substring_dedup.dedup_substrings(edge(spark).where("false")).count() == 0
-
-
 def _distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
