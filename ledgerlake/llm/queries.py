@@ -35,7 +35,7 @@ def op1_url_ngram_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH cut AS (
   SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos
-  FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS p FROM documents WHERE text IS NOT NULL)),
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^.?\x{3002}\n]*[.?\x{3002}\n]+|[^.?\x{3002}\n]+') AS p FROM documents WHERE text IS NOT NULL)),
 normal AS (
   SELECT doc_id, pos, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos) AS e,
          trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS u FROM cut),

@@ -1,6 +1,6 @@
 """Substring dedup: hash normalised pieces, group the hashes, keep earliest places, take out repeated runs.
 
-A text is cut after every line end and sentence end. A passage that another
+A text is cut after every line end, full stop and question mark. A passage that another
 document has too is then a run of pieces that all occur earlier, one behind
 the other; single pieces repeat by chance and stay.
 """
@@ -17,31 +17,31 @@ from ledgerlake.llm.units import DOC, LINE, blanks, hashes
 MIN_WORDS = 30
 #: A piece whose words are longer than this on average is in a script without blanks: LETTERS characters count as a word.
 LONG_WORD, LETTERS = 16, 5
-#: Text up to the next line or sentence end, which is part of the piece, as are blanks of an empty line.
-PIECE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
+#: Text up to the next line end, full stop or question mark, which are part of the piece.
+PIECE = r"[^.?\u3002\n]*[.?\u3002\n]+|[^.?\u3002\n]+"
+WHITE = " \t\n\x0b\x0c\r"
 
 
-def cut(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """One row per piece with words: document, piece number, place among such pieces, character offsets, 128-bit hash, words.
+def pieces_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
 
-    Rows equal in all columns are one document: their pieces are reduced to
-    one before a document's pieces come together, so repeated rows fill no task.
-    """
-    whole = docs.select(F.col(doc_id).alias("_doc"), row_hash(docs).alias("_tie"), F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("_pieces"))
-    pieces = whole.select(*DOC, F.posexplode("_pieces").alias("_pos", "_piece"))
+
+def has_words(piece: Column) -> Column:
+    return F.translate(piece, WHITE, "") != ""
+
+
+def cut(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """One row per piece with words: document, place among its pieces, 128-bit hash, words."""
+    whole = docs.select(F.col(doc_id).alias("_doc"), row_hash(docs).alias("_tie"), F.filter(pieces_of(F.col(text)), has_words).alias("_pieces"))
+    pieces = whole.select(*DOC, F.posexplode("_pieces").alias("_rank", "_piece"))
     words = F.array_remove(F.split(ascii_lower(blanks(F.translate("_piece", "\n", " "))), " "), "")
-    pieces = pieces.select(*DOC, "_pos", F.char_length("_piece").alias("_len"), words.alias("_words"))
+    pieces = pieces.select(*DOC, "_rank", words.alias("_words"))
     n, letters = F.size("_words"), F.char_length(F.array_join("_words", " "))
-    weight = F.when(letters > LONG_WORD * n, F.floor(letters / LETTERS)).otherwise(n).cast("long")
-    rows = pieces.select(*DOC, "_pos", "_len", *hashes(1), weight.alias("_n"))
-    rows = rows.groupBy(*DOC, "_pos").agg(*[F.max(c).alias(c) for c in ("_len", *LINE, "_n")])
-    so_far = Window.partitionBy(*DOC).orderBy("_pos")
-    rows = rows.withColumns({"_end": F.sum("_len").over(so_far), "_rank": F.count("_h1").over(so_far)})
-    return rows.where("_h1 is not null").select(*DOC, "_pos", "_rank", (F.col("_end") - F.col("_len")).alias("_start"), "_end", *LINE, "_n")
+    return pieces.select(*DOC, "_rank", *hashes(1), F.when(letters > LONG_WORD * n, F.floor(letters / LETTERS)).otherwise(n).cast("int").alias("_n"))
 
 
 def repeated_runs(pieces: DataFrame, min_words: int) -> DataFrame:
-    """Per document the runs to take out: (from, to: piece numbers, span, pieces, of: id of the earlier document), in order.
+    """Per document the runs to take out: (from, to: places, of: id of the earlier document), in order.
 
     A run is pieces one behind the other whose earliest places (by id, null
     first, then row hash, then position) are elsewhere and one behind the
@@ -52,6 +52,8 @@ def repeated_runs(pieces: DataFrame, min_words: int) -> DataFrame:
     place = F.struct(*DOC, "_rank")
     first = pieces.groupBy(*LINE).agg(F.count("*").alias("_places"), F.min(place).alias("_first")).where("_places > 1").drop("_places")
     again = pieces.join(first, LINE).where(~place.eqNullSafe(F.col("_first")))
+    # Rows equal in all columns are one document: reduced to one before a document's pieces come together.
+    again = again.groupBy(*DOC, "_rank").agg(F.max("_n").alias("_n"), F.min("_first").alias("_first"))
     in_doc = Window.partitionBy(*DOC).orderBy("_rank")
 
     def before(c: str) -> Column:
@@ -61,11 +63,8 @@ def repeated_runs(pieces: DataFrame, min_words: int) -> DataFrame:
                & before("_first._doc").eqNullSafe(F.col("_first._doc")) & (before("_first._tie") == F.col("_first._tie")))
     again = again.withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
     again = again.withColumn("_run", F.sum("_new").over(in_doc))
-    runs = again.groupBy(*DOC, "_run").agg(
-        F.sum("_n").alias("_words"), F.min("_pos").alias("from"), F.max("_pos").alias("to"), F.min("_start").alias("_start"), F.max("_end").alias("_end"),
-        F.count("*").alias("pieces"), F.min("_first._doc").alias("of")).where(F.col("_words") >= min_words)
-    run = F.struct("from", "to", F.concat_ws("-", "_start", "_end").alias("span"), "pieces", "of")
-    return runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(run)).alias("_runs"))
+    runs = again.groupBy(*DOC, "_run").agg(F.sum("_n").alias("_words"), F.min("_rank").alias("from"), F.max("_rank").alias("to"), F.min("_first._doc").alias("of"))
+    return runs.where(F.col("_words") >= min_words).groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("from", "to", "of"))).alias("_runs"))
 
 
 def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
@@ -88,17 +87,25 @@ def dedup_substrings(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_
     runs = stage(repeated_runs(stage(cut(docs, text, doc_id), "substring-pieces"), min_words), "substring-runs").withColumnsRenamed({"_doc": "_d", "_tie": "_t"})
     keyed = replace_columns(docs.withColumns({"_tie": row_hash(docs), "_doc": F.col(doc_id)}), ["n_removed", "removed", "dup_of"])
     joined = keyed.join(runs, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_tie") == F.col("_t")), "left")
-    pieces, none = F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)), F.col("_runs").isNull()
-    starts, ends = F.col("_runs.from"), F.col("_runs.to")
-
-    def between(k: Column) -> Column:
-        """Pieces behind the run before the k-th, up to the k-th."""
-        begin = F.when(k == 0, 0).otherwise(F.get(ends, k - 1) + 1)
-        return F.slice(F.col("_pieces"), begin + 1, F.coalesce(F.get(starts, k), F.size("_pieces")) - begin)
-
-    joined = joined.withColumn("_pieces", F.when(~none, pieces))
-    left = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_runs")), between)), "")
+    none = F.col("_runs").isNull()
+    joined = joined.withColumn("_pieces", F.when(~none, pieces_of(F.col(text))))
+    # Piece numbers of the places, blank pieces counted; a blank piece inside a run goes with it.
+    number = F.filter(F.sequence(F.lit(0), F.size("_pieces") - 1), lambda i: has_words(F.get(F.col("_pieces"), i)))
+    joined = joined.withColumn("_number", F.when(~none, number))
+    joined = joined.withColumn("_cuts", F.transform("_runs", lambda r: F.struct(F.get(F.col("_number"), r["from"]).alias("a"), (F.get(F.col("_number"), r["to"]) + 1).alias("z"))))
+
+    def length(begin: Column, end: Column) -> Column:
+        return F.char_length(F.array_join(F.slice("_pieces", begin + 1, end - begin), ""))
+
+    def before_cut(k: Column) -> Column:
+        """Pieces behind the cut before the k-th, up to the k-th."""
+        begin = F.when(k == 0, 0).otherwise(F.get(F.col("_cuts.z"), k - 1))
+        return F.slice("_pieces", begin + 1, F.coalesce(F.get(F.col("_cuts.a"), k), F.size("_pieces")) - begin)
+
+    left = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_cuts")), before_cut)), "")
+    spans = F.transform("_cuts", lambda c: F.concat_ws("-", length(F.lit(0), c["a"]), length(F.lit(0), c["z"])))
+    gone = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, r: n + r["to"] - r["from"] + 1)
     return (joined.withColumns({
-        "n_removed": F.when(none, F.lit(0)).otherwise(F.aggregate("_runs.pieces", F.lit(0).cast("long"), lambda a, x: a + x)).cast("long"),
-        "removed": F.when(none, "").otherwise(F.array_join("_runs.span", ",")), "dup_of": F.array_min("_runs.of"),
-        text: F.when(none, F.col(text)).otherwise(left)}).drop(*DOC, "_d", "_t", "_runs", "_pieces").withColumnsRenamed(back))
+        "n_removed": F.when(none, F.lit(0)).otherwise(gone).cast("long"), "removed": F.when(none, "").otherwise(F.array_join(spans, ",")),
+        "dup_of": F.array_min("_runs.of"), text: F.when(none, F.col(text)).otherwise(left)})
+        .drop(*DOC, "_d", "_t", "_runs", "_pieces", "_number", "_cuts").withColumnsRenamed(back))

@@ -18,7 +18,7 @@ def brute(docs, min_words=30):
     pieces, first = {}, {}
     for i, text in sorted(docs):
         at, out = 0, []
-        for p in re.findall("[^.!?\n]*[.!?\n]+|[^.!?\n]+", text or ""):
+        for p in re.findall("[^.?\u3002\n]*[.?\u3002\n]+|[^.?\u3002\n]+", text or ""):
             words = [w for w in re.split(BLANK, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in p)) if w]
             if words:
                 u = " ".join(words)
