@@ -1,23 +1,21 @@
 """Position of each row within its key, and the following row's values.
 
 ``row_number()`` / ``lead()`` over ``Window.partitionBy(key)`` put every row
-of a key into one task. One key may hold a third of all rows, so that
-task would run alone for most of the job. Here each key is cut into
-*slices* along the order column instead: slice boundaries are approximate
-quantiles of the order column over all rows (one cheap column scan,
-``approxQuantile``), so a key that holds many rows is spread over many
-slices, and the slice of a row is a fixed function of its data (safe to
-recompute after a lost executor).
-
-1. slice = position of the row's first order value among the bounds (a
-   binary search, ``Bucketizer``, cheap for any number of slices).
-2. ``row_number`` / ``lead`` over (key, slice): groups are bounded by the
-   slice size.
-3. Per (key, slice): row count and the first row's values.
-4. Over key ordered by slice (at most one row per slice and key): running
-   sum of counts = offset, the next slice's first values.
-5. Join back on (key, slice): global position = offset + local position;
-   the last row of a slice takes the next slice's first values.
+of a key into one task. One key may hold a third of all rows, or most rows of
+a key may share one timestamp, so that task would run alone for most of the
+job. Here rows are first dealt by ranges of the whole (key, order) tuple, the
+tie-breaker included:
+
+1. ``repartitionByRange`` samples the tuples and picks splitters, for any
+   sortable types. The pieces are about equal however skewed the keys are and
+   however many rows tie on the first order column. They are written once with
+   their number, so a piece is stored data: tasks that are run again after a
+   lost executor, and all later steps, see the same pieces.
+2. ``row_number`` / ``lead`` over (key, piece): groups are bounded by a piece.
+3. Per (key, piece): row count and the first row's values; over a key's pieces
+   (at most one row each) the running sum of counts is the offset and the next
+   row's first values are what the last row of a piece is followed by.
+4. Join back on (key, piece): position = offset + local position.
 """
 
 from __future__ import annotations
@@ -26,72 +24,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.ml.feature import Bucketizer
-
-
-def _c(x: str | Column) -> Column:
-    return F.col(f"`{x}`") if isinstance(x, str) else x
-
-
-def _numeric(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):  # from the wall clock's own fields: no session zone, so no jump at a clock change
-        minutes = (F.unix_date(c.cast("date")) * 24 + F.hour(c)) * 60 + F.minute(c)
-        return minutes * F.lit(60e6) + F.extract(F.lit("SECOND"), c).cast("double") * F.lit(1e6)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    return None
 
+from ledgerlake.session import scratch_path
 
-def with_slice(df: DataFrame, column: str, slices: int, out: str = "__slice") -> DataFrame:
-    """Add the slice number of each row along ``column`` (nulls first: -1).
+KEY, PIECE = "__key", "__piece"
 
-    Bounds are approximate quantiles of the column (one column scan; at most
-    ``slices`` numbers reach the driver). The slice is found by a binary
-    search over the bounds (``Bucketizer``), so any number of slices costs
-    the same per row.
-    """
-    x = _numeric(_c(column), df.schema[column].dataType)
-    if x is None or slices <= 1:
-        return df.withColumn(out, F.lit(0))
-    probs = [i / slices for i in range(1, slices)]
-    bounds = df.select(x.alias("__o")).approxQuantile("__o", probs, 1.0 / (2 * slices))
-    bounds = sorted({b for b in bounds if b is not None})
-    if not bounds:
-        return df.withColumn(out, F.lit(0))
-    splits = [-float("inf"), *bounds, float("inf")]
-    ordered = df.withColumn("__o", x)
-    bucketed = Bucketizer(splits=splits, inputCol="__o", outputCol="__b", handleInvalid="keep").transform(ordered)
-    return bucketed.withColumn(out, F.coalesce(F.col("__b").cast("int"), F.lit(-1))).drop("__o", "__b")
 
+def _c(x: str | Column) -> Column:
+    return F.col(f"`{x}`") if isinstance(x, str) else x
 
-def slice_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = (),
-                slices: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows with ``__key`` and ``__slice``, per-slice table).
 
-    The per-slice table has one row per (key, slice): ``__cnt`` rows,
-    ``__off`` rows of the key in earlier slices, and for each ``c`` in
-    ``carry`` the first value of the next slice (``__snext_<c>``).
-    """
+def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """``df`` written once, with its key as one struct (null-safe) and the number of its range piece."""
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*[_c(k) for k in keys])  # null-safe: struct(null) equals struct(null)
-    ordered = [_c(o) for o in order]
-    sliced = with_slice(df.withColumn("__key", key), order[0], n)
-
-    first = F.min_by(F.struct(*[_c(c).alias(c) for c in carry]), F.struct(*ordered)) if carry else F.lit(None)
-    stats = sliced.groupBy("__key", "__slice").agg(F.count(F.lit(1)).alias("__cnt"), first.alias("__first"))
-    w_key = Window.partitionBy("__key").orderBy("__slice")
-    stats = stats.withColumn(
-        "__off", F.coalesce(F.sum("__cnt").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    for c in carry:
-        stats = stats.withColumn(f"__snext_{c}", F.lead(F.col("__first")[c]).over(w_key))
-    return sliced, stats.drop("__first")
+    n = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *[_c(x).asc_nulls_first() for x in [*keys, *order]]).withColumn(PIECE, F.spark_partition_id())
+    path = scratch_path(spark, "pieces")
+    dealt.write.parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path).withColumn(KEY, F.struct(*[_c(k) for k in keys]))
 
 
 def sequence_by_key(
@@ -107,20 +57,21 @@ def sequence_by_key(
     """Add ``seq_col`` (1-based position among rows of the same key, by
     ``order``) and ``next_<c>`` for each ``c`` in ``carry`` (value on the next
     row of the key, null on the last). ``order`` must make rows of a key
-    unique (add a tie-breaker column); ascending, nulls first."""
-    ordered = [_c(o) for o in order]
-    sliced, stats = slice_stats(df, keys, order, carry, slices)
-    w_local = Window.partitionBy("__key", "__slice").orderBy(*ordered)
-    local = sliced.withColumn("__lseq", F.row_number().over(w_local))
-    for c in carry:
-        local = local.withColumn(f"__lnext_{c}", F.lead(_c(c)).over(w_local))
-
-    out = local.join(stats, ["__key", "__slice"], "inner")
-    last_in_slice = F.col("__lseq") == F.col("__cnt")
-    out = out.withColumn(seq_col, (F.col("__off") + F.col("__lseq")).cast("long"))
+    unique (add a tie-breaker column); ascending, nulls first. ``slices``:
+    number of pieces (default: the shuffle partitions)."""
+    ordered = [_c(o).asc_nulls_first() for o in order]
+    rows = in_pieces(df, keys, order, slices)
+    first = F.min_by(F.struct(*[_c(c).alias(c) for c in carry]), F.struct(*[_c(o) for o in order])) if carry else F.lit(None)
+    stats = rows.groupBy(KEY, PIECE).agg(F.count(F.lit(1)).alias("__cnt"), first.alias("__first"))
+    along = Window.partitionBy(KEY).orderBy(PIECE)
+    stats = stats.withColumn("__off", F.coalesce(F.sum("__cnt").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     for c in carry:
-        out = out.withColumn(
-            f"{next_prefix}{c}",
-            F.when(last_in_slice, F.col(f"__snext_{c}")).otherwise(F.col(f"__lnext_{c}")),
-        )
-    return out.select(*[_c(c) for c in df.columns], seq_col, *[f"{next_prefix}{c}" for c in carry])
+        stats = stats.withColumn(f"__snext_{c}", F.lead(F.col("__first")[c]).over(along))
+
+    inside = Window.partitionBy(KEY, PIECE).orderBy(*ordered)
+    local = rows.withColumns({"__lseq": F.row_number().over(inside), **{f"__lnext_{c}": F.lead(_c(c)).over(inside) for c in carry}})
+    out = local.join(stats.drop("__first"), [KEY, PIECE], "inner")
+    last = F.col("__lseq") == F.col("__cnt")
+    added = {seq_col: (F.col("__off") + F.col("__lseq")).cast("long")}
+    added.update({f"{next_prefix}{c}": F.when(last, F.col(f"__snext_{c}")).otherwise(F.col(f"__lnext_{c}")) for c in carry})
+    return out.withColumns(added).select(*[_c(c) for c in df.columns], *added)

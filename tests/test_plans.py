@@ -36,11 +36,29 @@ def test_full_merge_has_no_full_outer_join(spark):
     assert "FullOuter" not in p and "LeftAnti" in p
 
 
-def test_version_chain_windows_are_sliced(spark):
+def test_version_chain_windows_are_in_pieces(spark):
+    """Rows pass through windows of one piece of a key only; the window over a whole key sees one row a piece."""
     p = plan(Q["version_chain"](spark, SF))
     windows = re.findall(r"Window \[[^\n]*", p)
-    assert windows and all("__key" in w for w in windows)
-    assert any("__slice" in w for w in windows)
+    assert windows and all("__key" in w and "__piece" in w for w in windows)
+    assert all("row_number" not in w for w in windows if "__cnt" in w)
+
+
+def test_pieces_of_a_hot_key_on_one_timestamp_are_even(spark):
+    """Two thirds of all rows have one key and one timestamp; text breaks the ties."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.sequence import in_pieces, sequence_by_key
+
+    rows = spark.range(30000).select(
+        F.expr("CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE CAST(id % 50 AS STRING) END AS k"),
+        F.expr("CASE WHEN id % 3 > 0 THEN 7 WHEN id % 5 = 0 THEN NULL ELSE id % 11 END AS t"), F.expr("sha2(CAST(id AS STRING), 256) AS tie"))
+    sizes = [r["count"] for r in in_pieces(rows, ["k"], ["t", "tie"], 12).groupBy("__piece").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 3 * 30000 / 12
+    got = sequence_by_key(rows, ["k"], ["t", "tie"], carry=["tie"], slices=12)
+    rows.createOrReplaceTempView("hot_rows")
+    expected = spark.sql("SELECT *, CAST(row_number() OVER w AS BIGINT) AS seq, lead(tie) OVER w AS next_tie FROM hot_rows WINDOW w AS (PARTITION BY k ORDER BY t, tie)")
+    assert got.exceptAll(expected).count() == 0 and got.count() == 30000
 
 
 def test_upsert_aggregates_batch_keys_before_the_exchange(spark):
