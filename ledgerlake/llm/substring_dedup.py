@@ -51,6 +51,7 @@ def repeated_runs(pieces: DataFrame, min_words: int) -> DataFrame:
     """
     place = F.struct(*DOC, "_rank")
     first = pieces.groupBy(*LINE).agg(F.count("*").alias("_places"), F.min(place).alias("_first")).where("_places > 1").drop("_places")
+    first = stage(first, "substring-first")  # so that the join below reads two plain shuffles, which Spark splits where a piece is very frequent
     again = pieces.join(first, LINE).where(~place.eqNullSafe(F.col("_first")))
     # Rows equal in all columns are one document: reduced to one before a document's pieces come together.
     again = again.groupBy(*DOC, "_rank").agg(F.max("_n").alias("_n"), F.min("_first").alias("_first"))
