@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlake.functions.nulls import drop_null_key, fill_default
 from ledgerlake.functions.text import strip_ws
-from ledgerlake.operators.joins import merge
+from ledgerlake.operators.joins import merge, one_null_row
 from ledgerlake.schemas import ROLE_DEFAULT
 
 
@@ -37,13 +37,15 @@ def role_group_columns(role_groups: DataFrame) -> DataFrame:
 
 
 def clean_line_items(df: DataFrame, lookups: Lookups) -> DataFrame:
-    """Line-item report: default role, role group, stripped expense code."""
+    """Line-item report: default role, role group, stripped expense code. Of
+    look-up rows without a code one stands for lines without one (see
+    :func:`one_null_row`)."""
     df = drop_null_key(df, "Line ID")
     df = fill_default(df, "Role", ROLE_DEFAULT)
     df = merge(df, role_group_columns(lookups.role_groups), ["Role"], "left",
                bounded=lookups.role_groups_bounded)
     df = df.withColumn("Expense Code", strip_ws("Expense Code"))
-    codes = lookups.expense_codes.withColumn("Expense Code", strip_ws("Expense Code"))
+    codes = one_null_row(lookups.expense_codes.withColumn("Expense Code", strip_ws("Expense Code")), "Expense Code")
     return merge(df, codes, ["Expense Code"], "left", bounded=lookups.expense_codes_bounded)
 
 

@@ -39,6 +39,21 @@ def key_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     return reduce(lambda a, b: a & b, conds)
 
 
+def one_null_row(lookup: DataFrame, key: str) -> DataFrame:
+    """``lookup`` with one row of a null key: the smallest by its other columns.
+
+    The rule for look-ups whose key is missing in many rows. Matched null-safely,
+    every such row would meet every row without a key (their numbers multiply);
+    one stands for "no key" instead. The null rows are added up before they
+    meet, so their number does not matter.
+    """
+    others = [c for c in lookup.columns if c != key]
+    empty = lookup.where(_c(key).isNull()).agg(F.min(F.struct(*[_c(c) for c in others])).alias("__row"), F.count(F.lit(1)).alias("__n")).where("__n > 0")
+    kind = lookup.schema[key].dataType
+    stand = empty.select(*[F.lit(None).cast(kind).alias(c) if c == key else F.col("__row")[c].alias(c) for c in lookup.columns])
+    return lookup.where(_c(key).isNotNull()).unionByName(stand)
+
+
 def merge(
     left: DataFrame,
     right: DataFrame,

@@ -22,12 +22,17 @@ LINES = """lines AS (
   FROM lineitem)"""
 
 EXPENSE_CODES = """expense_codes AS (
-  SELECT CASE WHEN p_partkey = 0 THEN NULL
+  SELECT CASE WHEN p_size = 1 THEN NULL
               ELSE 'P' || CAST(p_partkey AS VARCHAR) || chr(9) END AS "Expense Code",
          p_type AS "Expense Type",
          p_name AS "Expense Name"
   FROM part)"""
 
+#: Stripped codes; of the rows without one the smallest stands for all.
+ONE_NULL_CODE = """e0 AS (SELECT * REPLACE (trim("Expense Code", {ws}) AS "Expense Code") FROM expense_codes),
+  e AS (SELECT * FROM e0 WHERE "Expense Code" IS NOT NULL
+        UNION ALL (SELECT * FROM e0 WHERE "Expense Code" IS NULL ORDER BY "Expense Type", "Expense Name" LIMIT 1))"""
+
 ROLE_GROUPS = (
     'role_groups AS (SELECT * FROM (VALUES '
     + ", ".join(f"({_lit(r)}, {_lit(g)})" for r, g in ROLE_GROUP_ROWS)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.nulls import drop_null_key, fill_default
 from ledgerlake.functions.text import strip_ws
 from ledgerlake.operators.clean import Lookups
-from ledgerlake.operators.joins import merge
+from ledgerlake.operators.joins import merge, one_null_row
 from ledgerlake.operators.registry import clean_report
 from ledgerlake.plans import oracle_sql as o
 from ledgerlake.plans import standins as s
@@ -59,14 +59,14 @@ def role_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("expense_lookup_nullsafe", o.with_(o.LINES, o.EXPENSE_CODES) + f"""
 , l AS (SELECT * REPLACE (trim("Expense Code", {o.WS}) AS "Expense Code") FROM lines),
-  e AS (SELECT * REPLACE (trim("Expense Code", {o.WS}) AS "Expense Code") FROM expense_codes)
+  {o.ONE_NULL_CODE.format(ws=o.WS)}
 SELECT l."Line ID", l."Invoice ID", l."Role", coalesce(l."Expense Code", e."Expense Code") AS "Expense Code",
        l."Line Date", l."Quantity", l."Amount", e."Expense Type", e."Expense Name"
 FROM l FULL JOIN e ON l."Expense Code" IS NOT DISTINCT FROM e."Expense Code"
 WHERE l."Line ID" IS NOT NULL""")
 def expense_lookup_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = drop_null_key(s.line_items(spark, sf_dir), "Line ID").withColumn("Expense Code", strip_ws("Expense Code"))
-    codes = s.expense_codes(spark, sf_dir).withColumn("Expense Code", strip_ws("Expense Code"))
+    codes = one_null_row(s.expense_codes(spark, sf_dir).withColumn("Expense Code", strip_ws("Expense Code")), "Expense Code")
     return merge(li, codes, ["Expense Code"], "left")
 
 
@@ -106,7 +106,7 @@ REPORT_LINE_SQL = o.with_(o.LINES, o.ROLE_GROUPS, o.EXPENSE_CODES) + f"""
     SELECT f."Line ID", f."Invoice ID", coalesce(f."Role", g."Role") AS "Role", trim(f."Expense Code", {o.WS}) AS "Expense Code",
            f."Line Date", f."Quantity", f."Amount", g."Group"
     FROM filled f FULL JOIN role_groups g ON f."Role" IS NOT DISTINCT FROM g."Role"),
-  e AS (SELECT * REPLACE (trim("Expense Code", {o.WS}) AS "Expense Code") FROM expense_codes)
+  {o.ONE_NULL_CODE.format(ws=o.WS)}
 SELECT m1."Line ID", m1."Invoice ID", m1."Role", coalesce(m1."Expense Code", e."Expense Code") AS "Expense Code",
        m1."Line Date", m1."Quantity", m1."Amount", m1."Group", e."Expense Type", e."Expense Name"
 FROM m1 FULL JOIN e ON m1."Expense Code" IS NOT DISTINCT FROM e."Expense Code"

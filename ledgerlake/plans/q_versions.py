@@ -132,9 +132,12 @@ def full_refresh_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invoice_fact(spark, sf_dir, "full")
 
 
-@register("as_of_read", FACT_DELTA_SQL + f"""
+AS_OF_SQL = FACT_DELTA_SQL + f"""
 SELECT * FROM fact WHERE mio_version_valid_from <= DATE '{AS_OF_DAY}'
-  AND (mio_version_valid_to IS NULL OR DATE '{AS_OF_DAY}' < mio_version_valid_to)""")
+  AND (mio_version_valid_to IS NULL OR DATE '{AS_OF_DAY}' < mio_version_valid_to)"""
+
+
+@register("as_of_read", AS_OF_SQL)
 def as_of_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.as_of(invoice_fact(spark, sf_dir), AS_OF_DAY)
 

@@ -72,9 +72,9 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def expense_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expense-code look-up from part; code padded with a tab on the right,
-    null for one part, so that lines without a code meet one row."""
+    null for every part of size 1."""
     p = table(spark, sf_dir, "part")
-    no_code = F.col("p_partkey") == 0
+    no_code = F.col("p_size") == 1
     return p.select(
         F.when(no_code, F.lit(None)).otherwise(F.concat(F.lit("P"), text("p_partkey"), F.lit("\t"))).alias("Expense Code"),
         F.col("p_type").alias("Expense Type"),

@@ -15,9 +15,10 @@ Layouts:
 * report tables (:class:`ReportTable`): delete-by-key + append; the whole
   table per version, or with a partition expression only the partitions
   the batch touches;
-* versioned facts (:class:`FactTable`): closed history is append-only (one
-  ``history`` part per load, never rewritten); current rows sit in partition
-  folders, and a load reads and rewrites only the partitions it touches.
+* versioned facts (:class:`FactTable`): closed history is append-only (parts
+  of one opening and one closing day, never rewritten); current rows sit in
+  partition folders, and a load reads and rewrites only the partitions it
+  touches. A schema change writes the log only.
 
 All paths go through the Hadoop file system of the root, so the same code
 runs on HDFS or an object store.
@@ -264,13 +265,30 @@ class FactTable:
         self.spark, self.spec, self.log = spark, spec, TableLog(spark, root)
         self.partition_expr, self.full_scope = partition_expr, tuple(full_scope)
 
-    def _read(self, parts: list[str], schema: T.StructType, current: bool) -> DataFrame:
-        """Rows of ``parts``; the current flag is the folder they sit in."""
+    def _read(self, parts: list[str], entry: dict, current: bool) -> DataFrame:
+        """Rows of ``parts`` in the newest schema; the current flag is the folder they sit in.
+
+        A part is read through the schema it was written with and reshaped at
+        read time for every schema change since. Current rows from before a
+        change get their hash over today's payload, so that the next load sees
+        real changes only.
+        """
+        names = [f["name"] for f in entry["schema"]["fields"]]
         if not parts:
-            return self.spark.createDataFrame([], schema)
-        stored = T.StructType([f for f in schema.fields if f.name != v.CURRENT])
-        df = self.spark.read.schema(stored).parquet(*[self.log.part_path(p) for p in parts])
-        return df.withColumn(v.CURRENT, F.lit(current)).select(*[F.col(f"`{n}`") for n in schema.names])
+            return self.spark.createDataFrame([], T.StructType.fromJson(entry["schema"]))
+        targets, out = entry.get("targets", []), None
+        for level, some in _by_level(parts, entry).items():
+            schema = T.StructType.fromJson(entry["schemas"][level])
+            stored = T.StructType([f for f in schema.fields if f.name != v.CURRENT])
+            df = self.spark.read.schema(stored).parquet(*[self.log.part_path(p) for p in some])
+            df = df.withColumn(v.CURRENT, F.lit(current)).select(*[F.col(f"`{n}`") for n in schema.names])
+            for target in targets[level:]:
+                df = evolve(df, T.StructType.fromJson(target))
+            if current and level < len(targets):
+                df = df.withColumn(v.HASH, delta_hash(list(self.spec.payload)))
+            df = df.select(*[F.col(f"`{n}`") for n in names])
+            out = df if out is None else out.unionByName(df)
+        return out
 
     def current(self, partitions: set[str] | None = None, entry: dict | None = None) -> DataFrame | None:
         """Current rows (of the given partition folders only, if given)."""
@@ -278,30 +296,24 @@ class FactTable:
         if entry is None:
             return None
         parts = [p for name, p in entry["current"].items() if partitions is None or name in partitions]
-        return self._read(parts, T.StructType.fromJson(entry["schema"]), True)
+        return self._read(parts, entry, True)
 
     def read(self, entry: dict | None = None) -> DataFrame | None:
         """All versions (history and current rows)."""
         entry = entry or self.log.latest()
         if entry is None:
             return None
-        schema = T.StructType.fromJson(entry["schema"])
-        return self._read(entry["history"], schema, False).unionByName(
-            self._read(list(entry["current"].values()), schema, True))
+        return self._read(list(entry["history"]), entry, False).unionByName(self._read(list(entry["current"].values()), entry, True))
 
     def as_of(self, day) -> DataFrame | None:
-        """Rows valid on ``day``. A history part holds the rows one load
-        closed, all with that load's date as ``valid_to``; parts closed on
-        or before ``day`` cannot hold a row valid on ``day`` and are not
-        read, so an as-of read of a recent day skips most of the history."""
+        """Rows valid on ``day``. A history part holds rows that were opened on
+        one day and closed on another, both in the log: only parts whose
+        interval holds ``day`` are read, besides the current rows."""
         entry = self.log.latest()
         if entry is None:
             return None
-        schema = T.StructType.fromJson(entry["schema"])
-        closed_on = entry.get("closed_on", {})
-        history = [p for p in entry["history"] if closed_on.get(p) is None or closed_on[p] > str(day)]
-        rows = self._read(history, schema, False).unionByName(
-            self._read(list(entry["current"].values()), schema, True))
+        history = [p for p, (opened, closed) in entry["history"].items() if opened <= str(day) < closed]
+        rows = self._read(history, entry, False).unionByName(self._read(list(entry["current"].values()), entry, True))
         return v.as_of(rows, day)
 
     def _partition(self) -> Column:
@@ -355,14 +367,16 @@ class FactTable:
             closed, written = self._write(nxt, _stage("load", version))
             current = {name: p for name, p in previous.items() if name not in touched}
             current.update(written)
+            level = len(entry.get("targets", [])) if entry else 0
             try:
                 self.log.commit({
                     "version": version,
-                    "history": (entry["history"] if entry else []) + ([closed] if closed else []),
-                    "closed_on": dict(entry.get("closed_on", {}) if entry else {},
-                                      **({closed: str(stamp.load_date)} if closed else {})),
+                    "history": dict(entry["history"] if entry else {}, **{p: [opened, str(stamp.load_date)] for p, opened in closed.items()}),
                     "current": current,
                     "schema": nxt.schema.jsonValue(),
+                    "schemas": (entry["schemas"][:level] if entry else []) + [nxt.schema.jsonValue()],
+                    "targets": entry.get("targets", []) if entry else [],
+                    "levels": dict(entry["levels"] if entry else {}, **{p: level for p in [*closed, *written.values()] if level}),
                     "load_date": str(stamp.load_date),
                     "batches": _batches(entry, batch_id),
                 })
@@ -387,44 +401,45 @@ class FactTable:
         written = self.spark.read.schema(prepared.schema).parquet(path)
         return v.last_rows(written, self.spec.keys, marks).drop(*marks)
 
-    def _write(self, df: DataFrame, stage: str) -> tuple[str | None, dict[str, str]]:
-        """One job writes a version's rows: closed rows under the current flag
-        false, current rows under true (in partition folders). Returns the
-        closed part (None if empty) and the current folders."""
-        if self.partition_expr is None:
-            df.write.mode("overwrite").partitionBy(v.CURRENT).parquet(self.log.part_path(stage))
-            closed, cur = f"{stage}/{v.CURRENT}=false", f"{stage}/{v.CURRENT}=true"
-            written = {WHOLE: cur} if self.log.exists(cur) else {}
-        else:
-            # The rebalance hint lets AQE merge small partitions and split big
-            # ones, so each folder gets files near the advisory size.
-            part = F.when(F.col(v.CURRENT), self._partition()).otherwise(F.lit(None).cast("string"))
-            (df.withColumn(PART, part).hint("rebalance", v.CURRENT, PART).write.mode("overwrite")
-                .partitionBy(v.CURRENT, PART).parquet(self.log.part_path(stage)))
-            closed = f"{stage}/{v.CURRENT}=false/{PART}={NULL_PARTITION}"
-            written = {name: f"{stage}/{v.CURRENT}=true/{name}"
-                       for name in self.log.list_dirs(f"{stage}/{v.CURRENT}=true")}
-        return (closed if self.log.exists(closed) else None), written
+    def _write(self, df: DataFrame, stage: str) -> tuple[dict[str, str], dict[str, str]]:
+        """One job writes a version's rows: current rows in their partition
+        folders, closed rows in one folder for each day they were opened on
+        (at most as many as loads before). Returns closed part -> that day and
+        current folder -> part."""
+        part = F.when(F.col(v.CURRENT), self._partition()).otherwise(F.col(v.VALID_FROM).cast("string"))
+        # The rebalance hint lets AQE merge small partitions and split big
+        # ones, so each folder gets files near the advisory size.
+        (df.withColumn(PART, part).hint("rebalance", v.CURRENT, PART).write.mode("overwrite")
+            .partitionBy(v.CURRENT, PART).parquet(self.log.part_path(stage)))
+        closed, current = f"{stage}/{v.CURRENT}=false", f"{stage}/{v.CURRENT}=true"
+        return ({f"{closed}/{name}": name.removeprefix(f"{PART}=") for name in self.log.list_dirs(closed)},
+                {(WHOLE if self.partition_expr is None else name): f"{current}/{name}" for name in self.log.list_dirs(current)})
 
     def evolve(self, target: T.StructType, spec: v.VersionSpec) -> int:
         """Change the schema keeping old values (dropped or retyped columns
         live on as ``<c>_legacy``, carried into later versions) and switch to
-        ``spec``. Current rows get their change hash recomputed over the new
-        payload, so the next load sees only real changes. History and current
-        rows are rewritten once; the previous version stays as the back-up."""
+        ``spec``. Only the log is written: stored parts keep the schema they
+        were written with and are reshaped when they are read, until a load
+        rewrites their partition. The previous version stays as the back-up."""
         entry = self.log.latest()
         if entry is None:
             raise ValueError("no committed version to evolve")
-        evolved = evolve(self.read(entry), target).withColumn(
-            v.HASH, F.when(F.col(v.CURRENT), delta_hash(list(spec.payload))).otherwise(F.col(v.HASH)))
         self.spec = spec
+        schema = evolve(self.spark.createDataFrame([], T.StructType.fromJson(entry["schema"])), target).schema.jsonValue()
         version = entry["version"] + 1
-        closed, written = self._write(evolved, _stage("load", version))
-        self.log.commit({"version": version, "history": [closed] if closed else [], "current": written, "load_date": entry.get("load_date"),
-                         "schema": evolved.schema.jsonValue(), "batches": _batches(entry, None)})
+        self.log.commit(entry | {"version": version, "schema": schema, "schemas": entry["schemas"] + [schema],
+                                 "targets": entry.get("targets", []) + [target.jsonValue()]})
         return version
 
 
+def _by_level(parts: list[str], entry: dict) -> dict[int, list[str]]:
+    """Parts by the number of schema changes that came before they were written."""
+    found: dict[int, list[str]] = {}
+    for p in parts:
+        found.setdefault(entry.get("levels", {}).get(p, 0), []).append(p)
+    return dict(sorted(found.items()))
+
+
 def publish_current_view(table: FactTable, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The reporting view over an external catalog table of the stored files.
 
@@ -437,6 +452,8 @@ def publish_current_view(table: FactTable, name: str, columns: Sequence[str] | N
     entry = table.log.latest()
     if entry is None:
         raise ValueError(f"table at {table.log.root} has no committed version")
+    if len(_by_level([*entry["current"].values()], entry)) > 1:
+        raise ValueError("parts from before a schema change: load or rewrite their partitions first")
     spark = table.spark
     fields = T.StructType.fromJson(entry["schema"]).fields
     stored = f"{name}_stored"

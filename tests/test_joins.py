@@ -65,3 +65,15 @@ def test_hot_key_full_merge_and_upsert(spark):
     kept = u.upsert(left, batch, ["k"])
     assert kept.filter("k = 'hot'").count() == 1 and kept.filter("k IS NULL").count() == 1
     assert kept.count() == len(rows) - 1000 - sum(1 for _, k in rows if k is None) + 2
+
+
+def test_many_look_up_rows_without_a_key_count_as_one(spark):
+    from ledgerlake.operators.joins import merge, one_null_row
+
+    left = spark.range(1000).selectExpr("id", "IF(id % 2 = 0, NULL, CAST(id % 5 AS STRING)) AS k")
+    look = spark.range(500).selectExpr("IF(id < 400, NULL, CAST(id % 5 AS STRING)) AS k", "CAST(500 - id AS STRING) AS a", "id AS b")
+    one = one_null_row(look, "k")
+    assert one.columns == look.columns and one.where("k IS NULL").collect()[0]["a"] == "101"  # the smallest as text
+    assert one.count() == 101 and merge(left, one, ["k"], "left").where("k IS NULL").count() == 500
+    assert one_null_row(look.where("k IS NOT NULL"), "k").count() == 100  # none, none added
+    assert one_null_row(look.where("false"), "k").count() == 0

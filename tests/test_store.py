@@ -173,11 +173,12 @@ def test_as_of_reads_only_history_closed_after_the_day(spark, tmp_dir):
     t.load(spark.createDataFrame([("1", "y")], "k string, a string"), S2)
     t.load(spark.createDataFrame([("1", "z")], "k string, a string"), S3)
     entry = t.log.latest()
-    assert sorted(entry["closed_on"].values()) == ["2024-02-01", "2024-03-01"]
+    assert sorted(closed for _, closed in entry["history"].values()) == ["2024-02-01", "2024-03-01"]
     for day, want in [("2024-01-15", "x"), ("2024-02-15", "y"), ("2024-03-15", "z")]:
         assert [r["a"] for r in t.as_of(day).collect()] == [want]
     files = t.as_of("2024-02-15").inputFiles()
-    assert not any(entry["history"][0] in f for f in files)  # closed 2024-02-01: skipped
+    skipped = next(part for part, (_, closed) in entry["history"].items() if closed == "2024-02-01")
+    assert not any(skipped in f for f in files)
 
 
 def test_repeated_key_in_a_batch_gives_one_version(spark, tmp_dir):
@@ -236,3 +237,41 @@ def test_bucketed_table(spark, tmp_dir):
         t.upsert(spark.createDataFrame([(2, 7)], "a int, d int"))
     again = BucketedTable(spark, "bucketed_small", tmp_dir + "/b", ["a", "b"], buckets=4)
     assert again.state()["version"] == 3 and again.state()["batches"] == {"r": 1}
+
+
+def test_as_of_reads_only_parts_whose_interval_holds_the_day(spark, tmp_dir):
+    """Four loads; key 1 changes each time, key 2 in the last only, key 3 never."""
+    t = FactTable(spark, tmp_dir + "/intervals", SPEC)
+    days = ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
+    for i, day in enumerate(days):
+        t.load(spark.createDataFrame([("1", f"x{i}"), ("2", "y" if i < 3 else "Y"), ("3", "z")], "k string, a string"), v.LoadStamp(day, "run", f"{day} 01:00:00"))
+    history = t.log.latest()["history"]
+    assert sorted(history.values()) == sorted([[days[0], days[1]], [days[1], days[2]], [days[0], days[3]], [days[2], days[3]]])
+    for i, day in enumerate(days):
+        read = t.as_of(day)
+        assert {r["k"]: r["a"] for r in read.collect()} == {"1": f"x{i}", "2": "y" if i < 3 else "Y", "3": "z"}
+        parts = {p for p in history if any(p in f for f in read.inputFiles())}
+        assert parts == {p for p, (a, b) in history.items() if a <= day < b} and len(parts) == (2 if i < 3 else 0)
+
+
+def test_schema_change_rewrites_nothing_and_the_next_load_sees_real_changes(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    spec = v.VersionSpec(keys=("k",), payload=("k", "p", "a", "n"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/levels", spec, partition_expr="`p`")
+    t.load(spark.createDataFrame([(k, p, "gone", n) for k, p, n in (("1", "x", "1"), ("2", "x", "2"), ("3", "y", "3"), ("4", "z", "bad"))], "k string, p string, a string, n string"), S1)
+    before = t.log.latest()
+    fields = T.StructType.fromJson(before["schema"]).fields
+    new = v.VersionSpec(keys=("k",), payload=("k", "p", "n"), record_type="T")
+    t.evolve(T.StructType([T.StructField(f.name, T.IntegerType() if f.name == "n" else f.dataType) for f in fields if f.name != "a"]), new)
+    after = t.log.latest()
+    assert after["current"] == before["current"] and after["history"] == before["history"]  # the log alone was written
+    t = FactTable(spark, tmp_dir + "/levels", new, partition_expr="`p`")  # opened again
+    t.load(spark.createDataFrame([("1", "x", 1), ("2", "x", 22), ("5", "w", 5)], "k string, p string, n int"), S2)
+    now = t.log.latest()
+    assert now["current"]["__part=y"] == before["current"]["__part=y"] and now["current"]["__part=x"] != before["current"]["__part=x"]
+    rows = {r["k"]: (r["n"], r["n_legacy"], r["a_legacy"], r[v.VERSION]) for r in t.current().collect()}
+    assert rows == {"1": (1, "1", "gone", 1), "2": (22, "2", "gone", 2), "3": (3, "3", "gone", 1), "4": (None, "bad", "gone", 1), "5": (5, None, None, 1)}
+    assert t.read().count() == 6 and {r["k"] for r in t.as_of("2024-01-15").collect()} == {"1", "2", "3", "4"}
+    t.load(spark.createDataFrame([("3", "y", 3), ("4", "z", None)], "k string, p string, n int"), v.LoadStamp("2024-03-01", "run", "2024-03-01 01:00:00"))
+    assert {r[v.VERSION] for r in t.current().where("k IN ('3', '4')").collect()} == {1}
