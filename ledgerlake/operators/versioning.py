@@ -161,9 +161,17 @@ def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     key with a third of all rows meets one row, and AQE splits or broadcasts
     that join.
     """
+    return keep_last(df, keys, order, repeated_keys(df, keys, order))
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keys of several rows (``__r0``, ...) and the order values of their last row."""
+    return df.groupBy(*[_c(k).alias(f"__r{i}") for i, k in enumerate(keys)]).agg(
+        F.max(F.struct(*[_c(o) for o in order])).alias("__last"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+
+
+def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], repeated: DataFrame) -> DataFrame:
     last = F.struct(*[_c(o) for o in order])
-    repeated = df.groupBy(*[_c(k).alias(f"__r{i}") for i, k in enumerate(keys)]).agg(
-        F.max(last).alias("__last"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
     met = df.join(repeated, key_match(df, repeated, [(k, f"__r{i}") for i, k in enumerate(keys)], True), "left")
     return met.where(F.col("__n").isNull() | last.eqNullSafe(F.col("__last"))).select(*[_c(c) for c in df.columns])
 

@@ -399,7 +399,12 @@ class FactTable:
         path = scratch_path(self.spark, "fact-batch")
         prepared.write.parquet(path)
         written = self.spark.read.schema(prepared.schema).parquet(path)
-        return v.last_rows(written, self.spec.keys, marks).drop(*marks)
+        repeated = v.repeated_keys(written, self.spec.keys, marks)
+        repeated.write.parquet(f"{path}-repeated")
+        repeated = self.spark.read.schema(repeated.schema).parquet(f"{path}-repeated")
+        if not repeated.isEmpty():  # else every row is its key's last, and wide rows need not move
+            written = v.keep_last(written, self.spec.keys, marks, repeated)
+        return written.drop(*marks)
 
     def _write(self, df: DataFrame, stage: str) -> tuple[dict[str, str], dict[str, str]]:
         """One job writes a version's rows: current rows in their partition
