@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -93,8 +94,8 @@ class Features:
         near = sum(any(x in self.you for x in w[max(0, i - NEAR):i + NEAR + 1]) for i in hits)
         hidden = [m.translate(LEET, b"#.") for m in DISGUISED.findall(raw.lower())]
         unmasked = sum(1 for x in hidden if x in self.insults or self.weight(x) > 0)
-        capitals = size - len(raw.translate(None, CAPITALS))
-        marks = size - len(raw.translate(None, PUNCTUATION))
+        capitals = len(raw) - len(raw.translate(None, CAPITALS))
+        marks = len(raw) - len(raw.translate(None, PUNCTUATION))
         return [
             math.log1p(len(w)), len(hits) / n, math.log1p(len(hits)), float(weight.sum()) / n, math.log1p(float(weight.sum())), float(weight.max(initial=0.0)),
             math.log1p(often), often / n, math.log1p(len({w[i] for i in hits})), insults / n, math.log1p(insults), near / n, near / max(1, len(hits)),
@@ -179,20 +180,47 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, max_rows: int) -> DataFrame:
+    """(key, text, y): the drawn rows outside the held-out third, each text once, toxic if any label of it says so."""
+    known = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(doc_id).agg(F.max(F.col(label).cast("int")).alias("_y"))
+             .where(~held_out(doc_id)))
+    n = known.count()
+    drawn = known.where(F.pmod(F.xxhash64(F.col(doc_id), F.lit(SEED)), F.lit(1 << 30)) < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
+    rows = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(drawn, doc_id)
+    return rows.groupBy(F.xxhash64("_text").alias("key")).agg(F.first("_text").alias("text"), F.max("_y").alias("y"))
+
+
+def out_of_fold(table: DataFrame, boost: GBTClassifier, each: list[tuple[int, int]]) -> DataFrame:
+    """(label, _margin) of every row, from trees that have not seen the row's fold.
+
+    ``each``: toxic and clean rows of every fold. Where the other folds have
+    rows of one kind only, the margin is their share of toxic rows.
+    """
+    parts = []
+    for i, (toxic, clean) in enumerate(each):
+        if not toxic + clean:
+            continue
+        k, n = (sum(x[j] for h, x in enumerate(each) if h != i) for j in (0, 1))
+        own = table.where(F.col("fold") == i)
+        if k and n:
+            trees = boost.fit(table.where(F.col("fold") != i))
+            parts.append(trees.transform(own).select("label", vector_to_array("_probability")[1].alias("_margin")))
+        else:
+            parts.append(own.select("label", F.lit(k / max(1, k + n)).alias("_margin")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
           max_rows: int = MAX_ROWS) -> Model:
     """Learns from labelled rows outside the held-out third.
 
-    Repeated labels of an id count once (toxic if any says so), equal texts
-    once; null ids and null labels teach nothing. Without rows of both kinds
-    the model is their share (0 without rows).
+    Repeated labels of an id and labels of equal texts count once (toxic if any
+    says so); null ids and null labels teach nothing. Without rows of both
+    kinds the model is their share (0 without rows). The calibration learns
+    from margins that each row gets by trees of the other folds, however few
+    rows there are.
     """
-    known = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(doc_id).agg(F.max(F.col(label).cast("int")).alias("y"))
-             .where(~held_out(doc_id)))
-    n = known.count()
-    drawn = known.where(F.pmod(F.xxhash64(F.col(doc_id), F.lit(SEED)), F.lit(1 << 30)) < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
-    rows = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text")).join(drawn, doc_id)
-    rows = stage(rows.withColumn("key", F.xxhash64("text")).dropDuplicates(["key"]).select("text", "y", "key"), "toxicity-rows")
+    rows = stage(labelled_texts(docs, labels, text, doc_id, label, max_rows), "toxicity-rows")
     both = rows.agg(F.count("*"), F.sum("y")).first()
     if not both[0] or both[1] in (0, both[0]):
         return Model(Features({}), None, None, float(both[1] or 0) / max(1, both[0]))
@@ -210,20 +238,24 @@ def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str
         return pd.Series([of[i].of(t) for t, i in zip(texts, folds)])
 
     table = stage(rows.select(features("text", "fold").alias("f"), "y", "fold"), "toxicity-features").select(
-        array_to_vector("f").alias("_features"), F.col("y").cast("double").alias("label"), "fold")
-    # With few toxic rows all folds calibrate; else the last fold does and the trees never see it.
-    fit, tune = (table, table) if toxic < 100 else (table.where(F.col("fold") < FOLDS - 1), table.where(F.col("fold") == FOLDS - 1))
-    fit = fit.cache()
+        array_to_vector("f").alias("_features"), F.col("y").cast("double").alias("label"), "fold").cache()
     boost = GBTClassifier(featuresCol="_features", labelCol="label", predictionCol="_prediction", maxIter=15, maxDepth=3, stepSize=0.3, seed=SEED)
-    trees = boost.setRawPredictionCol("_raw").setProbabilityCol("_probability").fit(fit)
-    margin = trees.transform(tune).select("label", vector_to_array("_probability")[1].alias("_margin"))
+    boost = boost.setRawPredictionCol("_raw").setProbabilityCol("_probability")
+    margin = out_of_fold(table, boost, each)
     isotonic = IsotonicRegression(featuresCol="_margin", labelCol="label", predictionCol="_calibrated").fit(margin)
-    fit.unpersist()
+    trees = boost.fit(table)
+    table.unpersist()
     return Model(f, trees, isotonic, float(both[1]) / both[0])
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with held_out, score and predicted (1 from ``threshold`` on); input columns of these names are replaced."""
+    """``docs`` with held_out, score and predicted (1 from ``threshold`` on); input columns of these names are replaced.
+
+    Every row is scored over its whole text, however long, and repeated rows
+    alike. A null or empty text is scored on its numbers like any other, a null
+    id is not held out, a score on the threshold counts as toxic. An empty
+    table gives an empty table.
+    """
     m = train(docs, labels, text=text, doc_id=doc_id, **options)
     return (m.score(replace_columns(docs, ["held_out", "score", "predicted"]), text).withColumns(
         {"held_out": held_out(doc_id), "predicted": (F.col("score") >= threshold).cast("int")}))
