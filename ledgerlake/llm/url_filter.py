@@ -14,7 +14,7 @@ from itertools import product
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -25,21 +25,22 @@ DIMENSIONS = 1 << 15
 SIZES = (3, 4, 5)
 MAX_RULES = 1000
 
-# Host words of unwanted and of wanted sites, and the shapes in which the training table uses them.
+# Host words of unwanted and of wanted sites, and the shapes of hosts and paths in which the default training table uses them.
 BLOCK_WORDS = ["casino", "poker", "bets", "betting", "slots", "jackpot", "lottery", "pills", "pharma", "viagra", "adult", "porn", "xxx", "sex",
                "escort", "spam", "ads", "adserver", "track", "tracker", "click", "popup", "malware", "warez", "torrent", "crack", "loans", "payday", "replica", "cheap"]
 ALLOW_WORDS = ["news", "library", "museum", "garden", "school", "science", "history", "weather", "music", "travel", "recipes", "health", "sports", "forum", "wiki",
                "journal", "research", "university", "books", "city", "river", "mountain", "theatre", "radio", "paper", "letters", "kitchen", "photo", "software",
-               "hardware", "docs", "support", "shop", "market", "house", "nature", "animals", "language", "stories", "teachers", "there", "other", "nation", "station", "thing", "building", "morning", "evening", "spring", "reading", "writing", "cooking"]
-HOSTS = ["{w}.example.com", "www.{w}.example.org", "m.{w}.example.net", "blog.{w}.example.com", "{w}-win.example.org", "free-{w}.example.net"]
-ALLOW_HOSTS = ["{w}.example.com", "www.{w}.example.org", "m.{w}.example.net", "blog.{w}.example.com", "{w}-home.example.org", "my-{w}.example.net"]
-PATHS = ["/en/1024", "/de/77.html", "/fr/3105/", ""]
+               "hardware", "docs", "support", "shop", "market", "house", "nature", "animals", "language", "stories", "teachers"]
+HOSTS = ["{w}.com", "www.{w}.org", "m.{w}.net", "blog.{w}.de", "{w}-online.fr", "my{w}.info", "{w}24.co.uk", "the-{w}.es", "static.{w}hub.io"]
+PATHS = ["", "/", "/index.html", "/en/{n}", "/2024/05/{n}.html", "/{w}/page-{n}", "/item.php", "/a/b/{n}/", "/{w}.pdf"]
+#: Rows of a labelled table that may be given.
+MAX_LABELLED = 100_000
 
 
 def labelled_urls() -> list[tuple[str, int]]:
     """The default training table (url, 1 to block): every word in every host shape, the paths in turn."""
-    rows = [(h.format(w=w), 1) for w, h in product(BLOCK_WORDS, HOSTS)] + [(h.format(w=w), 0) for w, h in product(ALLOW_WORDS, ALLOW_HOSTS)]
-    return [("https://" + host + PATHS[i % len(PATHS)], y) for i, (host, y) in enumerate(rows)]
+    rows = [(w, h, y) for words, y in ((BLOCK_WORDS, 1), (ALLOW_WORDS, 0)) for w, h in product(words, HOSTS)]
+    return [("https://" + h.format(w=w) + PATHS[(i + i // len(HOSTS)) % len(PATHS)].format(w=w, n=i), y) for i, (w, h, y) in enumerate(rows)]
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -57,7 +58,7 @@ def grams(host: str, path: str) -> dict[int, float]:
         raw = s.encode("utf-8", "surrogatepass")
         for n in SIZES:
             counts.update(zlib.crc32(raw[i:i + n], kind) % DIMENSIONS for i in range(len(raw) - n + 1))
-    norm = sum(v * v for v in counts.values()) ** 0.5
+    norm = sum(v * v for v in counts.values()) ** 0.5 or 1.0
     return {k: v / norm for k, v in counts.items()}
 
 
@@ -70,15 +71,25 @@ class Model:
         return float(1 / (1 + np.exp(-x)))
 
 
-def train(spark: SparkSession, labelled: list[tuple[str, int]] | None = None) -> Model:
-    """Fits the weights on a small labelled table (url, 1 to block)."""
-    @F.udf(VectorUDT())
-    def vector(host: str, path: str):
-        return Vectors.sparse(DIMENSIONS, sorted(grams(host, path).items()))
+def train(spark: SparkSession, labelled: DataFrame | list[tuple[str, int]] | None = None) -> Model:
+    """Fits the weights on a small labelled table (url, y: 1 to block) of at most ``MAX_LABELLED`` rows.
 
-    table = spark.createDataFrame(labelled if labelled is not None else labelled_urls(), "url string, y int")
+    Rows with a null label teach nothing. Without rows of both labels every
+    url has the share of label 1 for a score (0 without rows).
+    """
+    @F.pandas_udf(VectorUDT())
+    def vector(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
+        found = [sorted(grams(h, p).items()) for h, p in zip(hosts, paths)]  # sparse vectors, in the columns of their type
+        return pd.DataFrame({"type": 0, "size": DIMENSIONS, "indices": [[k for k, _ in x] for x in found], "values": [[v for _, v in x] for x in found]})
+
+    table = labelled if isinstance(labelled, DataFrame) else spark.createDataFrame(labelled_urls() if labelled is None else labelled, "url string, y int")
+    n, bad = table.where("y is not null").agg(F.count("*"), F.coalesce(F.sum(F.col("y").cast("int")), F.lit(0))).first()
+    if n > MAX_LABELLED:
+        raise ValueError(f"more than {MAX_LABELLED} labelled urls")
+    if bad in (0, n):
+        return Model(np.zeros(DIMENSIONS), np.inf if bad else -np.inf)
     host, path = split_url(F.col("url"))
-    rows = table.select(vector(host, path).alias("features"), F.col("y").cast("double").alias("label"))
+    rows = table.where("y is not null").select(vector(host, path).alias("features"), F.col("y").cast("double").alias("label"))
     fitted = LogisticRegression(regParam=0.0005, maxIter=100).fit(rows)
     return Model(fitted.coefficients.toArray(), float(fitted.intercept))
 
@@ -103,13 +114,15 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return (none, none) if rule is None else (rule, verdict)
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], *, url: str = "url", labelled: list[tuple[str, int]] | None = None, threshold: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]], *, url: str = "url", labelled: DataFrame | list[tuple[str, int]] | None = None, threshold: float = 0.5) -> DataFrame:
     """``pages`` with host, path, rule, score and verdict (allow or block: the rule's, else the model's).
 
     Every row is judged. Null urls and urls without ``://`` have empty host
     and path, fit no rule and are scored as such; repeated urls are judged
-    alike; a very long url is one row and is read once. Input columns named
-    like the added ones are replaced.
+    alike; a very long url is one row and is read once. Of rules of equal
+    length the first in code-point order wins; a score on the threshold
+    blocks. Input columns named like the added ones are replaced. An empty
+    table gives no rows. ``labelled``: see ``train``.
     """
     shared = share(pages.sparkSession, train(pages.sparkSession, labelled))  # DIMENSIONS weights
 

@@ -1,0 +1,51 @@
+"""URL filter: score by brute force, accuracy on hosts and paths of other shapes, tables of one label."""
+
+import math
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.llm import url_filter
+
+OTHER_HOSTS = ["{w}.example.org", "en.{w}world.com", "best-{w}.nl", "{w}s.co", "old.the{w}.eu"]
+OTHER_PATHS = ["/start", "/x?id=3", "/de/77.html#top", "", "/2011/archive/9"]
+
+
+def test_accuracy_on_other_shapes(spark):
+    rows = [(f"http://{h.format(w=w)}{p}", y) for words, y in ((url_filter.BLOCK_WORDS, "block"), (url_filter.ALLOW_WORDS, "allow"))
+            for w in words for h, p in zip(OTHER_HOSTS, OTHER_PATHS)]
+    shapes = {h.replace("{w}", "") for h in url_filter.HOSTS}
+    assert not shapes & {h.replace("{w}", "") for h in OTHER_HOSTS}
+    got = url_filter.judge(spark.createDataFrame(rows, "url string, wanted string"), []).select(F.avg((F.col("verdict") == F.col("wanted")).cast("int"))).first()[0]
+    print("accuracy", got)
+    assert got >= 0.95
+
+
+def _score(model, host, path):
+    counts = {}
+    for kind, s in ((0, f"^{host}$"), (1, f"{path.lower()}$")):
+        raw = "".join("0" if c.isdigit() else c for c in s).encode()
+        for n in (3, 4, 5):
+            for i in range(len(raw) - n + 1):
+                k = zlib.crc32(raw[i:i + n], kind) % len(model.weights)
+                counts[k] = counts.get(k, 0) + 1
+    norm = math.sqrt(sum(v * v for v in counts.values())) or 1
+    return 1 / (1 + math.exp(-model.intercept - sum(model.weights[k] * v / norm for k, v in counts.items())))
+
+
+def test_scores_by_brute_force(spark):
+    urls = ["http://www.poker-7.org/en/1", "https://Wiki.example.net/A/b?c", "x://", None, "no scheme", "http://é.fr/ü#x", "http://" + "a9" * 9000]
+    model = url_filter.train(spark)
+    split = [("www.poker-7.org", "/en/1"), ("wiki.example.net", "/A/b"), ("", ""), ("", ""), ("", ""), ("é.fr", "/ü"), ("a9" * 9000, "")]
+    got = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "i int, url string"), []).orderBy("i").collect()
+    assert [r["score"] for r in got] == pytest.approx([_score(model, h, p) for h, p in split], abs=1e-6)
+    assert [r["verdict"] for r in got] == ["block" if r["score"] >= 0.5 else "allow" for r in got]
+
+
+def test_labelled_tables(spark):
+    pages = spark.createDataFrame([("http://good.com/",), ("http://bad.com/",)], "url string")
+    table = spark.createDataFrame([("http://good.com/a", 0), ("http://bad.com/b", 1), ("http://bad.com/c", None)], "url string, y int")
+    for labelled, expected in ((table, ["block", "allow"]), (table.where("y = 1"), ["block", "block"]), (table.where("false"), ["allow", "allow"]), (table.where("y = 0").collect(), ["allow", "allow"])):
+        got = url_filter.judge(pages, [], labelled=[tuple(r) for r in labelled] if isinstance(labelled, list) else labelled)
+        assert [r["verdict"] for r in got.orderBy("url").collect()] == expected
