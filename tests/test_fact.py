@@ -3,10 +3,13 @@ import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.functions.hashing import row_id
 from ledgerlake.operators import evolve as ev
 from ledgerlake.operators import fact as fx
+from ledgerlake.operators.joins import merge
 from ledgerlake.schemas import FACT_NAMES, FACT_PAYLOAD, FACT_SCHEMA
 
 
@@ -76,3 +79,56 @@ def test_bucketed_join_needs_no_exchange(spark, tmp_dir):
         assert "Exchange" not in plan and j.count() == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def _four(spark):
+    lines = spark.createDataFrame([("L1", "I1", "T1"), ("L2", "I2", None), ("L3", "gone", "T1"), ("L4", None, "T9"), ("L5", "I3", None)],
+                                  "line_id string, invoice_id string, timekeeper_id string")
+    inv = spark.createDataFrame([("I1", "M1", "P"), ("I2", None, "O"), ("I3", "M9", "P"), ("I1", "M1", "again")], "invoice_id string, matter_ref string, invoice_status string")
+    mat = spark.createDataFrame([("M1", "one"), (None, "none a"), (None, "none b"), ("M1", "one more")], "matter_ref string, matter string")
+    keepers = spark.createDataFrame([("T1", "Ann"), (None, "nobody")], "timekeeper_id string, timekeeper string")
+    return lines, inv, mat, keepers
+
+
+def test_wide_rows_are_those_of_the_joins_in_turn(spark):
+    lines, inv, mat, keepers = _four(spark)
+    want = merge(merge(merge(lines, inv, ["invoice_id"], "left"), mat, ["matter_ref"], "left"), keepers, ["timekeeper_id"], "left")
+    got = fx.joined_sources(lines, inv, mat, keepers)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert got.where("line_id = 'L3'").count() == 2  # no invoice: every matter without a reference
+
+
+def _moved(spark, df, marker):
+    """Columns of the shuffles whose rows hold ``marker``, in the initial plan."""
+    found = []
+
+    def walk(node):
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+        if "Exchange" in node.nodeName():
+            found.append([node.output().apply(i).name() for i in range(node.output().size())])
+    walk(df._jdf.queryExecution().executedPlan().initialPlan())
+    return [c for c in found if marker in c]
+
+
+def test_lines_move_once_for_invoices_and_matters(spark):
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines, inv, mat, keepers = (df.repartition(2) for df in _four(spark))
+        out = fx.joined_sources(lines.withColumn("line_type", F.lit("x")), inv, mat, keepers)
+        with_matter = [c for c in _moved(spark, out, "line_id") if "invoice_status" in c and "matter" not in c]
+        assert len(with_matter) <= 1  # the lines that have no invoice, for the matters without a reference
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_clustered_moves_no_ids(spark):
+    lines, inv, mat, keepers = _four(spark)
+    joined = fx.joined_sources(lines, inv, mat, keepers)
+    plain = fx.clustered(fx.finished_wide(joined, "SRC"))
+    out = fx.clustered(joined, dealt_by=row_id(fx.LINE, ["line_id"]), made=lambda df: fx.finished_wide(df, "SRC"))
+    assert out.schema == plain.schema and sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    places = [[(r["fact_guid"], r["p"]) for r in df.withColumn("p", F.spark_partition_id()).collect()] for df in (out, plain)]
+    assert places[0] == places[1]  # same partitions, same order
+    assert not _moved(spark, out, "fact_guid") and _moved(spark, plain, "fact_guid")
