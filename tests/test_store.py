@@ -275,3 +275,58 @@ def test_schema_change_rewrites_nothing_and_the_next_load_sees_real_changes(spar
     assert t.read().count() == 6 and {r["k"] for r in t.as_of("2024-01-15").collect()} == {"1", "2", "3", "4"}
     t.load(spark.createDataFrame([("3", "y", 3), ("4", "z", None)], "k string, p string, n int"), v.LoadStamp("2024-03-01", "run", "2024-03-01 01:00:00"))
     assert {r[v.VERSION] for r in t.current().where("k IN ('3', '4')").collect()} == {1}
+
+
+def _parts(root):
+    """Wide parquet files under ``root``, scratch included: (folder below root, rows)."""
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+    return sorted((os.path.relpath(os.path.dirname(f), root), pq.ParquetFile(f).metadata.num_rows) for f in glob.glob(f"{root}/**/*.parquet", recursive=True))
+
+
+def test_first_load_writes_its_rows_once(spark, tmp_dir, monkeypatch):
+    """No copy of the batch beside the parts, and no shuffle of whole rows into few folders."""
+    from ledgerlake.sinks import versioned_dir as vd
+
+    monkeypatch.setattr(vd, "scratch_path", lambda _, name: f"{tmp_dir}/scratch/{name}")
+    t = FactTable(spark, tmp_dir + "/fact", SPEC)
+    t.load(spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "'x' AS a"), S1)
+    assert sum(n for _, n in _parts(tmp_dir)) == 1000
+    assert t.current().count() == 1000
+
+
+def test_repeated_keys_of_a_first_load(spark, tmp_dir):
+    """The last row of each key, whole table or by partition; the order columns stay out of the table."""
+    rows = [(str(i % 50), f"a{i:03d}", "p%d" % (i % 2)) for i in range(200)] + [(None, "n1", "p0"), (None, "n2", "p0")]
+    spec = v.VersionSpec(keys=("k",), payload=("k", "a", "p"), record_type="T")
+    for name, expr in (("whole", None), ("parts", "p")):
+        t = FactTable(spark, f"{tmp_dir}/{name}", spec, partition_expr=expr)
+        t.load(spark.createDataFrame(rows, "k string, a string, p string"), S1)
+        got = {r["k"]: r["a"] for r in t.current().collect()}
+        assert got == {**{str(i): f"a{i + 150:03d}" for i in range(50)}, None: "n2"} and t.current().count() == 51
+        assert t.current().columns == spec.columns
+
+
+def test_ids_and_hashes_go_through_a_load_unchanged(spark, tmp_dir):
+    ids = ["ab" * 32, "AB" * 32, "abc", "", "00", "zz", "äb", None]
+    df = spark.createDataFrame([(x,) for x in ids], "c string")
+    from pyspark.sql import functions as F
+    there = df.select(F.expr(v.packed("c")).alias("c"))
+    assert [r["c"] for r in there.select(F.expr(v.unpacked("c")).alias("c")).collect()] == ids
+    assert there.distinct().count() == len(ids) and max(len(r["c"]) for r in there.collect() if r["c"]) == 65
+    spec = v.VersionSpec(keys=("k",), payload=("k", "a"), record_type="T", carry=("up",))
+    t = FactTable(spark, tmp_dir + "/packed", spec)
+    t.load(spark.createDataFrame([("1", "x", "ab" * 32), ("2", "y", "Zz"), ("3", "z", None)], "k string, a string, up string"), S1)
+    t.load(spark.createDataFrame([("1", "X", "cd" * 32), ("4", "n", "AB")], "k string, a string, up string"), S2)
+    assert sorted((r["k"], r["up"]) for r in t.current().collect()) == [("1", "cd" * 32), ("2", "Zz"), ("3", None), ("4", "AB")]
+    assert all(len(r[v.HASH]) == 64 for r in t.read().collect())
+
+
+def test_a_write_into_many_folders_makes_few_files(spark, tmp_dir):
+    spec = v.VersionSpec(keys=("k",), payload=("k", "a"), record_type="T")
+    t = FactTable(spark, tmp_dir + "/many", spec, partition_expr="a")
+    t.load(spark.range(0, 4000, 1, 4).selectExpr("CAST(id AS STRING) AS k", "CAST(id % 40 AS STRING) AS a"), S1)
+    assert len(_parts(tmp_dir + "/many")) == 40
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
