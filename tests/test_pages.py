@@ -79,3 +79,15 @@ def test_audit_plan_spreads_by_page_name(spark):
                                   "resultSet array<int>, paging struct<sessionId: string, identifier: string>, pagingIdentifier string, report string, page long")
     plan = pg.audit_chains(pg.page_counts(pages))._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_audit_tasks_follow_the_pages(spark, monkeypatch):
+    """Twice the pages, twice the tasks that count by name, whatever the shuffle partitions; same chains."""
+    counts = spark.range(4000).selectExpr("'r' AS report", "CAST(id % 40 AS STRING) AS session", "id div 40 + 1 AS page",
+                                          "IF(id < 40, NULL, CAST(id div 40 AS STRING)) AS asked", "CAST(id div 40 + 1 AS STRING) AS next", "2 AS n_rows")
+    want = sorted(map(str, pg.audit_chains(counts, 2).collect()))
+    monkeypatch.setattr(pg, "NAMES_PER_TASK", 100)
+    for rows, tasks in ((counts.where("page <= 50"), 40), (counts, 80)):
+        plan = pg.audit_chains(rows, 2)._jdf.queryExecution().executedPlan().toString()
+        assert f", {tasks}), REPARTITION_BY_NUM" in plan
+    assert sorted(map(str, pg.audit_chains(counts, 2).collect())) == want
