@@ -3,6 +3,7 @@
 import random
 import struct
 import zlib
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -225,6 +226,36 @@ def test_fuzzy_lines_of_one_file(spark, monkeypatch, file):
         assert sum(least.values()) <= sum(got.values()) <= sum(expected.values())
 
 
+def test_piece_of_the_open_bits_in_common():
+    """Any MAX_BITS bits outside a file's blocks leave one of its pieces whole."""
+    rng = random.Random(3)
+    for mask, pieces in zip(line_dedup.block_masks(line_dedup.SHARED), line_dedup.piece_masks(), strict=True):
+        assert reduce(lambda x, y: x ^ y, pieces, mask) & ((1 << 64) - 1) == (1 << 64) - 1  # each bit once
+        bits = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(50):
+            apart = sum(1 << b for b in rng.sample(bits, line_dedup.MAX_BITS))
+            assert any(apart & m == 0 for m in pieces)
+
+
+@pytest.mark.parametrize("file", [256, 1])
+def test_lines_of_two_shared_blocks_link_however_full_their_file(spark, monkeypatch, file):
+    """Two similar lines share two blocks and no third; others fill their file, one of them its head."""
+    monkeypatch.setattr(line_dedup, "FILE", file)
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1)
+    rng, blocks = random.Random(4), line_dedup.block_masks(1)
+    rows = []
+    for pair in range(6):
+        kept = (blocks[pair % 6] | blocks[(pair + 2) % 6]) & ((1 << 64) - 1)
+        base = rng.getrandbits(64)
+        flips = sum(1 << (m & ((1 << 64) - 1)).bit_length() - 1 for m in blocks if not m & kept)
+        prints = [base & kept | rng.getrandbits(64) & ~kept for _ in range(5)] + [base, base ^ flips]
+        texts = [f"{pair} {k} " + chr(ord("a") + k) * 30 for k in range(5)] + [f"pair {pair} " + "same " * 8, f"pair {pair} " + "same " * 7 + "sane "]
+        rows += [(100 * pair + k, f"{pair}-{k}", (k,), line_dedup._signed(fp), t) for k, (fp, t) in enumerate(zip(prints, texts))]
+    lines = spark.createDataFrame(rows, "line long, name string, first struct<at:int>, fp long, norm string")
+    found = line_dedup.similar_lines(lines.drop("norm"), lambda wanted: wanted.join(lines.select("line", "norm"), "line").select("line", "name", "norm"))
+    assert {tuple(sorted(r)) for r in found.collect()} == {(f"{p}-5", f"{p}-6") for p in range(6)}
+
+
 def test_fuzzy_lines_with_changed_words(spark):
     rng = random.Random(8)
 
