@@ -1,7 +1,9 @@
 """Corpus operators on small tables: edge cases with defined results, and brute force."""
 
+import glob
 import random
 import struct
+import time
 import zlib
 from functools import reduce
 from itertools import combinations
@@ -256,6 +258,79 @@ def test_lines_of_two_shared_blocks_link_however_full_their_file(spark, monkeypa
     assert {tuple(sorted(r)) for r in found.collect()} == {(f"{p}-5", f"{p}-6") for p in range(6)}
 
 
+def test_line_prints_at_the_ends_of_chunks(spark):
+    """Counts at both ends of a lane, in one chunk and in several."""
+    rng = random.Random(12)
+    texts = ["same " * n for n in (1, 254, 255, 256, 510, 511, 1300)]
+    texts += [" ".join(rng.choice(["alpha", "beta", "gamma", f"w{rng.randrange(99)}"]) for _ in range(n)) for n in (254, 255, 256, 600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["_doc"]: r["fp"] & ((1 << 64) - 1) for r in line_dedup.with_prints(units.worded(docs, "text", "doc_id", "\n"), 1).collect()}
+    assert got == {i: _print(t.strip()) for i, t in enumerate(texts)}
+
+
+def test_starts_of_similar_lines_are_never_told_apart(spark):
+    """Edits in one place or all over, lines cut at an end; unlike lines are told apart."""
+    rng = random.Random(13)
+    similar, unlike = [], []
+    for size in (1, 2, 5, 9, 30, 80, 200):
+        for k in range(12):
+            a = "".join(rng.choice("abcdefg h\u00e9") for _ in range(size))
+            b, at = list(a), rng.randrange(size)
+            for e in range(int(0.2 * size)):
+                place = (at + e) % len(b) if k % 3 == 0 else rng.randrange(len(b)) if k % 3 == 1 else 0 if k % 2 else len(b) - 1
+                b[place:place + 1] = rng.choice([[], [b[place], "x"], ["y"]])
+            similar.append((a, "".join(b)))
+            unlike.append((a, "".join(rng.choice("ABCDEFG") for _ in range(size))))
+    similar = [(a, b) for a, b in similar if _distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)]
+    assert len(similar) > 60
+
+    def allowed(pairs):
+        df = spark.createDataFrame(pairs, "a string, b string").withColumns({f"n{c}": F.char_length(c) for c in "ab"})
+        starts = [F.substring(c, F.lit(1), line_dedup._head_chars(F.col(f"n{c}"))) for c in "ab"]
+        return [r[0] for r in df.select(line_dedup.heads_allow(*starts, F.col("na"), F.col("nb"))).collect()]
+    assert all(allowed(similar) + allowed([(b, a) for a, b in similar])) and not any(allowed(unlike))
+
+
+@pytest.mark.parametrize("file", [256, 1])
+def test_lines_of_unlike_lengths_do_not_meet(spark, monkeypatch, file):
+    """Equal fingerprints, lengths apart: no pair of them is made, in whatever file."""
+    monkeypatch.setattr(line_dedup, "FILE", file)
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1)
+    met = []
+
+    def verified(pairs, texts):
+        met.extend((r["a"], r["b"]) for r in pairs.collect())
+        return pairs.select("a", "b", F.col("a").cast("string").alias("a_name"), F.col("b").cast("string").alias("b_name")).where("a > 1")
+    monkeypatch.setattr(line_dedup, "_verified", verified)
+    chars = {1: 100, 2: 79, 3: 81, 4: 10}
+    lines = spark.createDataFrame([(i, str(i), (i,), 5, n) for i, n in chars.items()], "line long, name string, first struct<at:int>, fp long, chars int")
+    line_dedup.similar_lines(lines, lambda wanted: wanted.select("line", "name", F.lit("").alias("norm"))).collect()
+    assert set(met) == {(1, 3), (2, 3)}
+
+
+def test_pairs_in_rounds_and_shuffle_files_gone(spark, monkeypatch):
+    """One pair a round gives the same links; the written tables leave no shuffle files behind."""
+    texts = [(i, str(i), "some words of a line " * 9 + end) for i, end in enumerate(["", "x", "yy", "quite another end " * 30])]
+    texts = line_dedup._stage(spark.createDataFrame(texts, "line long, name string, norm string").repartition(3, "line"), "texts")
+    pairs = line_dedup._stage(spark.createDataFrame(list(combinations(range(4), 2)), "a long, b long").repartition(2, "a"), "pairs")
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+
+    def shuffled():
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    there, found = shuffled(), []
+    for size in (1, 0):
+        monkeypatch.setattr(line_dedup, "ROUND", size)
+        found.append({(r["a"], r["b"]) for r in line_dedup._verified(pairs, texts).collect()})
+    assert found == [{(0, 1), (0, 2), (1, 2)}] * 2
+    for _ in range(60):
+        left = shuffled() - there
+        if not left:
+            break
+        time.sleep(0.5)
+    assert not left and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
 def test_fuzzy_lines_with_changed_words(spark):
     rng = random.Random(8)
 
