@@ -132,3 +132,15 @@ def test_clustered_moves_no_ids(spark):
     places = [[(r["fact_guid"], r["p"]) for r in df.withColumn("p", F.spark_partition_id()).collect()] for df in (out, plain)]
     assert places[0] == places[1]  # same partitions, same order
     assert not _moved(spark, out, "fact_guid") and _moved(spark, plain, "fact_guid")
+
+
+def test_ids_of_stacked_rows_follow_from_their_keys(spark):
+    """Landed rows need not bring the ids: made for all sources at once they are those of each source."""
+    from ledgerlake.plans.q_stream import as_landed, fact_batches
+
+    for frames in fact_batches(spark, "/root/testdata/sf0.001"):
+        landed = as_landed(frames).select("record_type", "line_id", "invoice_id", "matter_ref", "timekeeper_id", *fx.IDS)
+        made = fx.with_stacked_ids(landed.drop(*fx.IDS)).select(*landed.columns)
+        assert made.exceptAll(landed).count() == 0 and landed.exceptAll(made).count() == 0
+    other = spark.createDataFrame([("OTHER", "1", "2", "3", "4"), (None, "1", "2", "3", "4")], "record_type string, line_id string, invoice_id string, matter_ref string, timekeeper_id string")
+    assert [r["fact_guid"] for r in fx.with_stacked_ids(other).collect()] == [None, None]

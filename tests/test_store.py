@@ -330,3 +330,36 @@ def test_a_write_into_many_folders_makes_few_files(spark, tmp_dir):
     t.load(spark.range(0, 4000, 1, 4).selectExpr("CAST(id AS STRING) AS k", "CAST(id % 40 AS STRING) AS a"), S1)
     assert len(_parts(tmp_dir + "/many")) == 40
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_a_merge_in_rounds_gives_the_same_table_and_leaves_no_scratch(spark, tmp_dir, monkeypatch):
+    """Rows meet by parts of their keys, whatever a round's batch rows say of the scope; the written batch and replaced copies go."""
+    import itertools
+    import os
+
+    from ledgerlake.sinks import versioned_dir as vd
+
+    spec = v.VersionSpec(keys=("s", "k"), payload=("s", "k", "a"), record_type="T")
+    number = itertools.count()
+    monkeypatch.setattr(vd, "MOST_ROUNDS", 3)
+    first = [("x", str(i), "a") for i in range(60)] + [("y", "1", "a"), ("x", None, "a"), ("x", "7", "b")]
+    second = [("x", str(i), "b" if i % 3 else "a") for i in range(40, 80)] + [("x", None, "c")]
+    monkeypatch.setattr(vd, "scratch_path", lambda _, name: f"{tmp_dir}/scratch/{name}-{next(number)}")
+    os.makedirs(tmp_dir + "/scratch")
+    for mode in ("delta", "full"):
+        got = []
+        for size in (1 << 30, 1):
+            monkeypatch.setattr(vd, "ROUND_BYTES", size)
+            calls = []
+            merge = v.merge_prepared
+            monkeypatch.setattr(vd.v, "merge_prepared", lambda *a, f=merge: calls.append(1) or f(*a))
+            t = FactTable(spark, f"{tmp_dir}/{mode}{size}", spec, full_scope=["s"])
+            t.load(spark.createDataFrame(first, "s string, k string, a string"), S1)
+            t.load(spark.createDataFrame(second, "s string, k string, a string"), S2, mode=mode)
+            monkeypatch.setattr(vd.v, "merge_prepared", merge)
+            assert len(calls) == (vd.MOST_ROUNDS if size == 1 else 1)
+            got.append(sorted(map(tuple, t.read().collect()), key=repr))
+            assert len([d for d in os.listdir(f"{tmp_dir}/{mode}{size}") if d.startswith("load=0")]) == 1
+        assert got[0] == got[1] and len(got[0]) > 80
+    assert not [d for d in os.listdir(tmp_dir + "/scratch") if d.startswith("fact-batch")]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
