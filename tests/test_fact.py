@@ -144,3 +144,23 @@ def test_ids_of_stacked_rows_follow_from_their_keys(spark):
         assert made.exceptAll(landed).count() == 0 and landed.exceptAll(made).count() == 0
     other = spark.createDataFrame([("OTHER", "1", "2", "3", "4"), (None, "1", "2", "3", "4")], "record_type string, line_id string, invoice_id string, matter_ref string, timekeeper_id string")
     assert [r["fact_guid"] for r in fx.with_stacked_ids(other).collect()] == [None, None]
+
+
+def test_clustered_write_in_rounds_gives_the_same_files(spark, tmp_dir, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    lines = spark.range(40).selectExpr("CONCAT('L', id) AS line_id", "CONCAT('I', id % 7) AS invoice_id", "CAST(NULL AS STRING) AS timekeeper_id").unionByName(
+        spark.createDataFrame([(None, "I1", None)], "line_id string, invoice_id string, timekeeper_id string"))
+    _, inv, mat, keepers = _four(spark)
+    shape = dict(dealt_by=row_id(fx.LINE, ["line_id"]), made=lambda df: fx.finished_wide(df, "SRC"), partitions=5)
+    joins = []
+    for rows in (1000, 10):
+        monkeypatch.setattr(fx, "ROUND_ROWS", rows)
+        fx.write_clustered(lines, lambda some: joins.append(1) or fx.joined_sources(some, inv, mat, keepers), f"{tmp_dir}/{rows}", **shape)
+    assert len(joins) == 1 + 4
+    files = [sorted(([x or "" for x in pq.read_table(f).column("fact_guid").to_pylist()] for f in glob.glob(f"{tmp_dir}/{rows}/*.parquet"))) for rows in (1000, 10)]
+    assert [f for f in files[0] if f] == [f for f in files[1] if f] and len(files[0]) > 1  # the same rows in each file, in the same order
+    a, b = (spark.read.parquet(f"{tmp_dir}/{rows}") for rows in (1000, 10))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count() == fx.joined_sources(lines, inv, mat, keepers).count()
