@@ -164,3 +164,17 @@ def test_clustered_write_in_rounds_gives_the_same_files(spark, tmp_dir, monkeypa
     assert [f for f in files[0] if f] == [f for f in files[1] if f] and len(files[0]) > 1  # the same rows in each file, in the same order
     a, b = (spark.read.parquet(f"{tmp_dir}/{rows}") for rows in (1000, 10))
     assert a.exceptAll(b).count() == 0 and a.count() == b.count() == fx.joined_sources(lines, inv, mat, keepers).count()
+
+
+def test_wide_rows_joined_in_rounds_leave_no_shuffle(spark, tmp_dir, monkeypatch):
+    """The same rows; what is left to do reads the joined rows and moves none."""
+    import os
+
+    lines, inv, mat, keepers = _four(spark)
+    want = fx.assemble_wide(lines, inv, mat, keepers, "SRC")
+    for rows in (1000, 2):
+        monkeypatch.setattr(fx, "ROUND_ROWS", rows)
+        got = fx.assemble_wide(lines, inv, mat, keepers, "SRC", f"{tmp_dir}/{rows}")
+        assert got.schema == want.schema and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert os.listdir(f"{tmp_dir}/{rows}")
