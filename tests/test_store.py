@@ -363,3 +363,19 @@ def test_a_merge_in_rounds_gives_the_same_table_and_leaves_no_scratch(spark, tmp
         assert got[0] == got[1] and len(got[0]) > 80
     assert not [d for d in os.listdir(tmp_dir + "/scratch") if d.startswith("fact-batch")]
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_refresh_of_whole_partitions_does_not_look_up_its_scope(spark, tmp_dir, monkeypatch):
+    """The partitions read are those the batch speaks for: the current rows are not dealt by the scope, where all would meet in one task."""
+    from ledgerlake.sinks import versioned_dir as vd
+
+    spec = v.VersionSpec(keys=("s", "k"), payload=("s", "k", "a"), record_type="T")
+    seen, merge = [], v.merge_prepared
+    monkeypatch.setattr(vd.v, "merge_prepared", lambda *a: seen.append(a[5]) or merge(*a))
+    got = []
+    for name, expr in (("parts", "`s`"), ("whole", None)):
+        t = FactTable(spark, f"{tmp_dir}/{name}", spec, partition_expr=expr, full_scope=["s"])
+        t.load(spark.createDataFrame([(s, str(i), "a") for s in ("x", "y", None) for i in range(3)], "s string, k string, a string"), S1)
+        t.load(spark.createDataFrame([("x", "0", "b"), (None, "1", "a")], "s string, k string, a string"), S2, mode="full")
+        got.append(sorted(map(tuple, t.read().collect()), key=repr))
+    assert seen == [(), ("s",)] and got[0] == got[1] and len(got[0]) == 9 + 5
